@@ -420,7 +420,7 @@ def _registry(spark: SparkSession, sf_dir: str) -> ModelRegistry:
 @query
 def train_rf(spark, sf_dir):
     """Metrics of a newly trained model."""
-    return training.train(_staged_silver(spark, sf_dir)).metrics
+    return training.train(_staged_silver(spark, sf_dir), fresh_path(spark, "model")).metrics
 
 
 @query

@@ -68,10 +68,11 @@ def train_and_register(
     spark: SparkSession, silver: DataFrame, models: str, without_label_flags: bool = False
 ) -> dict[str, float | None]:
     """Train on Silver rows and store the model; gives its metrics and path."""
-    result = train(silver, without_label_flags)
+    registry = ModelRegistry(spark, models)
+    result = train(silver, registry.new_path(), without_label_flags)
     metrics = {row["metric"]: row["value"] for row in result.metrics.collect()}  # a dozen rows
-    path = ModelRegistry(spark, models).save(result.model, result.inputs, metrics)
-    return {**metrics, "path": path}
+    registry.register(result.path, result.model, result.inputs, metrics)
+    return {**metrics, "path": result.path}
 
 
 def run_training(

@@ -83,6 +83,7 @@ def build_pipeline(inputs: list[str], num_trees: int, max_depth: int, seed: int)
 
 @dataclass
 class TrainingResult:
+    path: str
     model: PipelineModel
     metrics: DataFrame  # metric, value
     inputs: list[str]
@@ -137,14 +138,17 @@ def metrics_of(predicted: DataFrame) -> DataFrame:
 
 def train(
     silver: DataFrame,
+    path: str,
     without_label_flags: bool = False,
     num_trees: int = NUM_TREES,
     max_depth: int = MAX_DEPTH,
     seed: int = SEED,
 ) -> TrainingResult:
-    """Fit and evaluate the forest. Rows never reach the driver; only the trees and metrics do.
+    """Fit the forest, store it under ``path`` and evaluate it as stored.
 
-    ``silver`` should be a stored table: its model columns are read several times.
+    Rows never reach the driver; only the trees and metrics do. ``silver`` should be a stored table: its
+    model columns are read several times. A model just fitted carries its training summary, and with it
+    the session, into every task; the stored one does not.
     """
     inputs = [c for c in FEATURES if not (without_label_flags and c in LABEL_FLAGS)]
     rows = labelled(silver)
@@ -154,8 +158,9 @@ def train(
     train_rows = parts.filter(F.col("part") == "train")
     weights = class_weights(train_rows)  # two rows
     weighted = train_rows.join(F.broadcast(weights), "fraud_label")
-    model = build_pipeline(inputs, num_trees, max_depth, seed).fit(weighted)
-    return TrainingResult(model, metrics_of(predict(parts, model)), inputs)
+    build_pipeline(inputs, num_trees, max_depth, seed).fit(weighted).write().save(path)
+    model = PipelineModel.load(path)
+    return TrainingResult(path, model, metrics_of(predict(parts, model)), inputs)
 
 
 def forest(model: PipelineModel) -> RandomForestClassificationModel:

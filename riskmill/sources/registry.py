@@ -29,8 +29,8 @@ ENTRY = T.StructType(
 class ModelRegistry:
     """Models and their registry table below one root folder.
 
-    Entries are appended after the model is stored, so an entry always points to a complete model, and
-    paths are full ones, so any job that reaches the folder can load it.
+    An entry is added after its model is stored and evaluated, so it always points to a complete model,
+    and paths are full ones, so any job that reaches the folder can load it.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -41,16 +41,21 @@ class ModelRegistry:
     def _table(self) -> str:
         return f"{self.root}/registry"
 
-    def save(self, model: PipelineModel, features: list[str], metrics: dict[str, float | None]) -> str:
+    def new_path(self) -> str:
+        """Where the next model goes: named by the time, and unique."""
+        stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+        return f"{self.root}/fraud_detector_{stamp}_{uuid.uuid4().hex[:6]}"
+
+    def register(
+        self, path: str, model: PipelineModel, features: list[str], metrics: dict[str, float | None]
+    ) -> None:
+        """Add the entry of a model stored under ``path``."""
         now = datetime.now(timezone.utc)
-        stamp = now.strftime("%Y%m%d_%H%M%S")
-        path = f"{self.root}/fraud_detector_{stamp}_{uuid.uuid4().hex[:6]}"
-        model.write().save(path)
         samples = metrics.get("total_samples")
         entry = (
             path,
             now,
-            stamp,
+            now.strftime("%Y%m%d_%H%M%S"),
             type(model.stages[-1]).__name__,
             len(features),
             features,
@@ -60,7 +65,6 @@ class ModelRegistry:
             None if samples is None else int(samples),
         )
         self.spark.createDataFrame([entry], ENTRY).coalesce(1).write.mode("append").parquet(self._table)
-        return path
 
     def entries(self) -> DataFrame:
         return self.spark.read.schema(ENTRY).parquet(self._table)
