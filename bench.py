@@ -71,7 +71,7 @@ def main() -> None:
         "spark.sql.shuffle.partitions": cpus,
         "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
-        "spark.log.level": "ERROR",
+        "spark.ui.showConsoleProgress": "false",
     }
     spark = build_session("bench", f"local[{cpus}]", conf)
     spark.sparkContext.setLogLevel("OFF")

@@ -16,7 +16,8 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def fill_with_means(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace NULLs in ``columns`` by the column's mean; the columns become doubles.
 
-    The means are one scalar subquery: sixteen numbers, computed once with map-side reduction.
+    The means are one scalar subquery: one struct of numbers, computed once with map-side reduction.
     """
     means = df.agg(F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), means.getField(c)) for c in columns})
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col("_means").getField(c)) for c in columns}
+    return df.withColumn("_means", means).withColumns(filled).drop("_means")

@@ -39,7 +39,13 @@ def with_previous_time(
     of the key's preceding minute, found on a table with one row per hot key and minute. Other keys stay
     in one group, so ordinary data pays one shuffle as with a plain window. A row without key has no
     preceding row; such rows are spread by minute too.
+
+    ``df`` should be a stored table: its row count, read from file footers, tells whether a key can be
+    hot at all. Below ``min_rows`` rows none can, and the plain window is used.
     """
+    if df.count() < min_rows:
+        plain = F.lag(time).over(Window.partitionBy(key).orderBy(time, tie))
+        return df.withColumn(output, F.when(F.col(key).isNotNull(), plain))
     hot = hot_keys(df, key, min_rows).select(F.col(key).alias("_hot_key"))
     is_spread = F.col("_hot_key").isNotNull() | F.col(key).isNull()
     sliced = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(

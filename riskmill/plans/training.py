@@ -75,7 +75,9 @@ def build_pipeline(inputs: list[str], num_trees: int, max_depth: int, seed: int)
                 maxDepth=max_depth,
                 minInstancesPerNode=MIN_ROWS_PER_LEAF,
                 seed=seed,
-                maxMemoryInMB=1024,
+                # Deep trees: remember each row's node instead of walking down from the root per level.
+                cacheNodeIds=True,
+                checkpointInterval=10,
             ),
         ]
     )

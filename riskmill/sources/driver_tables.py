@@ -4,55 +4,53 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmill.operators.skew import MIN_HOT_ROWS, with_previous_time
 from riskmill.schemas import TRANSACTION_COLUMNS
 
+# Declared, so that planning a query opens no file.
+TABLE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 
-def _padded(prefix: str, number: Column, width: int) -> Column:
+
+def _padded(prefix: str, number: str, width: int) -> str:
     """Prefix and number, zero-padded to at least ``width`` digits; longer numbers keep all digits."""
-    text = number.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0")))
+    text = f"CAST({number} AS STRING)"
+    return f"concat('{prefix}', lpad({text}, greatest({width}, length({text})), '0'))"
+
+
+COLUMN_SQL = {
+    "TransactionID": f"CASE WHEN event_id % 401 != 3 THEN {_padded('TX', 'event_id', 7)} END",
+    "AccountID": _padded("AC", "user_id", 5),
+    "TransactionAmount": "CASE WHEN event_id % 97 != 5 THEN IF(event_id % 41 = 0, -value, value * 20) END",
+    "TransactionDate": "ts",
+    "TransactionType": """CASE event_type WHEN 'purchase' THEN 'Debit' WHEN 'click' THEN 'Credit'
+        WHEN 'view' THEN 'Transfer' WHEN 'signup' THEN 'Withdrawal' ELSE 'Refund' END""",
+    "Location": "CASE event_id % 9 WHEN 0 THEN 'Unknown' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE n_name END",
+    "DeviceID": _padded("D", "(event_id % 681)", 6),
+    "IP Address": """CASE WHEN event_id % 37 = 1 THEN '' WHEN event_id % 53 = 2 THEN NULL
+        ELSE concat(1 + event_id % 223, '.', event_id % 251, '.0.', user_id % 250) END""",
+    "MerchantID": _padded("M", "(event_id * 7 % 100)", 3),
+    "Channel": "CASE event_id % 4 WHEN 0 THEN 'ATM' WHEN 1 THEN 'Online' WHEN 2 THEN 'Branch' ELSE 'Mobile' END",
+    "CustomerAge": "CAST(10 + user_id % 95 AS INT)",
+    "CustomerOccupation": """CASE user_id % 4 WHEN 0 THEN 'Student' WHEN 1 THEN 'Doctor'
+        WHEN 2 THEN 'Engineer' ELSE 'Retired' END""",
+    "TransactionDuration": "CAST(10 + event_id % 290 AS INT)",
+    "LoginAttempts": "CAST(1 + event_id % 6 + copy_no AS INT)",
+    "AccountBalance": "CASE WHEN user_id % 149 = 1 THEN CAST(-1.0 AS DOUBLE) ELSE c_acctbal END",
+    "PreviousTransactionDate": "prev_ts",
+}
+# Some events arrive twice, the second time with one more login attempt.
+COPIES_SQL = "explode(IF(event_id % 50 = 7, array(0, 1), array(0))) AS copy_no"
 
 
-def _columns() -> dict[str, Column]:
-    event, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    address = F.concat_ws(
-        ".", (1 + event % 223).cast("string"), (event % 251).cast("string"), F.lit("0"), (user % 250).cast("string")
-    )
-    return {
-        "TransactionID": F.when(event % 401 != 3, _padded("TX", event, 7)),
-        "AccountID": _padded("AC", user, 5),
-        "TransactionAmount": F.when(event % 97 == 5, None).when(event % 41 == 0, -value).otherwise(value * 20),
-        "TransactionDate": F.col("ts"),
-        "TransactionType": F.when(F.col("event_type") == "purchase", "Debit")
-        .when(F.col("event_type") == "click", "Credit")
-        .when(F.col("event_type") == "view", "Transfer")
-        .when(F.col("event_type") == "signup", "Withdrawal")
-        .otherwise("Refund"),
-        "Location": F.when(event % 9 == 0, "Unknown")
-        .when(event % 9 == 1, "")
-        .when(event % 9 == 2, None)
-        .otherwise(F.col("n_name")),
-        "DeviceID": _padded("D", event % 681, 6),
-        "IP Address": F.when(event % 37 == 1, "").when(event % 53 == 2, None).otherwise(address),
-        "MerchantID": _padded("M", event * 7 % 100, 3),
-        "Channel": F.when(event % 4 == 0, "ATM")
-        .when(event % 4 == 1, "Online")
-        .when(event % 4 == 2, "Branch")
-        .otherwise("Mobile"),
-        "CustomerAge": (10 + user % 95).cast("int"),
-        "CustomerOccupation": F.when(user % 4 == 0, "Student")
-        .when(user % 4 == 1, "Doctor")
-        .when(user % 4 == 2, "Engineer")
-        .otherwise("Retired"),
-        "TransactionDuration": (10 + event % 290).cast("int"),
-        "LoginAttempts": (1 + event % 6 + F.col("copy_no")).cast("int"),
-        "AccountBalance": F.when(user % 149 == 1, F.lit(-1.0)).otherwise(F.col("c_acctbal")),
-        "PreviousTransactionDate": F.col("prev_ts"),
-    }
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def transactions(
@@ -67,15 +65,11 @@ def transactions(
     to be broadcast: Spark does so only for a table it knows to be small, and otherwise shuffles both
     sides, splitting skewed accounts at run time.
     """
-    table = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    rows = table("events")
+    rows = read_table(spark, sf_dir, "events")
     if "PreviousTransactionDate" in columns:
         rows = with_previous_time(rows, "user_id", "ts", "event_id", "prev_ts", min_hot_rows)
     if {"AccountBalance", "Location"} & set(columns):
-        rows = rows.join(table("customer"), F.col("user_id") == F.col("c_custkey"), "left")
+        rows = rows.join(read_table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"), "left")
     if "Location" in columns:
-        rows = rows.join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    # Some events arrive twice, the second time with one more login attempt.
-    copies = F.when(F.col("event_id") % 50 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    defined = _columns()
-    return rows.withColumn("copy_no", F.explode(copies)).select(*[defined[c].alias(c) for c in columns])
+        rows = rows.join(read_table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"), "left")
+    return rows.selectExpr("*", COPIES_SQL).selectExpr(*[f"{COLUMN_SQL[c]} AS `{c}`" for c in columns])

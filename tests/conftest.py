@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
     conf = {
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
