@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,12 +56,13 @@ def run_gold(
     database: str = "gold",
     table_format: str = "parquet",
     fact_buckets: int | None = None,
+    names: Sequence[str] = GOLD_TABLES,
 ) -> dict[str, int]:
-    """Publish the star schema. ``fact_buckets`` stores both facts so that they join without a shuffle."""
+    """Publish the star schema, or the named tables of it. ``fact_buckets`` stores both facts so that they join without a shuffle."""
     silver = read_parquet(spark, source)
-    tables = {name: (lambda name=name: gold_plan.build(silver, name)) for name in GOLD_TABLES}
+    tables = {name: (lambda name=name: gold_plan.build(silver, name)) for name in names}
     buckets = {
-        name: (fact_buckets, "transaction_id") for name in GOLD_TABLES if fact_buckets and name.startswith("fact_")
+        name: (fact_buckets, "transaction_id") for name in names if fact_buckets and name.startswith("fact_")
     }
     return publish_all(spark, tables, database, target, table_format, buckets)
 

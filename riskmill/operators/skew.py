@@ -1,28 +1,25 @@
-"""Per-key operators that keep every row, made safe for keys that hold a large share of the data.
-
-Both start from the same question: which keys are too big for one task? A key is *hot* when it holds at
-least ``1 / MAX_HOT_KEYS`` of all rows (and at least ``min_rows``). Shares add up to one, so there are at
-most ``MAX_HOT_KEYS`` such keys whatever the data: a table of hot keys can always be broadcast.
-"""
+"""Per-key operators that keep every row, safe for keys that hold a large share of the data."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskmill.sources.workspace import stage
+
 MAX_HOT_KEYS = 20_000
 MIN_HOT_ROWS = 1_000_000
 
 
-def _hot_only(per_key: DataFrame, count_column: str, min_rows: int) -> DataFrame:
-    """Rows of a per-key table whose key is hot; at most MAX_HOT_KEYS of them."""
-    smallest = per_key.agg(F.sum(count_column) / MAX_HOT_KEYS).scalar()
-    return per_key.filter((F.col(count_column) >= min_rows) & (F.col(count_column) >= smallest))
-
-
 def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Hot keys of ``df`` with their row counts (columns: key, ``_rows``)."""
-    return _hot_only(df.groupBy(key).agg(F.count("*").alias("_rows")), "_rows", min_rows)
+    """Keys too big for one task, with their row counts (columns: key, ``_rows``).
+
+    A key is hot when it holds at least ``min_rows`` rows and one part in MAX_HOT_KEYS of all rows. Shares
+    add up to one, so there are at most MAX_HOT_KEYS of them whatever the data: the table can always be
+    broadcast. ``df`` should be a stored table, whose rows are counted from file footers.
+    """
+    smallest = max(min_rows, -(-df.count() // MAX_HOT_KEYS))
+    return df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= smallest)
 
 
 def _minute(ts: Column) -> Column:
@@ -40,13 +37,13 @@ def with_previous_time(
     in one group, so ordinary data pays one shuffle as with a plain window. A row without key has no
     preceding row; such rows are spread by minute too.
 
-    ``df`` should be a stored table: its row count, read from file footers, tells whether a key can be
-    hot at all. Below ``min_rows`` rows none can, and the plain window is used.
+    ``df`` should be a stored table. With fewer than ``min_rows`` rows no key can be hot, and the plain
+    window is used.
     """
     if df.count() < min_rows:
         plain = F.lag(time).over(Window.partitionBy(key).orderBy(time, tie))
         return df.withColumn(output, F.when(F.col(key).isNotNull(), plain))
-    hot = hot_keys(df, key, min_rows).select(F.col(key).alias("_hot_key"))
+    hot = stage(hot_keys(df, key, min_rows).select(F.col(key).alias("_hot_key")), "hot-keys")
     is_spread = F.col("_hot_key").isNotNull() | F.col(key).isNull()
     sliced = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
         "_slice", F.when(is_spread, _minute(F.col(time)))
@@ -67,27 +64,13 @@ def with_previous_time(
     )
 
 
-def with_key_maximum(
-    df: DataFrame, key: str, value: str, row_id: str, output: str, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
+def with_key_maximum(df: DataFrame, key: str, value: str, output: str) -> DataFrame:
     """Add the maximum of ``value`` over all rows of the same key, to every row.
 
-    The maximum is a group-by with map-side reduction. Rows of hot keys find it in a broadcast table and
-    are spread by ``row_id`` in the join that serves all other keys, so no task receives a whole hot key.
+    A window over the key would put each key's rows into one task. Here the maxima come from a group-by
+    that reduces on the map side, and are joined back from a stored table: Spark knows its size, so it
+    broadcasts a small one, and otherwise joins two plain shuffles, whose oversized partitions AQE splits.
+    ``df`` should be a stored table; it is read twice.
     """
-    per_key = df.groupBy(F.col(key).alias("_key")).agg(
-        F.max(value).alias("_max"), F.count("*").alias("_rows")
-    )
-    hot = _hot_only(per_key, "_rows", min_rows).select(
-        F.col("_key").alias("_hot_key"), F.col("_max").alias("_hot_max"), F.lit(True).alias("_is_hot")
-    )
-    cold = per_key.select("_key", "_max", F.lit(0).cast("long").alias("_key_salt"))
-    # Hot rows get a salt no key row has: they match nothing here, but spread evenly.
-    salt = F.when(F.col("_is_hot"), F.xxhash64(row_id).bitwiseOR(F.lit(1))).otherwise(F.lit(0).cast("long"))
-    return (
-        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
-        .withColumn("_salt", salt)
-        .join(cold, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_key_salt")), "left")
-        .withColumn(output, F.when(F.col("_is_hot"), F.col("_hot_max")).otherwise(F.col("_max")))
-        .select(*df.columns, output)
-    )
+    largest = df.groupBy(F.col(key).alias("_key")).agg(F.max(value).alias(output))
+    return df.join(stage(largest, "key-maximum"), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")

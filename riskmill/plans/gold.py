@@ -77,20 +77,21 @@ def dim_merchants(silver: DataFrame) -> DataFrame:
     return latest.withColumnRenamed("MerchantID", "merchant_id")
 
 
-def dim_channels(silver: DataFrame) -> DataFrame:
+def with_channel_attributes(df: DataFrame) -> DataFrame:
+    """Description and risk level, which follow from ``channel_id`` alone."""
     channel = F.col("channel_id")
-    return (
-        silver.select(F.col("Channel").alias("channel_id"))
-        .distinct()
-        .withColumns(
-            {
-                "channel_description": rules.channel_description(channel),
-                "risk_level": rules.channel_risk_level(channel),
-            }
-        )
+    return df.withColumns(
+        {
+            "channel_description": rules.channel_description(channel),
+            "risk_level": rules.channel_risk_level(channel),
+        }
     )
 
 
+def dim_channels(silver: DataFrame) -> DataFrame:
+    return with_channel_attributes(silver.select(F.col("Channel").alias("channel_id")).distinct())
+
+
 def fact_transactions(silver: DataFrame) -> DataFrame:
     columns = TRANSACTION_FACT_COLUMNS
     return silver.select(*columns).withColumnsRenamed(columns)

@@ -34,10 +34,9 @@ def test_previous_time_equals_lag(events, min_rows):
     assert as_set(got) == as_set(want)
 
 
-@pytest.mark.parametrize("min_rows", [1, 100, 1_000_000])
-def test_key_maximum_equals_window(events, min_rows):
+def test_key_maximum_equals_window(events):
     want = events.withColumn("top", F.max("amount").over(Window.partitionBy("account")))
-    got = skew.with_key_maximum(events, "account", "amount", "id", "top", min_rows)
+    got = skew.with_key_maximum(events, "account", "amount", "top")
     assert as_set(got) == as_set(want)
 
 
