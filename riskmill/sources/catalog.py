@@ -50,7 +50,7 @@ def publish_all(
     root: str,
     table_format: str = "parquet",
     buckets: dict[str, tuple[int, str]] | None = None,
-    parallel: int = 3,
+    parallel: int = 6,
 ) -> dict[str, int]:
     """Publish several tables, a few at a time so that small ones do not leave the cluster idle."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")

@@ -4,13 +4,14 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from helpers import as_set, by_id, frame
+from helpers import as_set, by_id, frame, plan_text
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskmill.operators import dedup, impute, metrics, moving, quality, skew, split
 from riskmill.plans import gold
 from riskmill.plans import silver as silver_plan
+from riskmill.sources import workspace
 from riskmill.sources.driver_tables import read_table, transactions
 
 
@@ -40,6 +41,30 @@ def test_key_maximum_equals_window(events):
     assert as_set(got) == as_set(want)
 
 
+def test_hot_key_is_split_at_run_time(spark):
+    """With broadcasts off and thresholds sized to the test, AQE splits the partition of the hot key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        number = F.col("id")
+        key = F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), number % 5000))
+        rows = workspace.stage(spark.range(0, 200_000, 1, 16).select("id", key.alias("k"), (number % 977).alias("v")), "s")
+        got = skew.with_key_maximum(rows, "k", "v", "top")
+        assert len(got.collect()) == 200_000
+        assert "SortMergeJoin(skew=true)" in plan_text(got)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_hot_keys_are_bounded(events):
     hot = {r["account"]: r["_rows"] for r in skew.hot_keys(events, "account", 100).collect()}
     counts = {r["account"]: r["count"] for r in events.groupBy("account").count().collect()}
