@@ -313,6 +313,12 @@ ORACLE = {
         """SELECT d.occupation, d.age_category, count(*) AS n, round(sum(t.amount), 2) AS sum_amount
            FROM fact_transactions t LEFT JOIN dim_customers d ON t.customer_id = d.customer_id GROUP BY ALL"""
     ),
+    "sql_day_and_channel_totals": _over_gold(
+        """SELECT CAST(transaction_timestamp AS DATE) AS day, channel_id,
+           GROUPING(CAST(transaction_timestamp AS DATE), channel_id) AS gid, count(*) AS n,
+           round(sum(amount), 2) AS sum_amount FROM fact_transactions
+           GROUP BY GROUPING SETS ((CAST(transaction_timestamp AS DATE)), (channel_id), ())"""
+    ),
     "integrity_check": _over_gold(
         _union(
             [

@@ -287,7 +287,14 @@ def sql_risk_by_channel(spark, sf_dir):
 
 @query
 def sql_spend_by_occupation(spark, sf_dir):
-    return reports.gold_sql(spark, "spend_by_occupation", _published_gold(spark, sf_dir, ["fact_transactions", "dim_customers"]))
+    database = _published_gold(spark, sf_dir, ["fact_transactions", "dim_customers"])
+    return reports.gold_sql(spark, "spend_by_occupation", database)
+
+
+@query
+def sql_day_and_channel_totals(spark, sf_dir):
+    database = _published_gold(spark, sf_dir, ["fact_transactions"])
+    return reports.gold_sql(spark, "day_and_channel_totals", database)
 
 
 @query
@@ -357,7 +364,7 @@ def feature_means(spark, sf_dir):
 
 @query
 def impute_mean(spark, sf_dir):
-    filled = impute.fill_with_means(training.features(_silver(spark, sf_dir)), FEATURES)
+    filled = impute.fill_with_means(stage(training.features(_silver(spark, sf_dir)), "features"), FEATURES)
     return filled.withColumns({c: F.round(c, 6) for c in FEATURES})
 
 
@@ -375,8 +382,8 @@ def label_distribution(spark, sf_dir):
 
 @query
 def stratified_split(spark, sf_dir):
-    rows = split.stratified_split(_labelled_silver(spark, sf_dir), "TransactionID", "fraud_label")
-    return rows.select("TransactionID", "fraud_label", "part")
+    rows = stage(_labelled_silver(spark, sf_dir).select("TransactionID", "fraud_label"), "labels")
+    return split.stratified_split(rows, "TransactionID", "fraud_label")
 
 
 @query

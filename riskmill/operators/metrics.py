@@ -62,7 +62,8 @@ def area_under_roc(
     """One row with ``auc``: chance that a positive outscores a negative, ties counting half.
 
     NULL unless both labels occur. Equal scores are merged first. The running count of negatives is a
-    window inside narrow score bins plus an offset per bin, so no task has to sort all scores.
+    window inside narrow score bins plus an offset per bin, so no task has to sort all scores. The bins
+    themselves are ranked together: scores should lie in a small range, as probabilities do (8,193 bins).
     """
     weight = F.lit(1).cast("long") if weight is None else weight
     per_score = (

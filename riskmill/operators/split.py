@@ -46,7 +46,8 @@ def stratified_split(
 ) -> DataFrame:
     """Add 'train' or 'test' so that every label has exactly its rounded share of test rows.
 
-    ``label`` must take few values (here 0 and 1): the cutoffs, one row per label, are broadcast.
+    ``label`` must take few values (here 0 and 1): the cutoffs, one row per label, are broadcast. ``df``
+    should be a stored table; it is read three times, twice for id and label only.
     """
     cutoffs = test_cutoffs(df, row_id, label, test_share)
     return (

@@ -126,6 +126,11 @@ GOLD_SQL = {
         FROM {db}.fact_transactions t
         LEFT JOIN {db}.dim_customers d ON t.customer_id = d.customer_id
         GROUP BY d.occupation, d.age_category""",
+    "day_and_channel_totals": """
+        SELECT CAST(transaction_timestamp AS DATE) AS day, channel_id,
+               grouping_id() AS gid, count(*) AS n, round(sum(amount), 2) AS sum_amount
+        FROM {db}.fact_transactions
+        GROUP BY GROUPING SETS ((CAST(transaction_timestamp AS DATE)), (channel_id), ())""",
     "moving_amount": """
         WITH daily AS (
             SELECT customer_id, CAST(transaction_timestamp AS DATE) AS day, sum(amount) AS amount

@@ -9,19 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_local_folders: dict[str, str] = {}  # application id -> temporary folder, for local sessions only
+
+
+def configured_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session may go without the setting; it gets a fresh temporary folder for its lifetime.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors reach")
-        folder = tempfile.mkdtemp(prefix="riskmill-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder.rstrip("/")
+    folder = configured_folder(spark)
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors reach")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="riskmill-")
+        context.setCheckpointDir(_local_folders[context.applicationId])
+    return _local_folders[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

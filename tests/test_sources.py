@@ -116,6 +116,17 @@ def test_staging_uses_the_shared_folder(spark):
     assert as_set(staged) == as_set(spark.range(10))
 
 
+def test_shared_folder_without_setting(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "configured_folder", lambda _: None)
+    # The test session's own checkpoint folder must stay as it is.
+    monkeypatch.setattr(spark.sparkContext, "setCheckpointDir", lambda _: None)
+    folder = workspace.shared_folder(spark)
+    assert folder == workspace.shared_folder(spark) and "riskmill-" in folder
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(spark)
+
+
 def test_latest_run(spark):
     at = lambda d, **more: {"TransactionDate": datetime(2024, 1, d, 5), **more}
     rows = frame(
