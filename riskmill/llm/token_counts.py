@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmill.llm.common import as_bytes
-from riskmill.llm.tokens import WordTable, default_tokenizer, encode_words
+from riskmill.llm.tokens import default_tokenizer, encode_words, word_table
 
 COUNT_SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 TEXTS_AT_ONCE = 500
@@ -59,8 +59,8 @@ def count_tokens(
     """``doc_id, n_bytes, n_tokens, over_limit`` of every text, without special tokens.
 
     First tier: a broadcast table with the token counts of the ``table_size`` most frequent words. Second tier:
-    a cache in each worker, filled by encoding the words that are new to it, batch by batch. Rows stay where
-    they are: no word, text or document is shuffled. ``share`` and ``table_size`` decide about speed only.
+    a cache in each worker, kept from task to task and filled by encoding the words that are new to it, batch by
+    batch. Rows stay where they are: no word, text or document is shuffled. ``share`` and ``table_size`` decide about speed only.
 
     NULL and empty texts, and those of white space only, have 0 tokens; a NULL doc_id stays NULL; repeated rows
     are counted each; other columns are ignored; an empty table gives no rows.
@@ -72,13 +72,11 @@ def count_tokens(
     shared = spark.sparkContext.broadcast(lengths)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(path, len, shared.value)
+        table = word_table(path, len, shared.value)
         for whole in batches:
             for batch in _slices(whole):
                 texts = as_bytes(batch.column(1))
-                split = [t.split() for t in texts]
-                table.learn(split)
-                counts = [sum(map(table.__getitem__, words)) for words in split]
+                counts = [sum(lengths) for lengths in table.rows([t.split() for t in texts])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0),

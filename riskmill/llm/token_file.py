@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmill.llm.common import as_bytes
-from riskmill.llm.tokens import WordTable, default_tokenizer, packed
+from riskmill.llm.tokens import default_tokenizer, packed, word_table
 from riskmill.sources.workspace import fresh_path, stage
 
 SPAN_SCHEMA = "doc_id bigint, part int, path string, first bigint, n_tokens bigint"
@@ -135,16 +135,14 @@ def write_token_files(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        table, writer, position, target = WordTable(path, packed), None, 0, f"{folder}/{uuid.uuid4().hex}.arrows"
+        table, writer, position, target = word_table(path, packed), None, 0, f"{folder}/{uuid.uuid4().hex}.arrows"
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 batch = whole.slice(at, TEXTS_AT_ONCE)
                 writer = writer or SequenceWriter(target, length)
-                split = [t.split() for t in as_bytes(batch.column(1))]
-                table.learn(split)
                 firsts, counts = [], []
-                for words in split:
-                    ids = b"".join(map(table.__getitem__, words)) + end
+                for parts in table.rows([t.split() for t in as_bytes(batch.column(1))]):
+                    ids = b"".join(parts) + end
                     writer.add(ids)
                     firsts.append(position)
                     counts.append(len(ids) // 2)
