@@ -13,6 +13,7 @@ from riskmill.sources.workspace import stage
 PERMUTATIONS = 64  # each gives a minimum and a maximum: 128 values
 BANDS = 32  # of 4 values each; a pair at similarity 0.8 misses all bands once in about 20 million times
 PIVOT_ROUNDS = 3
+BITMAP = 2048  # bits
 _AT_ONCE = 4096
 
 _numbers = np.random.Generator(np.random.PCG64(20240229))
@@ -75,15 +76,27 @@ def _id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """One bit for each value of the hashes' first bits, as 64-bit words."""
+    bits = np.zeros(BITMAP, bool)
+    bits[(hashes >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """The full shingle sets of the wanted documents."""
+    """The full shingle sets of the wanted documents, with their sizes and bitmaps."""
 
     def shingles(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(text, shingle).view(np.int64) for text in as_bytes(batch.column(1))]
-        return {"doc_id": batch.column(0), "shingles": pa.array(sets, pa.list_(pa.int64()))}
+        sets = [shingle_set(text, shingle) for text in as_bytes(batch.column(1))]
+        return {
+            "doc_id": batch.column(0),
+            "n": pa.array(map(len, sets), pa.int64()),
+            "bits": pa.array([bitmap(h) for h in sets], pa.list_(pa.int64())),
+            "shingles": pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64())),
+        }
 
     rows = _id_and_text(docs).join(wanted, "doc_id", "left_semi")
-    return map_batches(rows, shingles, "doc_id bigint, shingles array<bigint>")
+    return map_batches(rows, shingles, "doc_id bigint, n bigint, bits array<bigint>, shingles array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -93,10 +106,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     1. Each set gets minima and maxima of 64 permutations, in 32 bands. Documents with the same set are
        linked to the one with the smallest id, which alone goes on.
-    2. In each band bucket, every member is compared with one pivot, on full sets. Then components are formed,
-       and buckets that still hold several components get another pivot, for three rounds in all.
-    3. What is left is compared too: members of one bucket that are still in different components. A group of
-       thousands of copies is one component after the first rounds and never becomes pairs.
+    2. In each band bucket, every member is compared with one pivot, on full sets. Then components are formed.
+       The pivot leaves its bucket, and buckets that still hold several components get another pivot, for three
+       rounds in all.
+    3. What is left is compared too: members of one bucket that are still in different components, unless their
+       bitmaps prove that they have too little in common. A group of thousands of copies is one component after
+       the first rounds and never becomes pairs.
 
     Documents are identified by doc_id: rows with the same id count as one document that has the links of all
     its texts. Rows with a NULL id are linked with nothing and kept. NULL, empty and white-space texts have no
@@ -117,10 +132,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     sets = stage(_sets(docs, wanted, shingle), "candidate-sets")
 
-    links = None  # between representatives
-    component = members.select("bucket", "rep", "n", F.col("rep").alias("component"))
+    links = unique.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)  # between representatives
+    component = stage(members.select("bucket", "rep", "n", F.col("rep").alias("component")), "open-buckets")
     for turn in range(PIVOT_ROUNDS):
-        component = stage(component, "open-buckets")
+        if component.isEmpty():
+            break
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
         pivots = component.groupBy("bucket").agg(
             F.min_by(F.struct("rep", "n", "component"), F.struct(order, "rep")).alias("p")
@@ -129,14 +145,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         pairs = component.join(pivots, "bucket").filter("component != pivot_component")
         pairs = pairs.filter(_sizes_allow("n", "pivot_n", percent))
         pairs = pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-        found = _confirmed(pairs, sets, percent)
-        links = stage(found if links is None else links.unionByName(found), "links")
-        component = _still_open(component, links)
-    component = stage(component, "open-buckets")
-    one, other = (component.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in ("rep", "n", "component")]) for k in "ab")
-    rest = one.join(other, "bucket").filter("rep_a < rep_b AND component_a != component_b")
-    rest = rest.filter(_sizes_allow("n_a", "n_b", percent)).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-    links = links.unionByName(_confirmed(rest.distinct(), sets, percent))
+        links = stage(links.unionByName(_confirmed(pairs, sets, percent)), "links")
+        compared = pivots.select("bucket", "pivot")
+        left = component.join(compared, "bucket").filter("rep != pivot").select("bucket", "rep", "n")
+        component = _still_open(left, links)
+    links = links.unionByName(_confirmed(_plausible_pairs(component, sets, percent), sets, percent))
 
     groups = connected_components(links.unionByName(copies), "near-dup")
     labelled = signed.select("doc_id", "n_shingles").join(groups, F.col("doc_id") == F.col("node"), "left")
@@ -153,6 +166,31 @@ def _sizes_allow(n: str, m: str, percent: int) -> str:
     return f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m})"
 
 
+def _plausible_pairs(component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket in different components that sizes and bitmaps allow to be similar enough.
+
+    A bit of one bitmap that the other lacks proves that at least one shingle is not shared. So the number of such
+    bits gives an upper bound of what two sets share, and a pair is left out only if it can't be linked.
+    """
+    sized = sets.select(F.col("doc_id").alias("rep"), "n", "bits")
+    rows = component.select("bucket", "rep", "component").join(sized, "rep")
+    one, other = (rows.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in rows.columns if c != "bucket"]) for k in "ab")
+
+    def shared_at_most(k: str, m: str):
+        missing = F.zip_with(f"bits_{k}", f"bits_{m}", lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+        return F.col(f"n_{k}") - F.aggregate(missing, F.lit(0), lambda a, x: a + x)
+
+    enough = f"{percent} * (n_a + n_b)"
+    allowed = (
+        F.expr(f"rep_a < rep_b AND component_a != component_b AND {_sizes_allow('n_a', 'n_b', percent)}")
+        & (shared_at_most("a", "b") * (100 + percent) >= F.expr(enough))
+        & (shared_at_most("b", "a") * (100 + percent) >= F.expr(enough))
+    )
+    same = F.col("x.bucket") == F.col("y.bucket")
+    pairs = one.alias("x").join(other.alias("y"), same & allowed)
+    return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
     for k in "ab":
@@ -166,10 +204,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _still_open(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members with their present components, in buckets that hold more than one."""
     groups = connected_components(links, "rep-groups").withColumnRenamed("component", "root")
-    current = members.select("bucket", "rep", "n").join(groups, F.col("rep") == F.col("node"), "left")
+    current = members.join(groups, F.col("rep") == F.col("node"), "left")
     current = stage(current.select("bucket", "rep", "n", F.coalesce("root", "rep").alias("component")), "members")
     several = current.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    return current.join(several.filter("x != y").select("bucket"), "bucket")
+    return stage(current.join(several.filter("x != y").select("bucket"), "bucket"), "open-buckets")
 
 
 def keep_one_of_each_group(docs: DataFrame, groups: DataFrame) -> DataFrame:
