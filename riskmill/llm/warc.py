@@ -4,7 +4,7 @@ Files are written by Spark's text writer and read by its text reader: a record's
 writer's line separator, and the reader splits at the end of a record followed by the next one's version line. So
 files may lie in any store that Spark knows, and a task reads record by record. The writer never lets that
 sequence occur inside a record: it starts a new chunk of the transfer coding within it, and cuts no segment so that
-one begins with the version line.
+one begins with the version line or a line break before it.
 """
 
 from __future__ import annotations
@@ -35,9 +35,13 @@ _VISIBLE = "".join(map(chr, range(33, 127)))
 
 
 def chunked(payload: bytes, size: int = CHUNK) -> bytes:
-    """Chunked transfer coding; a chunk ends inside whatever could be taken for the start of a record."""
-    ends = set(range(size, len(payload), size)) | {len(payload)}
+    """Chunked transfer coding; a chunk ends inside whatever could be taken for the start of a record.
+
+    A chunk follows a line break, so it must not begin with a line break and a version either.
+    """
+    ends = {0, len(payload), *range(size, len(payload), size)}
     ends.update(m.start() + 4 for m in re.finditer(rb"\r\n\r\nWARC/", payload))
+    ends = {end + payload.startswith(b"\r\nWARC/", end) for end in ends}
     out, first = [], 0
     for end in sorted(ends - {0}):
         out += [b"%x\r\n" % (end - first), payload[first:end], b"\r\n"]
@@ -61,11 +65,12 @@ def dechunked(body: bytes) -> bytes:
 
 
 def segments(block: bytes, size: int = SEGMENT) -> list[bytes]:
-    """Parts of at most ``size`` bytes (one more where a part would begin like a record)."""
+    """Parts of at most ``size`` bytes (one more where a part would begin like a record, or with a line break
+    before that, which would follow the line breaks of the part's own header)."""
     parts, at = [], 0
     while at < len(block) or not parts:
         end = min(len(block), at + size)
-        if block[end : end + 5] == b"WARC/":
+        if block.startswith((b"WARC/", b"\r\nWARC/"), end):
             end += 1
         parts.append(block[at:end])
         at = end

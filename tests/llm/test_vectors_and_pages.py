@@ -186,10 +186,13 @@ def test_incomplete_segments_fail(spark, tmp_path):
 
 
 def test_chunks():
-    for size in (1, 3, 8192):
-        for payload in (b"", b"abc", b"\r\n\r\nWARC/1.1\r\n" * 5, bytes(range(256)) * 9):
+    record = b"\r\nWARC/1.1\r\n"
+    for size in (1, 2, 3, 10, 11, 12, 13, 8192):
+        for payload in (b"", b"abc", b"\r\n" + record * 5, record * 9, record[2:] * 2000, bytes(range(256)) * 9):
             framed = warc.chunked(payload, size)
             assert warc.dechunked(framed) == payload and b"\r\n\r\nWARC/" not in framed
+            for part in warc.segments(framed, size):
+                assert b"\r\n\r\nWARC/" not in b"\r\n\r\n" + part
     assert warc.dechunked(b"3;x=y\r\nabc\r\n0\r\nTrailer: 1\r\n\r\n") == b"abc"
     with pytest.raises(ValueError, match="chunk"):
         warc.dechunked(b"2\r\nabc\r\n0\r\n\r\n")
