@@ -12,7 +12,9 @@ base AS (
 arrivals AS (
   SELECT *, 0 AS copy_no FROM base
   UNION ALL
-  SELECT *, 1 AS copy_no FROM base WHERE event_id % 50 = 7),
+  SELECT *, 1 AS copy_no FROM base WHERE event_id % 50 = 7
+  UNION ALL
+  SELECT *, 2 AS copy_no FROM base WHERE event_id % 50 = 9),
 raw AS (
   SELECT
     CASE WHEN event_id % 401 = 3 THEN NULL
@@ -24,20 +26,20 @@ raw AS (
     CASE WHEN event_id % 97 = 5 THEN NULL
          WHEN event_id % 41 = 0 THEN -value ELSE value * 20 END AS TransactionAmount,
     ts AS TransactionDate,
-    CASE event_type WHEN 'purchase' THEN 'Debit' WHEN 'click' THEN 'Credit' WHEN 'view' THEN 'Transfer'
-                    WHEN 'signup' THEN 'Withdrawal' ELSE 'Refund' END AS TransactionType,
+    CASE WHEN copy_no = 2 AND event_id % 100 = 9 THEN 'Withdrawn' WHEN event_type = 'purchase' THEN 'Debit' WHEN event_type = 'click' THEN 'Credit' WHEN event_type = 'view' THEN 'Transfer'
+                    WHEN event_type = 'signup' THEN 'Withdrawal' ELSE 'Refund' END AS TransactionType,
     CASE event_id % 9 WHEN 0 THEN 'Unknown' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE n_name END AS Location,
     concat('D', lpad(CAST(event_id % 681 AS VARCHAR), 6, '0')) AS DeviceID,
     CASE WHEN event_id % 37 = 1 THEN '' WHEN event_id % 53 = 2 THEN NULL
          ELSE concat(CAST(1 + event_id % 223 AS VARCHAR), '.', CAST(event_id % 251 AS VARCHAR), '.0.',
                      CAST(user_id % 250 AS VARCHAR)) END AS "IP Address",
-    concat('M', lpad(CAST(event_id * 7 % 100 AS VARCHAR), 3, '0')) AS MerchantID,
+    concat('M', lpad(CAST((event_id + copy_no // 2) * 7 % 100 AS VARCHAR), 3, '0')) AS MerchantID,
     CASE event_id % 4 WHEN 0 THEN 'ATM' WHEN 1 THEN 'Online' WHEN 2 THEN 'Branch' ELSE 'Mobile' END AS Channel,
     CAST(10 + user_id % 95 AS INTEGER) AS CustomerAge,
     CASE user_id % 4 WHEN 0 THEN 'Student' WHEN 1 THEN 'Doctor' WHEN 2 THEN 'Engineer'
                      ELSE 'Retired' END AS CustomerOccupation,
     CAST(10 + event_id % 290 AS INTEGER) AS TransactionDuration,
-    CAST(1 + event_id % 6 + copy_no AS INTEGER) AS LoginAttempts,
+    CAST(1 + event_id % 6 + copy_no % 2 AS INTEGER) AS LoginAttempts,
     CASE WHEN user_id % 149 = 1 THEN CAST(-1.0 AS DOUBLE) ELSE c_acctbal END AS AccountBalance,
     prev_ts AS PreviousTransactionDate
   FROM arrivals)"""
@@ -48,7 +50,11 @@ dedup AS (
     SELECT *, row_number() OVER (
       PARTITION BY TransactionID
       ORDER BY TransactionDate DESC NULLS LAST, LoginAttempts DESC NULLS LAST,
-               TransactionAmount DESC NULLS LAST) AS pos
+               TransactionAmount DESC NULLS LAST, AccountID DESC NULLS LAST, TransactionType DESC NULLS LAST,
+               "IP Address" DESC NULLS LAST, Channel DESC NULLS LAST, CustomerAge DESC NULLS LAST,
+               CustomerOccupation DESC NULLS LAST, DeviceID DESC NULLS LAST, MerchantID DESC NULLS LAST,
+               TransactionDuration DESC NULLS LAST, AccountBalance DESC NULLS LAST, Location DESC NULLS LAST,
+               PreviousTransactionDate DESC NULLS LAST) AS pos
     FROM raw)
   WHERE pos = 1)"""
 
@@ -137,6 +143,7 @@ judged AS (
          round(IsFrequentLogins + IsHighRiskChannel + TransactionHour / 24.0::DOUBLE, 6) AS score
   FROM scored)"""
 
+# Fixed values, kept apart from the code they check: names of features, payload fields, tables and columns.
 _FEATURE_NAMES = [
     "TransactionAmount", "LoginAttempts", "TransactionDuration", "AccountBalance", "CustomerAge",
     "TransactionHour", "TransactionDayOfWeek", "TransactionMonth", "DaysSincePreviousTransaction",
@@ -188,6 +195,26 @@ def _over_judged(select: str) -> str:
     return f"WITH {RAW}{DEDUP}{CLEAN}{SILVER}{SCORED}{STAND_IN}\n{select}"
 
 
+def _over_payloads(select: str) -> str:
+    nulls = " OR ".join(f"{f} IS NULL" for f in _FEATURE_NAMES)
+    return f"""WITH {RAW}{DEDUP}{CLEAN}{SILVER},
+payloads AS (
+  SELECT *, TransactionDuration % 13 = 5 AS bad_logins, TransactionHour = 7 AS bad_amount, {nulls} AS incomplete
+  FROM silver)
+{select}"""
+
+
+# The first valid copy to arrive: fewest logins, then the smallest merchant (the test streams deliver them so).
+_FIRST_VALID = f"""WITH {RAW},
+first_valid AS (
+  SELECT * EXCLUDE (pos, nth) FROM (
+    SELECT *, row_number() OVER (PARTITION BY TransactionID ORDER BY nth) AS pos FROM (
+      SELECT *, row_number() OVER (PARTITION BY TransactionID
+                                   ORDER BY LoginAttempts, MerchantID, TransactionType) AS nth FROM raw)
+    WHERE {FILTERS})
+  WHERE pos = 1)"""
+
+
 def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -234,21 +261,49 @@ ORACLE = {
         """SELECT 'bronze' AS layer, count(*) AS rows, CAST(0 AS INTEGER) AS columns_missing FROM raw
            UNION ALL SELECT 'silver', count(*), CAST(0 AS INTEGER) FROM clean"""
     ),
-    "contract_rejects": _over_silver(
+    "contract_rejects": _over_payloads(
         "SELECT * FROM ("
         + _union(
             [
                 f"SELECT 'missing:{p}' AS reason, count(*) AS n FROM silver WHERE {f} IS NULL"
                 for f, p in zip(_FEATURE_NAMES, _PAYLOAD_NAMES)
             ]
+            + [
+                "SELECT 'malformed:login_attempts', count(*) FROM payloads WHERE bad_logins",
+                "SELECT 'malformed:transaction_amount', count(*) FROM payloads WHERE bad_amount",
+            ]
         )
         + ") WHERE n > 0"
     ),
+    "contract_split": _over_payloads(
+        """SELECT CASE WHEN incomplete OR bad_logins OR bad_amount THEN 'rejected' ELSE 'good' END AS part,
+           count(*) AS n FROM payloads GROUP BY 1"""
+    ),
+    "payload_stream": _over_payloads(
+        """SELECT CASE WHEN reasons = '' THEN 'decided' ELSE reasons END AS outcome, count(*) AS n
+           FROM (SELECT concat_ws(',', """
+        + ", ".join(
+            {
+                "LoginAttempts": "CASE WHEN bad_logins THEN 'malformed:login_attempts' END",
+                "TransactionAmount": "CASE WHEN bad_amount THEN 'malformed:transaction_amount' END",
+            }.get(f, f"CASE WHEN {f} IS NULL THEN 'missing:{p}' END")
+            for f, p in zip(_FEATURE_NAMES, _PAYLOAD_NAMES)
+        )
+        + """) AS reasons FROM payloads) GROUP BY 1"""
+    ),
+    "csv_by_name": _over_raw("SELECT TransactionID, AccountID, TransactionAmount, TransactionDate FROM raw"),
+    "csv_rejects": _over_raw(
+        """SELECT count(*) AS n, count(*) FILTER (WHERE TransactionDuration % 7 = 3) AS n_rejected,
+           count(*) FILTER (WHERE TransactionDuration % 7 = 3) AS n_unknown FROM raw"""
+    ),
+    "source_rows": _union(
+        [f"SELECT '{t}.parquet' AS file, count(*) AS rows FROM {t}" for t in ("events", "customer", "nation")]
+    ),
     "gold_publish": _over_gold(
         _union([f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in _GOLD_TABLES])
     ),
     "gold_check": _over_gold(
-        _union([f"SELECT '{t}' AS \"table\", count(*) AS rows, true AS \"exists\" FROM {t}" for t in _GOLD_TABLES])
+        _union([f"SELECT '{t}' AS \"table\", count(*) AS rows, true AS \"exists\", true AS listed FROM {t}" for t in _GOLD_TABLES])
     ),
     "catalog_tables": _over_gold(
         _union([f"SELECT '{t}' AS \"table\" FROM {t} HAVING count(*) > 0" for t in _GOLD_TABLES])
@@ -265,7 +320,8 @@ ORACLE = {
     "silver_clean": _over_clean("SELECT * FROM clean"),
     "silver_features": _over_silver("SELECT * FROM silver"),
     "quality_report": _over_clean(
-        """SELECT i AS initial_rows, f AS final_rows, i - f AS removed, round(100.0::DOUBLE * (i - f) / i, 4) AS removed_pct
+        """SELECT i AS initial_rows, f AS final_rows, i - f AS removed, round(100.0::DOUBLE * (i - f) / i, 4) AS removed_pct,
+           CAST(15 AS INTEGER) AS new_features
            FROM (SELECT (SELECT count(*) FROM raw) AS i, (SELECT count(*) FROM clean) AS f)"""
     ),
     "quality_by_rule": _over_dedup(
@@ -396,7 +452,19 @@ ORACLE = {
                  count(*) FILTER (WHERE label = 0) OVER () AS n_neg FROM judged)
            GROUP BY n_pos, n_neg"""
     ),
-    "stream_features": f"WITH {RAW},\nvalid AS (SELECT * FROM raw WHERE {FILTERS})\n{FEATURES_OF} valid",
+    "stream_features": f"{_FIRST_VALID}\n{FEATURES_OF} first_valid",
+    "stream_ids_scored": f"{_FIRST_VALID}\nSELECT TransactionID, CAST(1 AS BIGINT) AS n FROM first_valid",
+    "batch_ids_scored": _over_clean("SELECT TransactionID, true AS decided FROM clean"),
+    "train_counts": _over_scored(
+        """SELECT count(*) AS total_samples, round(avg(fraud_label), 6) AS fraud_rate, CAST(16 AS INTEGER) AS n_features
+           FROM scored"""
+    ),
+    "split_counts": _over_scored(
+        """SELECT fraud_label, part, count(*) AS n FROM (
+             SELECT fraud_label, CASE WHEN pos <= round(n * 0.2) THEN 'test' ELSE 'train' END AS part
+             FROM (SELECT fraud_label, row_number() OVER (PARTITION BY fraud_label) AS pos,
+                   count(*) OVER (PARTITION BY fraud_label) AS n FROM scored)) GROUP BY ALL"""
+    ),
     "stream_dedup": _over_raw("SELECT DISTINCT TransactionID FROM raw WHERE TransactionID IS NOT NULL"),
 }
 

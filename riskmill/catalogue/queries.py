@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskmill.functions import rules
@@ -24,9 +26,9 @@ from riskmill.schemas import (
     TRANSACTION_COLUMNS,
 )
 from riskmill.sources import catalog, files
-from riskmill.sources.driver_tables import transactions
+from riskmill.sources.driver_tables import read_table, transactions
 from riskmill.sources.registry import ModelRegistry
-from riskmill.sources.workspace import fresh_path, shared_folder, stage
+from riskmill.sources.workspace import application_folder, fresh_path, stage
 from riskmill.streaming import transactions as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,7 +63,7 @@ def _silver(
     if features is None:
         return silver_plan.silver(_bronze(spark, sf_dir))
     sources = {source for feature in features for source in FEATURE_SOURCES[feature]}
-    bronze = _bronze(spark, sf_dir, {*silver_plan.REQUIRED, *sources, *columns})
+    bronze = _bronze(spark, sf_dir, silver_plan.with_ties([*sources, *columns]))
     return silver_plan.silver(bronze, only=features)
 
 
@@ -71,17 +73,28 @@ def _staged_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _published_gold(
-    spark: SparkSession, sf_dir: str, names: Sequence[str] = GOLD_TABLES, fact_buckets: int | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    names: Sequence[str] = GOLD_TABLES,
+    features: Sequence[str] | None = None,
+    columns: Sequence[str] = (),
+    fact_buckets: int | None = None,
 ) -> str:
-    """Publish Gold tables from a stored Silver layer; gives the database's name."""
+    """Publish Gold tables from a stored Silver layer with the named features and Bronze columns (by default
+    all); gives the database's name."""
     source = fresh_path(spark, "silver")
-    _silver(spark, sf_dir).write.parquet(source)
+    _silver(spark, sf_dir, features, columns).write.parquet(source)
     target = fresh_path(spark, "gold")
     database = "gold_" + target.rsplit("-", 1)[1]
     run_gold(spark, source, target, database, fact_buckets=fact_buckets, names=names)
     return database
 
 
+def _large_bucket_count(spark: SparkSession, sf_dir: str) -> int:
+    """Buckets for facts of this input: one per million events, so that a bucket fits a task at any size."""
+    return max(2, -(-read_table(spark, sf_dir, "events").count() // 1_000_000))
+
+
 # --- Sources, sinks, catalog ------------------------------------------------------------------------
 
 
@@ -128,9 +141,47 @@ def schema_evolution(spark, sf_dir):
     )
 
 
+@query
+def csv_by_name(spark, sf_dir):
+    """Columns in another order than the declared one, and one more."""
+    path = fresh_path(spark, "csv")
+    rows = _bronze(spark, sf_dir, ["TransactionID", "AccountID", "TransactionAmount", "TransactionDate"])
+    others = [F.lit(None).cast("string").alias(c) for c in TRANSACTION_COLUMNS if c not in rows.columns]
+    wide = rows.select(*reversed(rows.columns), F.lit("more").alias("Comment"), *others)
+    files.write_csv(wide, path)
+    return files.read_csv(spark, path, files.CSV_TIME_MICROS).select(rows.columns)
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    """Rows read, and raw lines of those with a value that does not parse, by what stands in its place."""
+    path = fresh_path(spark, "csv")
+    rows = _bronze(spark, sf_dir)
+    duration = F.col("TransactionDuration")
+    broken = F.when(duration % 7 == 3, "unknown").otherwise(duration.cast("string"))
+    files.write_csv(rows.withColumn("TransactionDuration", broken), path)
+    read = stage(files.read_csv(spark, path, files.CSV_TIME_MICROS, keep_corrupt=True), "csv-rows")
+    raw = F.col(files.CORRUPT)
+    return read.select("TransactionID", raw.alias("raw")).agg(
+        F.count("*").alias("n"), F.count("raw").alias("n_rejected"), F.count_if(F.contains("raw", F.lit("unknown"))).alias("n_unknown")
+    )
+
+
 @query
 def source_files(spark, sf_dir):
-    return files.list_files(spark, sf_dir, "*.parquet")
+    """Size in bytes and rows of the files of the tables read here."""
+    names = ["events", "customer", "nation"]
+    rows = [
+        read_table(spark, sf_dir, name).select(F.col("_metadata.file_name").alias("file")).groupBy("file").agg(F.count("*").alias("rows"))
+        for name in names
+    ]
+    listed = files.list_files(spark, sf_dir, "*.parquet")
+    return listed.join(reduce(DataFrame.unionAll, rows), "file")
+
+
+@query
+def source_rows(spark, sf_dir):
+    return source_files(spark, sf_dir).select("file", "rows")
 
 
 @query
@@ -148,9 +199,31 @@ def layer_check(spark, sf_dir):
     )
 
 
+def _text_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as text payloads, some with fields that are not numbers."""
+    texts = to_payload(_silver(spark, sf_dir))
+    seconds, hour = F.col("transaction_duration").cast("int"), F.col("transaction_hour").cast("int")
+    return texts.withColumns(
+        {
+            "login_attempts": F.when(seconds % 13 == 5, "two").otherwise(F.col("login_attempts")),
+            "transaction_amount": F.when(hour == 7, F.concat("transaction_amount", F.lit(" EUR"))).otherwise(
+                F.col("transaction_amount")
+            ),
+        }
+    )
+
+
 @query
 def contract_rejects(spark, sf_dir):
-    return quality.count_rejects(to_payload(_silver(spark, sf_dir)), PAYLOAD_FIELDS)
+    return quality.count_rejects(_text_payloads(spark, sf_dir), PAYLOAD_FIELDS)
+
+
+@query
+def contract_split(spark, sf_dir):
+    """Payloads accepted and rejected; together they are all of them."""
+    good, bad = quality.split_by_contract(stage(_text_payloads(spark, sf_dir), "payloads"), PAYLOAD_FIELDS)
+    named = [good.select(F.lit("good").alias("part")), bad.select(F.lit("rejected").alias("part"))]
+    return named[0].unionByName(named[1]).groupBy("part").agg(F.count("*").alias("n"))
 
 
 @query
@@ -161,8 +234,10 @@ def gold_publish(spark, sf_dir):
 
 @query
 def gold_check(spark, sf_dir):
+    """Expected tables with rows, and whether the catalog lists them."""
     database = _published_gold(spark, sf_dir)
-    return catalog.check_tables(spark, database, GOLD_TABLES)
+    listed = catalog.list_tables(spark, database).withColumn("listed", F.lit(True))
+    return catalog.check_tables(spark, database, GOLD_TABLES).join(listed, "table", "left")
 
 
 @query
@@ -181,17 +256,17 @@ def latest_run(spark, sf_dir):
 
 @query
 def dedup_latest(spark, sf_dir):
-    return silver_plan.deduplicate(_bronze(spark, sf_dir), total=True)
+    return silver_plan.deduplicate(_bronze(spark, sf_dir))
 
 
 @query
 def silver_clean(spark, sf_dir):
-    return silver_plan.clean(_bronze(spark, sf_dir), total=True)
+    return silver_plan.clean(_bronze(spark, sf_dir))
 
 
 @query
 def silver_features(spark, sf_dir):
-    return silver_plan.silver(_bronze(spark, sf_dir), total=True)
+    return silver_plan.silver(_bronze(spark, sf_dir))
 
 
 @query
@@ -261,6 +336,7 @@ def risk_score(spark, sf_dir):
 
 @query
 def gold_count(spark, sf_dir):
+    # Facts are counted, so only what the table's own expressions need is stored.
     return reports.gold_sql(spark, "count", _published_gold(spark, sf_dir, ["fact_transactions"]))
 
 
@@ -282,7 +358,7 @@ def risk_by_channel(spark, sf_dir):
 def sql_risk_by_channel(spark, sf_dir):
     """SQL on published Gold tables whose facts are bucketed alike."""
     names = ["fact_transactions", "fact_fraud_risk", "dim_channels"]
-    return reports.gold_sql(spark, "risk_by_channel", _published_gold(spark, sf_dir, names, fact_buckets=8))
+    return reports.gold_sql(spark, "risk_by_channel", _published_gold(spark, sf_dir, names, fact_buckets=_large_bucket_count(spark, sf_dir)))
 
 
 @query
@@ -418,26 +494,55 @@ def auc_rank(spark, sf_dir):
 
 
 def _registry(spark: SparkSession, sf_dir: str) -> ModelRegistry:
-    """The application's model registry for this input; trains and registers a model if it has none."""
-    name = sf_dir.strip("/").replace("/", "_")
-    root = f"{shared_folder(spark)}/riskmill/{spark.sparkContext.applicationId}/models-{name}"
+    """A registry with the model of this input's content; trains and registers it if there is none yet.
+
+    The folder is named by a fingerprint of all Silver rows, so a model is used again only for equal rows, and
+    what a query returns does not depend on those that ran before it.
+    """
+    silver = _staged_silver(spark, sf_dir)
+    rows, mixed = silver.agg(F.count("*"), F.bit_xor(F.xxhash64(*silver.columns))).first()
+    root = f"{application_folder(spark)}/models-{rows}-{(mixed or 0) & (2**64 - 1):016x}"
     registry = ModelRegistry(spark, root)
     try:
         registry.latest_path()
     except FileNotFoundError:
-        train_and_register(spark, _staged_silver(spark, sf_dir), root)
+        train_and_register(spark, silver, root)
     return registry
 
 
+def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    return _registry(spark, sf_dir).load_latest(training.failed_checks)
+
+
 @query
 def train_rf(spark, sf_dir):
     """Metrics of a newly trained model."""
     return training.train(_staged_silver(spark, sf_dir), fresh_path(spark, "model")).metrics
 
 
+@query
+def train_counts(spark, sf_dir):
+    """What of a model's metrics follows from the exact split alone."""
+    rows = _registry(spark, sf_dir).entries().select("total_samples", F.round("fraud_rate", 6).alias("fraud_rate"))
+    return rows.withColumn("n_features", F.lit(len(FEATURES)))
+
+
+@query
+def split_counts(spark, sf_dir):
+    """Rows by label and part of the split that training uses."""
+    rows = stage(_labelled_silver(spark, sf_dir).select("TransactionID", "fraud_label"), "labels")
+    parts = split.stratified_split(rows, "TransactionID", "fraud_label", training.TEST_SHARE)
+    return parts.groupBy("fraud_label", "part").agg(F.count("*").alias("n"))
+
+
+@query
+def batch_ids_scored(spark, sf_dir):
+    return score_batch(spark, sf_dir).select("TransactionID", F.col("action").isin("block", "allow").alias("decided"))
+
+
 @query
 def feature_importance(spark, sf_dir):
-    return training.feature_importance(spark, _registry(spark, sf_dir).load_latest())
+    return training.feature_importance(spark, _model(spark, sf_dir))
 
 
 @query
@@ -447,22 +552,37 @@ def model_registry(spark, sf_dir):
 
 @query
 def model_check(spark, sf_dir):
-    return training.check_model(spark, _registry(spark, sf_dir).load_latest())
+    return training.check_model(spark, _model(spark, sf_dir))
 
 
 @query
 def score_batch(spark, sf_dir):
-    return score(_silver(spark, sf_dir), _registry(spark, sf_dir).load_latest())
+    return score(_silver(spark, sf_dir), _model(spark, sf_dir))
 
 
 # --- Streaming --------------------------------------------------------------------------------------
 
+ARRIVALS = 6
+
 
 def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transactions as files a stream picks up."""
+    """The transactions as a stream of six files whose times overlap, one in each micro-batch.
+
+    Later copies of a transaction are in later files, so it is known which copy arrives first.
+    """
     path = fresh_path(spark, "arriving")
-    _bronze(spark, sf_dir).write.parquet(path)
-    return streaming.read_transactions(spark, path)
+    copy = F.row_number().over(Window.partitionBy("TransactionID").orderBy(*_first_copy()))
+    later = F.when(F.col("TransactionID").isNotNull() & (copy > 1), 3).otherwise(0)
+    number = F.pmod(F.hash("AccountID"), F.lit(3)) + later
+    rows = stage(_bronze(spark, sf_dir).withColumn("_arrival", number), "arrivals")
+    for k in range(ARRIVALS):
+        rows.filter(F.col("_arrival") == k).drop("_arrival").coalesce(1).write.mode("append").parquet(path)
+    return streaming.read_transactions(spark, path, max_files_per_batch=1)
+
+
+def _first_copy() -> list[Column]:
+    """Fewest logins first, then the smallest merchant."""
+    return [F.col("LoginAttempts").asc(), F.col("MerchantID").asc(), F.col("TransactionType").asc()]
 
 
 def _run(stream: DataFrame, name: str) -> DataFrame:
@@ -472,8 +592,13 @@ def _run(stream: DataFrame, name: str) -> DataFrame:
 
 @query
 def stream_score(spark, sf_dir):
-    model = _registry(spark, sf_dir).load_latest()
-    return _run(streaming.score_stream(_arriving(spark, sf_dir), model), "scored")
+    return _run(streaming.score_stream(_arriving(spark, sf_dir), _model(spark, sf_dir)), "scored")
+
+
+@query
+def stream_ids_scored(spark, sf_dir):
+    """Each transaction with a valid copy is decided once."""
+    return stream_score(spark, sf_dir).groupBy("TransactionID").agg(F.count("*").alias("n"))
 
 
 @query
@@ -483,5 +608,17 @@ def stream_features(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    unique = streaming.dedup_stream(_arriving(spark, sf_dir), "1 day").select("TransactionID")
-    return _run(unique, "stream-unique")
+    return _run(streaming.dedup_stream(_arriving(spark, sf_dir)).select("TransactionID"), "stream-unique")
+
+
+@query
+def payload_stream(spark, sf_dir):
+    """JSON payloads as a stream: how many were decided, and how many rejected for which reason."""
+    source, scored, bad = (fresh_path(spark, name) for name in ("payloads", "decided", "rejected"))
+    _text_payloads(spark, sf_dir).repartition(4).write.json(source)
+    payloads = streaming.read_payloads(spark, source, max_files_per_batch=1)
+    checkpoint = fresh_path(spark, "payload-checkpoint")
+    streaming.score_payload_stream(payloads, _model(spark, sf_dir), scored, bad, checkpoint).awaitTermination()
+    decided = spark.read.parquet(scored).select(F.lit("decided").alias("outcome"))
+    rejected = spark.read.parquet(bad).select(F.array_join("reasons", ",").alias("outcome"))
+    return decided.unionByName(rejected).groupBy("outcome").agg(F.count("*").alias("n"))

@@ -6,9 +6,14 @@ them are built-in functions, so they stay inside whole-stage code generation.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskmill.schemas import LABEL_FLAGS
+
 # Fixed values of the risk model and of the channel dimension.
 VALID_TYPES = ["Debit", "Credit", "Transfer", "Withdrawal"]
 HIGH_RISK_LOCATIONS = ["Unknown", ""]
@@ -90,12 +95,7 @@ def channel_risk_level(channel: Column) -> Column:
 
 def fraud_risk_score() -> Column:
     """Number of the four risk factors present, 0 to 4, from the Silver flags."""
-    return (
-        F.col("IsFrequentLogins").cast("int")
-        + F.col("IsHighRiskLocation").cast("int")
-        + F.col("IsHighRiskChannel").cast("int")
-        + F.col("IsLargeTransaction").cast("int")
-    )
+    return reduce(add, map(F.col, LABEL_FLAGS))
 
 
 def fraud_label() -> Column:

@@ -8,19 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def keep_latest(df: DataFrame, key: str, newest_first: Sequence[str], total: bool = False) -> DataFrame:
+def keep_latest(df: DataFrame, key: str, newest_first: Sequence[str]) -> DataFrame:
     """The first row of each key when sorted by ``newest_first`` descending, NULLs last.
 
+    ``df`` must have a beginning of the columns of ``newest_first``, besides the key, and no others: then rows
+    that tie are equal, and the survivor does not depend on which of the remaining columns were read.
+
     Spark limits each map task to one row per key before the shuffle (WindowGroupLimit), so a key with
     a third of all rows sends one row per task and never fills a reducer. NULL keys form one group.
-
-    ``total=True`` adds all other columns to the order: use it where every column is kept anyway. By
-    default only the named columns are compared, which lets Spark prune the rest from scan and shuffle.
     """
-    order = list(newest_first)
-    if total:
-        order += [c for c in df.columns if c not in order and c != key]
-    window = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in order])
+    present = [c for c in newest_first if c in df.columns]
+    if present != list(newest_first[: len(present)]) or set(df.columns) - {key, *present}:
+        raise ValueError(f"columns {df.columns} are not the key and a beginning of the order {list(newest_first)}")
+    window = Window.partitionBy(key).orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in present])
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")
 
 

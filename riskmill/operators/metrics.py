@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SCORE_BINS_PER_UNIT = 8_192
+from riskmill.sources.workspace import stage
 
 
 def _count_cases(label: str, prediction: str, weight: Column) -> dict[str, Column]:
@@ -61,25 +61,24 @@ def area_under_roc(
 ) -> DataFrame:
     """One row with ``auc``: chance that a positive outscores a negative, ties counting half.
 
-    NULL unless both labels occur. Equal scores are merged first. The running count of negatives is a
-    window inside narrow score bins plus an offset per bin, so no task has to sort all scores. The bins
-    themselves are ranked together: scores should lie in a small range, as probabilities do (8,193 bins).
+    NULL unless both labels occur; a NULL or NaN score is an error. Equal scores are merged first, then dealt
+    out by ranges of scores and stored, so that the running count of negatives is a window inside each range
+    plus an offset per range: balanced whatever the scores, with one row per range in the only unsplit window.
     """
     weight = F.lit(1).cast("long") if weight is None else weight
-    per_score = (
-        df.groupBy(F.col(score).cast("double").alias("_score"))
-        .agg(
-            F.sum(F.when(F.col(label) == 1, weight).otherwise(0)).alias("_pos"),
-            F.sum(F.when(F.col(label) == 0, weight).otherwise(0)).alias("_neg"),
-        )
-        .withColumn("_bin", F.floor(F.col("_score") * SCORE_BINS_PER_UNIT))
+    value = F.col(score).cast("double")
+    refused = F.raise_error(F.lit("a score is NULL or NaN")).cast("double")
+    per_score = df.groupBy(F.when(value.isNull() | F.isnan(value), refused).otherwise(value).alias("_score")).agg(
+        F.sum(F.when(F.col(label) == 1, weight).otherwise(0)).alias("_pos"),
+        F.sum(F.when(F.col(label) == 0, weight).otherwise(0)).alias("_neg"),
     )
-    per_bin = per_score.groupBy("_bin").agg(F.sum("_neg").alias("_bin_neg"))
-    offsets = per_bin.select(
-        "_bin", (F.sum("_bin_neg").over(Window.orderBy("_bin")) - F.col("_bin_neg")).alias("_offset")
+    ranged = stage(per_score.repartitionByRange("_score").withColumn("_range", F.spark_partition_id()), "scores")
+    per_range = ranged.groupBy("_range").agg(F.sum("_neg").alias("_range_neg"))
+    offsets = per_range.select(
+        "_range", (F.sum("_range_neg").over(Window.orderBy("_range")) - F.col("_range_neg")).alias("_offset")
     )
-    below = F.sum("_neg").over(Window.partitionBy("_bin").orderBy("_score")) - F.col("_neg")
-    ranked = per_score.withColumn("_inside", below).join(offsets, "_bin")
+    below = F.sum("_neg").over(Window.partitionBy("_range").orderBy("_score")) - F.col("_neg")
+    ranked = ranged.withColumn("_inside", below).join(offsets, "_range")
     wins = F.col("_pos") * (F.col("_offset") + F.col("_inside") + F.col("_neg") / 2)
     totals = ranked.agg(F.sum(wins).alias("w"), F.sum("_pos").alias("p"), F.sum("_neg").alias("n"))
     return totals.select(F.try_divide(F.col("w"), F.col("p") * F.col("n").cast("double")).alias("auc"))

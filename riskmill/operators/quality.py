@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskmill.functions.features import FEATURE_SOURCES
 from riskmill.functions.rules import quality_rules
 
 
@@ -17,7 +18,7 @@ def _checked_survivors(bronze: DataFrame, newest_first: Sequence[str]) -> DataFr
     """
     rules = quality_rules()
     checks = F.struct(*[check.alias(name) for name, check in rules.items()])
-    order = F.struct(*[F.col(c) for c in newest_first])
+    order = F.struct(*[F.col(f"`{c}`") for c in newest_first if c in bronze.columns])
     return bronze.groupBy("TransactionID").agg(
         F.max_by(checks, order).alias("checks"), F.count("*").alias("copies")
     )
@@ -31,14 +32,21 @@ def _passes_all() -> Column:
 
 
 def quality_report(bronze: DataFrame, newest_first: Sequence[str]) -> DataFrame:
-    """Rows before and after cleaning, in one pass; an empty layer gives a NULL percentage."""
+    """Rows before and after cleaning, and derived columns, in one pass; an empty layer gives a NULL percentage.
+
+    ``newest_first`` is the order that chooses Silver's survivors; it must begin with what the rules read.
+    """
     counted = _checked_survivors(bronze, newest_first).agg(
         F.coalesce(F.sum("copies"), F.lit(0).cast("long")).alias("initial_rows"),
         F.count_if(_passes_all()).alias("final_rows"),
     )
     removed = F.col("initial_rows") - F.col("final_rows")
     return counted.withColumns(
-        {"removed": removed, "removed_pct": F.round(F.try_divide(100 * removed, F.col("initial_rows")), 4)}
+        {
+            "removed": removed,
+            "removed_pct": F.round(F.try_divide(100 * removed, F.col("initial_rows")), 4),
+            "new_features": F.lit(len(FEATURE_SOURCES)),
+        }
     )
 
 

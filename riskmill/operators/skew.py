@@ -7,61 +7,39 @@ from pyspark.sql import functions as F
 
 from riskmill.sources.workspace import stage
 
-MAX_HOT_KEYS = 20_000
-MIN_HOT_ROWS = 1_000_000
-
-
-def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Keys too big for one task, with their row counts (columns: key, ``_rows``).
-
-    A key is hot when it holds at least ``min_rows`` rows and one part in MAX_HOT_KEYS of all rows. Shares
-    add up to one, so there are at most MAX_HOT_KEYS of them whatever the data: the table can always be
-    broadcast. ``df`` should be a stored table, whose rows are counted from file footers.
-    """
-    smallest = max(min_rows, -(-df.count() // MAX_HOT_KEYS))
-    return df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= smallest)
-
 
 def _minute(ts: Column) -> Column:
     """Minutes since 1970-01-01 of a timestamp without time zone."""
     return F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
 
 
-def with_previous_time(
-    df: DataFrame, key: str, time: str, tie: str, output: str, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
-    """Add the time of the key's preceding row: ``lag(time)`` ordered by time and tie.
-
-    Rows of a hot key are spread over one group per minute; the first row of a minute takes the last time
-    of the key's preceding minute, found on a table with one row per hot key and minute. Other keys stay
-    in one group, so ordinary data pays one shuffle as with a plain window. A row without key has no
-    preceding row; such rows are spread by minute too.
+def with_previous_time(df: DataFrame, key: str, time: str, tie: str, output: str) -> DataFrame:
+    """Add the time of the key's preceding row: ``lag(time)`` ordered by time and tie, NULL times first.
 
-    ``df`` should be a stored table. With fewer than ``min_rows`` rows no key can be hot, and the plain
-    window is used.
+    Rows of equal time need no order among them, except that the one with the smallest tie looks back to an
+    earlier time. So the windows run over distinct (key, time) pairs, reduced on the map side: inside a minute
+    of a key, and over the last times of its minutes. However many rows share a key, or a key and a time, no
+    group holds more than the distinct times of a minute or the minutes of a key. A row without key or time has
+    no preceding row and takes part in no window. Rows that share key, time and the smallest tie all look back.
     """
-    if df.count() < min_rows:
-        plain = F.lag(time).over(Window.partitionBy(key).orderBy(time, tie))
-        return df.withColumn(output, F.when(F.col(key).isNotNull(), plain))
-    hot = stage(hot_keys(df, key, min_rows).select(F.col(key).alias("_hot_key")), "hot-keys")
-    is_spread = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    sliced = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_slice", F.when(is_spread, _minute(F.col(time)))
-    )
-    ends = (
-        sliced.filter(F.col("_hot_key").isNotNull())
-        .groupBy(F.col("_hot_key").alias("_end_key"), F.col("_slice").alias("_end_slice"))
-        .agg(F.max(time).alias("_end"))
+    moments = (
+        df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+        .groupBy(F.col(key).alias("_key"), F.col(time).alias("_time"))
+        .agg(F.min(tie).alias("_first"))
+        .withColumn("_minute", _minute(F.col("_time")))
     )
-    by_slice = Window.partitionBy("_end_key").orderBy("_end_slice")
-    carried = ends.select("_end_key", "_end_slice", F.lag("_end").over(by_slice).alias("_carried"))
-    inside = Window.partitionBy(key, "_slice").orderBy(time, tie)
-    return (
-        sliced.withColumn("_inside", F.lag(time).over(inside))
-        .join(carried, (F.col(key) == F.col("_end_key")) & (F.col("_slice") == F.col("_end_slice")), "left")
-        .withColumn(output, F.when(F.col(key).isNotNull(), F.coalesce("_inside", "_carried")))
-        .drop("_hot_key", "_slice", "_inside", "_end_key", "_end_slice", "_carried")
+    inside = Window.partitionBy("_key", "_minute").orderBy("_time")
+    ends = moments.groupBy("_key", "_minute").agg(F.max("_time").alias("_end"))
+    by_minute = Window.partitionBy("_key").orderBy("_minute")
+    carried = ends.select("_key", "_minute", F.lag("_end").over(by_minute).alias("_carried"))
+    earlier = (
+        moments.withColumn("_inside", F.lag("_time").over(inside))
+        .join(carried, ["_key", "_minute"])
+        .select("_key", "_time", "_first", F.coalesce("_inside", "_carried").alias("_earlier"))
     )
+    same = (F.col(key) == F.col("_key")) & (F.col(time) == F.col("_time"))
+    previous = F.when(F.col(tie) == F.col("_first"), F.col("_earlier")).otherwise(F.col("_time"))
+    return df.join(earlier, same, "left").withColumn(output, previous).drop("_key", "_time", "_first", "_earlier")
 
 
 def with_key_maximum(df: DataFrame, key: str, value: str, output: str) -> DataFrame:

@@ -11,6 +11,9 @@ from riskmill.plans.training import predict
 from riskmill.schemas import FEATURES, PAYLOAD_FIELDS
 
 
+PAYLOAD_SCHEMA = "TransactionID string, " + ", ".join(f"{name} string" for name, _ in PAYLOAD_FIELDS)
+
+
 def score(silver: DataFrame, model: PipelineModel) -> DataFrame:
     """TransactionID, prediction, probability, action for rows with Silver features."""
     inputs = [F.col(c).cast("double").alias(c) for c in FEATURES]

@@ -177,14 +177,24 @@ def feature_importance(spark: SparkSession, model: PipelineModel, k: int = 10) -
     return table.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def check_model(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """check, found, ok: is the loaded pipeline a forest with the expected inputs and two classes?"""
+def _checks(model: PipelineModel) -> list[tuple[str, str, bool]]:
     last = forest(model)
+    if not isinstance(last, RandomForestClassificationModel):
+        return [("model_type", type(last).__name__, False)]
     n_inputs = len(model.stages[1].getInputCols())
-    rows = [
+    return [
         ("model_type", type(last).__name__, isinstance(last, RandomForestClassificationModel)),
         ("n_features", str(last.numFeatures), last.numFeatures == n_inputs),
         ("n_classes", str(last.numClasses), last.numClasses == 2),
         ("n_trees", str(last.getNumTrees), last.getNumTrees > 0),
     ]
-    return spark.createDataFrame(rows, "check string, found string, ok boolean")
+
+
+def check_model(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """check, found, ok: is the loaded pipeline a forest with the expected inputs and two classes?"""
+    return spark.createDataFrame(_checks(model), "check string, found string, ok boolean")
+
+
+def failed_checks(model: PipelineModel) -> list[str]:
+    """Names of the checks that the model fails."""
+    return [name for name, _, ok in _checks(model) if not ok]

@@ -45,10 +45,10 @@ FEATURES = [
     "IsAbnormalAge",
     "IsHighRiskChannel",
 ]
-# The four features the label is computed from (see plans/training.py).
+# The four features the label is computed from (see plans/training.py).
 LABEL_FLAGS = ["IsFrequentLogins", "IsHighRiskLocation", "IsHighRiskChannel", "IsLargeTransaction"]
 
-# Scoring payload: external field name, type and the feature it feeds, in FEATURES order.
+# Fixed values, the scoring payload: external field name, type and the feature it feeds, in FEATURES order.
 PAYLOAD_FIELDS = [
     ("transaction_amount", "double"),
     ("login_attempts", "int"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskmill.sources.workspace import remove
+
 REPORT = T.StructType(
     [
         T.StructField("table", T.StringType()),
@@ -28,21 +31,39 @@ def publish_table(
     table_format: str = "parquet",
     bucket_by: tuple[int, str] | None = None,
 ) -> int:
-    """Replace the content of a catalog table stored under ``path``; gives the number of rows written.
+    """Replace the content of a catalog table stored below ``path``; gives the number of rows written.
+
+    The new content is written to a folder of its own under another name. Only when it is complete does the
+    name change hands, and only then is the old content removed: a job that fails leaves the old table.
 
     Rows are counted by an observation directly below the write, so nothing runs twice. With
     ``bucket_by`` the table is hashed into that many files; tables bucketed alike join without a shuffle.
     """
+    spark, version = df.sparkSession, uuid.uuid4().hex[:12]
+    name, new = f"{database}.{table}", f"{database}.{table}__{version}"
+    old = _location(spark, name)
     count = Observation()
     if bucket_by is not None:
         df = df.repartition(*bucket_by)
     writer = df.observe(count, F.count(F.lit(1)).alias("rows")).write.format(table_format).mode("overwrite")
     if bucket_by is not None:
         writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
-    writer.option("path", path).saveAsTable(f"{database}.{table}")
+    writer.option("path", f"{path}/version={version}").saveAsTable(new)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+    if old is not None:
+        remove(spark, old)
     return count.get["rows"]
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a table, None if there is none."""
+    if not spark.catalog.tableExists(name):
+        return None
+    described = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return described["data_type"] if described else None
+
+
 def publish_all(
     spark: SparkSession,
     tables: dict[str, Callable[[], DataFrame]],

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmill.operators.skew import MIN_HOT_ROWS, with_previous_time
+from riskmill.operators.skew import with_previous_time
 from riskmill.schemas import TRANSACTION_COLUMNS
 
 # Declared, so that planning a query opens no file.
@@ -29,24 +29,26 @@ COLUMN_SQL = {
     "AccountID": _padded("AC", "user_id", 5),
     "TransactionAmount": "CASE WHEN event_id % 97 != 5 THEN IF(event_id % 41 = 0, -value, value * 20) END",
     "TransactionDate": "ts",
-    "TransactionType": """CASE event_type WHEN 'purchase' THEN 'Debit' WHEN 'click' THEN 'Credit'
-        WHEN 'view' THEN 'Transfer' WHEN 'signup' THEN 'Withdrawal' ELSE 'Refund' END""",
+    "TransactionType": """CASE WHEN copy_no = 2 AND event_id % 100 = 9 THEN 'Withdrawn' ELSE CASE event_type WHEN 'purchase' THEN 'Debit' WHEN 'click' THEN 'Credit'
+        WHEN 'view' THEN 'Transfer' WHEN 'signup' THEN 'Withdrawal' ELSE 'Refund' END END""",
     "Location": "CASE event_id % 9 WHEN 0 THEN 'Unknown' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE n_name END",
     "DeviceID": _padded("D", "(event_id % 681)", 6),
     "IP Address": """CASE WHEN event_id % 37 = 1 THEN '' WHEN event_id % 53 = 2 THEN NULL
         ELSE concat(1 + event_id % 223, '.', event_id % 251, '.0.', user_id % 250) END""",
-    "MerchantID": _padded("M", "(event_id * 7 % 100)", 3),
+    "MerchantID": _padded("M", "((event_id + copy_no div 2) * 7 % 100)", 3),
     "Channel": "CASE event_id % 4 WHEN 0 THEN 'ATM' WHEN 1 THEN 'Online' WHEN 2 THEN 'Branch' ELSE 'Mobile' END",
     "CustomerAge": "CAST(10 + user_id % 95 AS INT)",
     "CustomerOccupation": """CASE user_id % 4 WHEN 0 THEN 'Student' WHEN 1 THEN 'Doctor'
         WHEN 2 THEN 'Engineer' ELSE 'Retired' END""",
     "TransactionDuration": "CAST(10 + event_id % 290 AS INT)",
-    "LoginAttempts": "CAST(1 + event_id % 6 + copy_no AS INT)",
+    "LoginAttempts": "CAST(1 + event_id % 6 + copy_no % 2 AS INT)",
     "AccountBalance": "CASE WHEN user_id % 149 = 1 THEN CAST(-1.0 AS DOUBLE) ELSE c_acctbal END",
     "PreviousTransactionDate": "prev_ts",
 }
-# Some events arrive twice, the second time with one more login attempt.
-COPIES_SQL = "explode(IF(event_id % 50 = 7, array(0, 1), array(0))) AS copy_no"
+# Some events arrive twice: with one more login attempt, or (number 2) with the same date, logins and amount but
+# another merchant and perhaps an invalid type.
+COPIES_SQL = """explode(CASE event_id % 50 WHEN 7 THEN array(0, 1) WHEN 9 THEN array(0, 2) ELSE array(0) END)
+    AS copy_no"""
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,10 +56,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transactions(
-    spark: SparkSession,
-    sf_dir: str,
-    columns: Sequence[str] = TRANSACTION_COLUMNS,
-    min_hot_rows: int = MIN_HOT_ROWS,
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = TRANSACTION_COLUMNS
 ) -> DataFrame:
     """The Bronze input with the wanted columns.
 
@@ -67,7 +66,7 @@ def transactions(
     """
     rows = read_table(spark, sf_dir, "events")
     if "PreviousTransactionDate" in columns:
-        rows = with_previous_time(rows, "user_id", "ts", "event_id", "prev_ts", min_hot_rows)
+        rows = with_previous_time(rows, "user_id", "ts", "event_id", "prev_ts")
     if {"AccountBalance", "Location"} & set(columns):
         rows = rows.join(read_table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"), "left")
     if "Location" in columns:

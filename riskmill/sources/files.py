@@ -17,19 +17,28 @@ CSV_TIME_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def read_csv(
     spark: SparkSession, path: str, time_format: str = CSV_TIME, infer: bool = False, keep_corrupt: bool = False
 ) -> DataFrame:
-    """Transactions from CSV files with a header line.
+    """Transactions from CSV files with a header line, whose columns are matched by name.
 
-    The declared schema is used unless ``infer`` asks for a pass over the data. A value that does not
-    parse becomes NULL; ``keep_corrupt`` adds the raw line of such a row.
+    The declared types are used unless ``infer`` asks for a pass over the data. Columns may come in any order,
+    the same in all files: a file whose header differs from the first one's fails the job. A declared column
+    that is missing is an error, further columns are left out. A value that does not parse becomes NULL;
+    ``keep_corrupt`` adds the raw line of such a row.
     """
-    reader = spark.read.option("header", True).option("timestampNTZFormat", time_format)
+    reader = spark.read.option("header", True).option("timestampNTZFormat", time_format).option("enforceSchema", False)
     if infer:
         return reader.option("inferSchema", True).csv(path)
-    schema = TRANSACTION_SCHEMA
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    declared = {field.name: field for field in TRANSACTION_SCHEMA}
+    if missing := [name for name in declared if name not in header]:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    fields = [declared.get(name, T.StructField(name, T.StringType())) for name in header]
+    wanted = list(declared)
     if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        fields.append(T.StructField(CORRUPT, T.StringType()))
+        wanted.append(CORRUPT)
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.option("mode", "PERMISSIVE").schema(schema).csv(path)
+    rows = reader.option("mode", "PERMISSIVE").schema(T.StructType(fields)).csv(path)
+    return rows.select(*[f"`{name}`" for name in wanted])
 
 
 def write_csv(df: DataFrame, path: str, time_format: str = CSV_TIME_MICROS) -> None:

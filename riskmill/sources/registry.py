@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The fields of a model record.
 ENTRY = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
@@ -44,7 +46,7 @@ class ModelRegistry:
     def new_path(self) -> str:
         """Where the next model goes: named by the time, and unique."""
         stamp = datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
-        return f"{self.root}/fraud_detector_{stamp}_{uuid.uuid4().hex[:6]}"
+        return f"{self.root}/riskmill_model_{stamp}_{uuid.uuid4().hex[:6]}"
 
     def register(
         self, path: str, model: PipelineModel, features: list[str], metrics: dict[str, float | None]
@@ -80,5 +82,10 @@ class ModelRegistry:
             raise FileNotFoundError(f"no model in {self.root}")
         return path
 
-    def load_latest(self) -> PipelineModel:
-        return PipelineModel.load(self.latest_path())
+    def load_latest(self, check: Callable[[PipelineModel], list[str]] | None = None) -> PipelineModel:
+        """The newest model. ``check`` names what is wrong with it, if anything; then it is refused."""
+        path = self.latest_path()
+        model = PipelineModel.load(path)
+        if check is not None and (wrong := check(model)):
+            raise ValueError(f"the model in {path} fails {wrong}")
+        return model

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_cleared_at_exit: set[str] = set()
 _local_folders: dict[str, str] = {}  # application id -> temporary folder, for local sessions only
 
 
@@ -33,10 +37,44 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def application_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_folder(spark)}/riskmill/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
+    """A path in the shared folder that nothing else uses, removed at the latest when the program ends."""
     application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/riskmill/{application}/{name}-{uuid.uuid4().hex[:12]}"
+    if application not in _cleared_at_exit:
+        _cleared_at_exit.add(application)
+        atexit.register(_clear_quietly, spark)
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all that this application has staged, and the databases it has published there.
+
+    Results that still read from there can't be read afterwards: call it when they have been.
+    """
+    folder = application_folder(spark)
+    place = urlsplit(folder).path
+    for database in spark.catalog.listDatabases():
+        if f"{place}/" in (database.locationUri or ""):
+            spark.sql(f"DROP DATABASE {database.name} CASCADE")
+    remove(spark, folder)
+
+
+def _clear_quietly(spark: SparkSession) -> None:
+    """At the end of the program; a session that was stopped before can't reach its stores any more."""
+    with contextlib.suppress(Exception):
+        if spark.sparkContext._jsc is not None:
+            clear(spark)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from riskmill.functions.features import derive_features
-from riskmill.plans.scoring import score
+from riskmill.operators.quality import split_by_contract
+from riskmill.plans.scoring import PAYLOAD_SCHEMA, from_payload, score
 from riskmill.plans.silver import apply_rules
-from riskmill.schemas import TRANSACTION_SCHEMA
+from riskmill.schemas import PAYLOAD_FIELDS, TRANSACTION_SCHEMA
 
 
 def read_transactions(spark: SparkSession, path: str, max_files_per_batch: int | None = None) -> DataFrame:
@@ -21,31 +22,53 @@ def read_transactions(spark: SparkSession, path: str, max_files_per_batch: int |
     return reader.parquet(path)
 
 
+def dedup_stream(transactions: DataFrame) -> DataFrame:
+    """Transactions with an id not seen before; all ids are remembered, so no row is ever too late.
+
+    The first copy to arrive is kept, while the batch layer keeps the newest: the two agree on ids, and
+    on whole rows when copies are equal. Rows without id are left out here as they are in Silver. The ids
+    live in the state store, which clusters keep on disk (RocksDB, see the session).
+    """
+    return transactions.filter(F.col("TransactionID").isNotNull()).dropDuplicates(["TransactionID"])
+
+
 def silver_stream(transactions: DataFrame) -> DataFrame:
-    """Valid rows with Silver features; no state, so a row is ready as soon as it arrives."""
-    return derive_features(apply_rules(transactions))
+    """The first valid copy of each transaction, with Silver features.
+
+    Copies that break a rule are dropped before they can take an id.
+    """
+    return derive_features(dedup_stream(apply_rules(transactions)))
 
 
 def score_stream(transactions: DataFrame, model: PipelineModel) -> DataFrame:
-    """Decision for each valid transaction."""
+    """One decision for each transaction that has a valid copy."""
     return score(silver_stream(transactions), model)
 
 
-def dedup_stream(transactions: DataFrame, delay: str) -> DataFrame:
-    """Transactions with an id not seen before; ids are remembered for ``delay`` of event time.
+def read_payloads(spark: SparkSession, path: str, max_files_per_batch: int | None = None) -> DataFrame:
+    """JSON payloads as they arrive: an id and the fields of the scoring contract, all as text."""
+    reader = spark.readStream.schema(PAYLOAD_SCHEMA)
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    return reader.json(path)
+
 
-    The first copy to arrive is kept, while the batch layer keeps the newest: the two agree on ids, and
-    on whole rows when copies are equal. ``delay`` must cover how late a row or copy can come. Rows
-    without id are left out here as they are in Silver. Event time gets a zone, which watermarks need;
-    the session zone should be UTC.
+def score_payload_stream(
+    payloads: DataFrame, model: PipelineModel, scored: str, rejected: str, checkpoint: str
+) -> StreamingQuery:
+    """Decide on good payloads and store the others with their reasons.
+
+    Each batch goes to one folder per sink that is named by the batch, so a batch that is repeated after a
+    failure replaces its own rows.
     """
-    return (
-        transactions.filter(F.col("TransactionID").isNotNull())
-        .withColumn("_event_time", F.col("TransactionDate").cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(["TransactionID"])
-        .drop("_event_time")
-    )
+
+    def decide(batch: DataFrame, number: int) -> None:
+        good, bad = split_by_contract(batch, PAYLOAD_FIELDS)
+        score(from_payload(good), model).write.mode("overwrite").parquet(f"{scored}/batch={number}")
+        bad.write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+
+    stream = payloads.writeStream.foreachBatch(decide).option("checkpointLocation", checkpoint)
+    return stream.trigger(availableNow=True).start()
 
 
 def write_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -10,6 +10,7 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
 from riskmill.session import build_session  # noqa: E402
+from riskmill.sources import workspace  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -25,6 +26,7 @@ def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    workspace.clear(session)
     session.stop()
 
 

@@ -8,11 +8,14 @@ from helpers import as_set, by_id, frame, plan_text
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from riskmill import jobs
 from riskmill.operators import dedup, impute, metrics, moving, quality, skew, split
 from riskmill.plans import gold
 from riskmill.plans import silver as silver_plan
+from riskmill.plans.bronze import DAY, with_day
 from riskmill.sources import workspace
 from riskmill.sources.driver_tables import read_table, transactions
+from riskmill.sources.files import write_by_day
 
 
 @pytest.fixture(scope="module")
@@ -27,12 +30,35 @@ def events(spark):
     return spark.createDataFrame(rows, "id long, account string, ts timestamp_ntz, amount double").repartition(5)
 
 
-@pytest.mark.parametrize("min_rows", [1, 100, 1_000_000])
-def test_previous_time_equals_lag(events, min_rows):
+def _plain_lag(df):
     plain = F.lag("ts").over(Window.partitionBy("account").orderBy("ts", "id"))
-    want = events.withColumn("prev", F.when(F.col("account").isNotNull(), plain))
-    got = skew.with_previous_time(events, "account", "ts", "id", "prev", min_rows)
-    assert as_set(got) == as_set(want)
+    return df.withColumn("prev", F.when(F.col("account").isNotNull(), plain))
+
+
+def test_previous_time_equals_lag(events):
+    assert as_set(skew.with_previous_time(events, "account", "ts", "id", "prev")) == as_set(_plain_lag(events))
+
+
+def test_previous_time_with_one_busy_minute_and_nulls(spark):
+    """Nine rows in ten in one minute of one key, many at one time; NULL keys and NULL times."""
+    rng = random.Random(8)
+    start = datetime(2024, 1, 1)
+    rows = []
+    for i in range(2000):
+        account = "hot" if i % 10 else rng.choice(["a", "b", None])
+        seconds = rng.choice([0, 0, 0, rng.randrange(60)]) if i % 10 else rng.randrange(90_000)
+        rows.append((i, account, None if i % 97 == 0 else start + timedelta(seconds=seconds)))
+    df = spark.createDataFrame(rows, "id long, account string, ts timestamp_ntz").repartition(7)
+    got = skew.with_previous_time(df, "account", "ts", "id", "prev")
+    assert as_set(got) == as_set(_plain_lag(df))
+
+
+def test_previous_time_has_one_plan(spark, events):
+    """No job runs while the query is planned, and no window is over a whole key's rows."""
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    text = plan_text(skew.with_previous_time(events, "account", "ts", "id", "prev"))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+    assert "partial_min(id" in text and "windowspecdefinition(account" not in text
 
 
 def test_key_maximum_equals_window(events):
@@ -65,17 +91,6 @@ def test_hot_key_is_split_at_run_time(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def test_hot_keys_are_bounded(events):
-    hot = {r["account"]: r["_rows"] for r in skew.hot_keys(events, "account", 100).collect()}
-    counts = {r["account"]: r["count"] for r in events.groupBy("account").count().collect()}
-    assert hot == {k: n for k, n in counts.items() if n >= 100}
-    assert len(hot) <= skew.MAX_HOT_KEYS
-
-
-def test_adapter_is_the_same_for_hot_accounts(spark, sf_dir):
-    assert as_set(transactions(spark, sf_dir, min_hot_rows=3)) == as_set(transactions(spark, sf_dir))
-
-
 def test_declared_table_schemas_hold(spark, sf_dir):
     for name in ("events", "customer", "nation"):
         assert read_table(spark, sf_dir, name).schema == spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
@@ -98,10 +113,42 @@ def test_dedup_keeps_latest_then_filters(spark):
     assert by_id(silver_plan.clean(rows), "LoginAttempts") == {"A": 2}
 
 
-def test_dedup_order_is_total_when_asked(spark):
+def test_dedup_order_is_total(spark):
     rows = frame(spark, *[{"TransactionID": "A", "MerchantID": f"M{i}"} for i in range(20)])
     for parts in (1, 7):
-        assert by_id(silver_plan.deduplicate(rows.repartition(parts), total=True), "MerchantID") == {"A": "M9"}
+        assert by_id(silver_plan.deduplicate(rows.repartition(parts)), "MerchantID") == {"A": "M9"}
+
+
+TYING = [
+    {"TransactionID": "A", "TransactionType": "Debit", "MerchantID": "M1"},
+    {"TransactionID": "A", "TransactionType": "Refund", "MerchantID": "M2"},
+    {"TransactionID": "B", "Channel": "Web", "MerchantID": "M8", "AccountBalance": 1.0},
+    {"TransactionID": "B", "Channel": "ATM", "MerchantID": "M9", "AccountBalance": None},
+    {"TransactionID": "C"},
+    {"TransactionID": "C"},
+]
+
+
+@pytest.mark.parametrize("parts", [1, 13])
+def test_reports_describe_the_silver_that_is_written(spark, tmp_path, parts):
+    rows = frame(spark, *TYING).repartition(parts)
+    write_by_day(with_day(rows), f"{tmp_path}/bronze", DAY)
+    written = jobs.run_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver")
+    report = quality.quality_report(rows, silver_plan.NEWEST_FIRST).first()
+    assert (report["initial_rows"], report["final_rows"]) == (written["initial_rows"], written["final_rows"]) == (6, 2)
+    required = rows.select(silver_plan.REQUIRED)
+    assert quality.quality_report(required, silver_plan.NEWEST_FIRST).first() == report
+    assert by_id(spark.read.parquet(f"{tmp_path}/silver"), "MerchantID") == {"B": "M8", "C": "M015"}
+
+
+@pytest.mark.parametrize("wanted", [["Channel"], ["MerchantID", "CustomerAge"], ["AccountBalance"], []])
+def test_pruned_queries_see_the_same_survivors(spark, wanted):
+    rows = frame(spark, *TYING)
+    whole = silver_plan.clean(rows)
+    pruned = silver_plan.clean(rows.select(silver_plan.with_ties(wanted)).repartition(3))
+    assert as_set(pruned) == as_set(whole.select(pruned.columns))
+    with pytest.raises(ValueError, match="beginning of the order"):
+        silver_plan.deduplicate(rows.drop("Channel"))
 
 
 def test_latest_per_key_ignores_nulls_in_values(spark):
@@ -120,12 +167,12 @@ def test_quality_reports_agree_with_silver(spark, sf_dir):
 
 def test_quality_report_of_nothing(spark):
     empty = frame(spark, {}).filter("false")
-    assert tuple(quality.quality_report(empty, silver_plan.NEWEST_FIRST).first()) == (0, 0, 0, None)
+    assert tuple(quality.quality_report(empty, silver_plan.NEWEST_FIRST).first()) == (0, 0, 0, None, 15)
 
 
 def test_silver_does_not_depend_on_partitioning(spark, sf_dir):
     bronze = transactions(spark, sf_dir)
-    results = [as_set(silver_plan.silver(bronze.repartition(n), total=True)) for n in (1, 13)]
+    results = [as_set(silver_plan.silver(bronze.repartition(n))) for n in (1, 13)]
     assert results[0] == results[1]
     silver = silver_plan.silver(bronze)
     assert silver.count() == silver.select("TransactionID").distinct().count()
@@ -179,6 +226,27 @@ def test_auc_equals_pair_counting_and_evaluator(spark):
     assert metrics.area_under_roc(grouped, weight=F.col("n")).first()["auc"] == pytest.approx(pairs, abs=1e-12)
 
 
+@pytest.mark.parametrize("form", ["crowded", "wide"])
+def test_auc_of_crowded_and_wide_scores(spark, form):
+    """Nearly all scores far below the width of any fixed bin, or spread beyond a million."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    rng = random.Random(4)
+    small = lambda: rng.random() / 1e5 if rng.random() < 0.95 else rng.random()
+    score = small if form == "crowded" else lambda: rng.uniform(-3e6, 3e6)
+    rows = [(float(rng.random() < 0.3), score()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "label double, score double").repartition(5)
+    want = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0).evaluate(df)
+    assert metrics.area_under_roc(df).first()["auc"] == pytest.approx(want, abs=1e-6)
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_auc_refuses_missing_scores(spark, bad):
+    df = spark.createDataFrame([(1, 0.5), (0, 0.1), (0, bad)], "label int, score double")
+    with pytest.raises(Exception, match="NULL or NaN"):
+        metrics.area_under_roc(df).collect()
+
+
 def test_metrics_of_one_class(spark):
     df = spark.createDataFrame([(0, 0, 0.1), (0, 0, 0.2)], "label int, prediction int, score double")
     got = metrics.evaluate(df).first()

@@ -14,10 +14,12 @@ from riskmill.catalogue.queries import QUERIES
 from riskmill.plans import reports
 from riskmill.plans import silver as silver_plan
 from riskmill.plans.scoring import from_payload, score, to_payload
-from riskmill.plans.training import train
+from riskmill.plans.bronze import DAY, with_day
+from riskmill.plans.training import failed_checks, train
 from riskmill.schemas import FEATURES, GOLD_TABLES, LABEL_FLAGS, PAYLOAD_FIELDS
 from riskmill.operators.quality import split_by_contract
 from riskmill.sources.driver_tables import transactions
+from riskmill.sources import files
 from riskmill.sources.files import CSV_TIME, write_csv
 from riskmill.sources.registry import ModelRegistry
 from riskmill.streaming.transactions import dedup_stream, read_transactions, run_available, score_stream, silver_stream
@@ -29,7 +31,7 @@ def root(spark, sf_dir, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
     write_csv(transactions(spark, sf_dir), f"{root}/csv", CSV_TIME)
     bronze = jobs.run_bronze(spark, f"{root}/csv", f"{root}/bronze")
-    assert bronze == {"rows": transactions(spark, sf_dir).count(), "days": 30}
+    assert bronze == {"rows": transactions(spark, sf_dir).count(), "days": 30, "rejected": 0}
     jobs.run_silver(spark, f"{root}/bronze", f"{root}/silver")
     jobs.run_gold(spark, f"{root}/silver", f"{root}/gold", "lake_gold", fact_buckets=4)
     return root
@@ -106,21 +108,50 @@ def test_scoring_job_and_payload(spark, root, models):
     assert as_set(through_payload) == as_set(scored.join(good, "TransactionID", "left_semi"))
 
 
+def test_models_that_fail_their_checks_are_refused(models):
+    assert models.load_latest(failed_checks) is not None
+    with pytest.raises(ValueError, match="n_trees"):
+        models.load_latest(lambda model: ["n_trees"])
+
+
+def test_payload_jobs(spark, root, models, tmp_path):
+    payloads = to_payload(spark.read.parquet(f"{root}/silver"))
+    broken = payloads.withColumn("login_attempts", F.when(F.col("transaction_hour") == "3", "x").otherwise(F.col("login_attempts")))
+    broken.repartition(3).write.json(f"{tmp_path}/in")
+    total = payloads.count()
+    once = jobs.run_payload_scoring(spark, f"{tmp_path}/in", models.root, f"{tmp_path}/scored", f"{tmp_path}/rejected")
+    assert once["scored"] > 0 and once["rejected"] > 0 and sum(once.values()) == total
+    reasons = spark.read.parquet(f"{tmp_path}/rejected").select(F.explode("reasons").alias("r")).distinct().collect()
+    assert "malformed:login_attempts" in {r["r"] for r in reasons}
+    paths = (f"{tmp_path}/s2", f"{tmp_path}/r2", f"{tmp_path}/c2")
+    assert jobs.run_payload_stream(spark, f"{tmp_path}/in", models.root, *paths, max_files=1) == once
+    columns = ["TransactionID", "prediction", "action"]
+    streamed = spark.read.parquet(f"{tmp_path}/s2").select(columns)
+    assert as_set(streamed) == as_set(spark.read.parquet(f"{tmp_path}/scored").select(columns))
+
+
+def first_valid(rows):
+    """One valid copy of each transaction; here valid copies of an id differ in no column."""
+    return silver_plan.apply_rules(rows).dropDuplicates(["TransactionID"])
+
+
 def test_stream_equals_batch(spark, root, models, tmp_path):
     bronze = spark.read.parquet(f"{root}/bronze").drop("transaction_day")
-    bronze.repartition(6).write.parquet(f"{tmp_path}/in")
-    stream = read_transactions(spark, f"{tmp_path}/in", max_files_per_batch=2)
-    valid = silver_plan.derive_features(silver_plan.apply_rules(bronze))
+    unique = first_valid(bronze)
+    unique.unionByName(unique).repartition(6).write.parquet(f"{tmp_path}/in")
+    stream = read_transactions(spark, f"{tmp_path}/in", max_files_per_batch=1)
+    valid = silver_plan.derive_features(unique)
+    stored = spark.read.parquet(f"{tmp_path}/in").dropDuplicates()
     features = run_available(silver_stream(stream), f"{tmp_path}/features", f"{tmp_path}/c1")
-    assert as_set(features) == as_set(valid)
+    assert as_set(features) == as_set(silver_plan.derive_features(stored))
     model = models.load_latest()
     scored = run_available(score_stream(stream, model), f"{tmp_path}/scored", f"{tmp_path}/c2")
-    assert as_set(scored) == as_set(score(valid, model))
+    assert as_set(scored) == as_set(score(silver_plan.derive_features(stored), model)) and scored.count() == valid.count()
 
 
 def test_stream_reads_the_day_partitioned_layer(spark, root, models, tmp_path):
     args = (f"{root}/bronze", models.root, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    valid = silver_plan.apply_rules(spark.read.parquet(f"{root}/bronze"))
+    valid = first_valid(spark.read.parquet(f"{root}/bronze"))
     assert jobs.run_stream_scoring(spark, *args) == valid.count()
 
 
@@ -132,15 +163,17 @@ def test_stream_resumes_without_repeating(spark, root, models, tmp_path):
     first = jobs.run_stream_scoring(spark, *args)
     rows.filter(F.dayofmonth("TransactionDate") > 10).write.mode("append").parquet(f"{tmp_path}/in")
     second = jobs.run_stream_scoring(spark, *args)
-    valid = silver_plan.apply_rules(rows).count()
-    assert 0 < first < second == valid
+    assert 0 < first < second == first_valid(rows).count()
 
 
-def test_stream_dedup_across_runs(spark, root, tmp_path):
+def test_stream_dedup_loses_nothing(spark, root, tmp_path):
+    """Files whose times overlap and run backwards, one per micro-batch, and a second run."""
     rows = spark.read.parquet(f"{root}/bronze").drop("transaction_day")
-    rows.write.parquet(f"{tmp_path}/in")
+    for k in (4, 0, 5, 2, 3, 1):
+        some = rows.filter(F.dayofmonth("TransactionDate") % 6 == k)
+        some.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
     run = lambda: run_available(
-        dedup_stream(read_transactions(spark, f"{tmp_path}/in"), "60 days"), f"{tmp_path}/out", f"{tmp_path}/c"
+        dedup_stream(read_transactions(spark, f"{tmp_path}/in", 1)), f"{tmp_path}/out", f"{tmp_path}/c"
     )
     ids = rows.filter("TransactionID IS NOT NULL").select("TransactionID").distinct()
     assert as_set(run().select("TransactionID")) == as_set(ids)
@@ -148,9 +181,33 @@ def test_stream_dedup_across_runs(spark, root, tmp_path):
     assert as_set(run().select("TransactionID")) == as_set(ids)
 
 
+def test_incremental_silver_equals_a_full_run(spark, root, tmp_path):
+    """A new day, a changed day, a day that loses its last row, and copies that arrive on another day."""
+    bronze, silver = f"{tmp_path}/bronze", f"{tmp_path}/silver"
+    rows = spark.read.parquet(f"{root}/bronze").drop("transaction_day").filter("day(TransactionDate) <= 8")
+    start = rows.filter("day(TransactionDate) NOT IN (3, 6)")
+    lonely = rows.filter("day(TransactionDate) = 6").orderBy("TransactionID").filter("TransactionID IS NOT NULL").limit(1)
+    files.write_by_day(with_day(start.unionByName(lonely)), bronze, DAY)
+    jobs.run_silver(spark, bronze, silver)
+    moved = start.filter("TransactionID IS NOT NULL AND day(TransactionDate) = 2").limit(20).unionByName(lonely)
+    newer = moved.withColumns({"TransactionDate": F.expr("TransactionDate + INTERVAL 9 DAYS"), "MerchantID": F.lit("late")})
+    invalid = moved.limit(5).withColumns({"TransactionDate": F.expr("TransactionDate + INTERVAL 99 DAYS"), "TransactionType": F.lit("no")})
+    arrived = with_day(rows.filter("day(TransactionDate) = 3").unionByName(newer).unionByName(invalid))
+    files.write_by_day(arrived, bronze, DAY, replace_all=False)
+    days = [str(r[0]) for r in arrived.select(DAY).distinct().collect()]
+    report = jobs.run_silver(spark, bronze, silver, days)
+    full = jobs.run_silver(spark, bronze, f"{tmp_path}/full")
+    assert report == full
+    columns = spark.read.parquet(silver).columns
+    assert as_set(spark.read.parquet(silver)) == as_set(spark.read.parquet(f"{tmp_path}/full").select(columns))
+
+
 def test_command_line(spark, root, tmp_path, capsys):
-    command_line.main(["bronze", f"{root}/csv", f"{tmp_path}/bronze"])
-    command_line.main(["silver", f"{tmp_path}/bronze", f"{tmp_path}/silver"])
+    log = ["--run-log", f"{tmp_path}/log"]
+    with pytest.raises(RuntimeError, match="bronze is missing"):
+        command_line.main([*log, "silver", f"{tmp_path}/bronze", f"{tmp_path}/silver"])
+    command_line.main([*log, "bronze", f"{root}/csv", f"{tmp_path}/bronze"])
+    command_line.main([*log, "silver", f"{tmp_path}/bronze", f"{tmp_path}/silver"])
     done = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
     assert done[0]["days"] == 30
     assert done[1]["final_rows"] == spark.read.parquet(f"{root}/silver").count()
@@ -159,9 +216,10 @@ def test_command_line(spark, root, tmp_path, capsys):
 # --- Plans ------------------------------------------------------------------------------------------
 
 PLANNED = sorted(
-    set(QUERIES)
+    {name for name in QUERIES}
     - {"train_rf", "feature_importance", "model_registry", "model_check", "score_batch", "stream_score"}
-    - {"gold_publish", "gold_check", "catalog_tables", "gold_count", "stream_features", "stream_dedup"}
+    - {"gold_publish", "gold_check", "catalog_tables", "gold_count", "stream_features", "stream_dedup", "stream_ids_scored"}
+    - {"payload_stream", "batch_ids_scored", "train_counts"}
 )
 
 

@@ -6,10 +6,12 @@ import pytest
 from helpers import as_set, by_id, frame
 from pyspark.sql import functions as F
 
+from riskmill import jobs
 from riskmill.plans.bronze import DAY, batch_runs, latest_run, with_day
 from riskmill.schemas import TRANSACTION_COLUMNS
 from riskmill.sources import catalog, files, workspace
 from riskmill.sources.paths import Layout, resolve
+from riskmill.sources.run_log import RunLog
 
 CSV = """TransactionID,AccountID,TransactionAmount,TransactionDate,TransactionType,Location,DeviceID,IP Address,\
 MerchantID,Channel,CustomerAge,CustomerOccupation,TransactionDuration,LoginAttempts,AccountBalance,\
@@ -35,6 +37,47 @@ def test_csv_with_declared_schema(spark, csv_path):
     assert by_id(rows, files.CORRUPT)["TX2"].startswith("TX2,AC2,x,")
 
 
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    lines = [line.split(",") for line in CSV.strip().split("\n")]
+    wide = [["Note", *reversed(line)] if k == 0 else ["x", *reversed(line)] for k, line in enumerate(lines)]
+    (tmp_path / "reordered.csv").write_text("\n".join(map(",".join, wide)))
+    rows = files.read_csv(spark, str(tmp_path / "reordered.csv"))
+    assert rows.columns == TRANSACTION_COLUMNS
+    assert by_id(rows, "AccountID") == {"TX1": "AC1", "TX2": "AC2"} and by_id(rows, "CustomerAge")["TX1"] == 70
+    (tmp_path / "missing.csv").write_text("\n".join(",".join(line[1:]) for line in lines))
+    with pytest.raises(ValueError, match="TransactionID"):
+        files.read_csv(spark, str(tmp_path / "missing.csv"))
+    both = tmp_path / "both"
+    both.mkdir()
+    (both / "a.csv").write_text(CSV)
+    (both / "b.csv").write_text("\n".join(",".join(reversed(line)) for line in lines))
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(both)).collect()
+
+
+def test_bronze_stores_raw_lines_that_do_not_parse(spark, csv_path, tmp_path):
+    done = jobs.run_bronze(spark, csv_path, f"{tmp_path}/bronze")
+    assert done == {"rows": 2, "days": 2, "rejected": 1}
+    kept = spark.read.parquet(f"{tmp_path}/bronze_rejects").first()
+    assert kept["TransactionID"] == "TX2" and kept[files.CORRUPT].startswith("TX2,AC2,x,")
+
+
+def test_run_log_gates_jobs(spark, tmp_path):
+    log = RunLog(spark, f"{tmp_path}/log")
+    with pytest.raises(RuntimeError, match="missing"), log.run("silver", ["bronze"]):
+        pass
+    with log.run("bronze"):
+        pass
+    with log.run("silver", ["bronze"]):
+        pass
+    with pytest.raises(ZeroDivisionError), log.run("bronze"):
+        1 / 0  # noqa: B018
+    with pytest.raises(RuntimeError, match="bronze is failed"), log.run("silver", ["bronze"]):
+        pass
+    states = {r["job"]: r["state"] for r in log.last_states().collect()}
+    assert states == {"bronze": "failed", "silver": "success"}
+
+
 def test_csv_with_inference(spark, csv_path):
     rows = files.read_csv(spark, csv_path, infer=True)
     assert rows.columns == TRANSACTION_COLUMNS
@@ -103,8 +146,16 @@ def test_publish_replaces_and_counts(spark, tmp_path):
         done = catalog.publish_all(spark, {"t": lambda: spark.range(n).toDF("k")}, "publish_db", root)
         assert done == {"t": n}
     assert spark.table("publish_db.t").count() == 2
+    failing = spark.range(3).select(F.raise_error(F.lit("broken")).cast("long").alias("k"))
+    with pytest.raises(Exception, match="broken"):
+        catalog.publish_table(failing, "publish_db", "t", f"{root}/t")
+    assert spark.table("publish_db.t").count() == 2
+    catalog.publish_table(spark.range(4).toDF("k"), "publish_db", "t", f"{root}/t", bucket_by=(2, "k"))
+    assert spark.table("publish_db.t").count() == 4
+    versions = {p.parent for p in (tmp_path / "db" / "t").glob("version=*/*.parquet")}
+    assert len(versions) == 1  # the old ones are gone
     got = {tuple(r) for r in catalog.check_tables(spark, "publish_db", ["t", "missing"]).collect()}
-    assert got == {("t", 2, True), ("missing", None, False)}
+    assert got == {("t", 4, True), ("missing", None, False)}
     assert [r["table"] for r in catalog.list_tables(spark, "publish_db").collect()] == ["t"]
     with pytest.raises(LookupError):
         catalog.list_tables(spark, "no_such_db")
@@ -116,6 +167,17 @@ def test_staging_uses_the_shared_folder(spark):
     assert as_set(staged) == as_set(spark.range(10))
 
 
+def test_what_was_staged_can_be_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "configured_folder", lambda _: str(tmp_path))
+    workspace.stage(spark.range(10), "numbers")
+    root = workspace.fresh_path(spark, "gold")
+    catalog.publish_all(spark, {"t": lambda: spark.range(3).toDF("k")}, "staged_db", root)
+    assert spark.table("staged_db.t").count() == 3
+    workspace.clear(spark)
+    assert [p for p in tmp_path.rglob("*") if p.is_file()] == []
+    assert not spark.catalog.databaseExists("staged_db")
+
+
 def test_shared_folder_without_setting(spark, monkeypatch):
     monkeypatch.setattr(workspace, "configured_folder", lambda _: None)
     # The test session's own checkpoint folder must stay as it is.
