@@ -1,14 +1,21 @@
 """Scoring texts by a probabilistic suffix tree over words.
 
-A state is a context of up to ``depth`` frequent words. The tree grows level by level: a context is a candidate if it
-makes up at least a share ``MIN_CONTEXT`` of all training tokens, and stays if what follows it diverges enough from
-what follows its suffix. A text is scored token by token from the longest context in the tree that ends there. Shares
-bound the tree, however large the corpus: at most 1 / MIN_CONTEXT contexts a level and 1 / MIN_NEXT stored
-continuations, so it can be broadcast. Counts are taken over all training documents.
+A state is a context of one or two words, seen at least ``MIN_SEEN`` times, that stays if what follows it diverges
+enough from what follows its suffix. A continuation is stored if it was seen ``MIN_SEEN`` times. A text is scored
+token by token from the longest context in the tree that ends there. Support is absolute, so the tree grows with the
+corpus: it is a Spark table by 64-bit hashes of word sequences, and texts are joined to it. Bitmaps and the frequent
+part of the table, of fixed size, are held in tasks to save joins; they leave nothing out.
+
+The log of a token's chance is that of its base chance plus one term for each of the last word, pair and triple:
+the weight a kept context leaves to the shorter one, and what a stored continuation has above that. So a text's
+score is the sum of one number per word, pair and triple in it.
+
+``fit`` builds the same tree in memory, for a corpus whose words are numbered; the tables are tested against it.
 """
 
 from __future__ import annotations
 
+import gc
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -17,18 +24,22 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskmill.llm.common import as_bytes, id_remainder, map_batches
+from riskmill.llm.common import as_bytes, id_remainder, map_batches, window_hashes
+from riskmill.llm.common import mix as hashed
 from riskmill.sources.workspace import stage
 
 DEPTH = 2
 VOCABULARY = 2**18  # words that tasks know by number; the others are looked up by a join
-MIN_CONTEXT = 1e-4
-MIN_NEXT = 1e-6
 MIN_DIVERGENCE = 0.02  # nats
-MIN_SEEN = 3  # a continuation seen less often is left to the shorter context
+MIN_SEEN = 3  # contexts and continuations seen less often are left to the shorter context
+FREQUENT_TERMS = 2**21  # terms that tasks hold; the others are looked up by a join
+BITMAP_BITS = 29  # of the number of bits in a bitmap, at most
+SPAN_BITS = 20
+FLUSH = 500_000  # pairs and triples a task holds before it passes them on
+FLUSH_PLACES = 4_000_000
 DISCOUNT = 0.5
 PRIOR = 0.1
 _SHIFT = 20  # bits of a word's number in a key
@@ -68,18 +79,27 @@ def _count_batch(counts: Counter) -> pa.RecordBatch:
 
 def frequent(counts: DataFrame, at_most: int = VOCABULARY) -> list[tuple[bytes, int]]:
     """The words of at least some count, chosen as low as ``at_most`` words allow."""
-    step = F.floor(F.log2("n") * 16).cast("int")
-    by_step = {r["s"]: r["count"] for r in counts.groupBy(step.alias("s")).count().collect()}
+    lowest = _lowest_step(counts, at_most)
+    if lowest is None:
+        return []
+    chosen = counts.filter(_step() >= lowest).toArrow()
+    found = zip(chosen["word"].to_pylist(), chosen["n"].to_pylist(), strict=True)
+    return sorted(found, key=lambda x: (-x[1], x[0]))
+
+
+def _step() -> Column:
+    return F.floor(F.log2("n") * 16).cast("int")
+
+
+def _lowest_step(counts: DataFrame, at_most: int) -> int | None:
+    """The lowest step of ``n`` from which on there are ``at_most`` rows or fewer."""
+    by_step = {r["s"]: r["count"] for r in counts.groupBy(_step().alias("s")).count().collect()}
     taken, lowest = 0, None
     for s in sorted(by_step, reverse=True):
         if taken + by_step[s] > at_most:
             break
         taken, lowest = taken + by_step[s], s
-    if lowest is None:
-        return []
-    chosen = counts.filter(step >= lowest).toArrow()
-    found = zip(chosen["word"].to_pylist(), chosen["n"].to_pylist(), strict=True)
-    return sorted(found, key=lambda x: (-x[1], x[0]))
+    return lowest
 
 
 @dataclass
@@ -177,31 +197,34 @@ def _pairs_batch(held: list[np.ndarray]) -> pa.RecordBatch:
 # --- Growing ------------------------------------------------------------------------------------------
 
 
-def fit(docs: DataFrame, counts: DataFrame, depth: int = DEPTH) -> SuffixTree:
-    """The tree of the training texts (column ``text``), whose stored word counts are ``counts``."""
-    texts = docs.select("text")
+def _words(texts: DataFrame, counts: DataFrame) -> SuffixTree:
+    """A tree without levels: the frequent words and their counts."""
     ends = texts.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     chosen = frequent(counts)
-    tree = SuffixTree(
+    return SuffixTree(
         [w for w, _ in chosen],
         np.array([ends, *(n for _, n in chosen)], np.int64),
         int(total) + ends,
         int(distinct) + (ends > 0),
     )
-    least = max(2.0, MIN_CONTEXT * tree.tokens)
-    candidates = np.flatnonzero(np.concatenate([[0], tree.counts[1:]]) >= least).astype(np.int64)
+
+
+def fit(docs: DataFrame, counts: DataFrame, depth: int = DEPTH) -> SuffixTree:
+    """The tree of the training texts (column ``text``) in memory, from their stored word counts ``counts``."""
+    texts = docs.select("text")
+    tree = _words(texts, counts)
+    candidates = np.flatnonzero(np.concatenate([[0], tree.counts[1:]]) >= MIN_SEEN).astype(np.int64)
     for level in range(1, depth + 1):
         if not len(candidates):
             break
         pairs = stage(continuation_counts(texts, tree, candidates, level), "continuations")
-        grown, states = _grow(pairs, tree, candidates, level)
-        tree.levels.append(grown)
-        candidates = _longer(pairs, candidates, states, least)
+        tree.levels.append(_grow(pairs, tree, candidates, level))
+        candidates = _longer(pairs, candidates)
     return tree
 
 
-def _grow(pairs: DataFrame, tree: SuffixTree, candidates: np.ndarray, level: int) -> tuple[Level, np.ndarray]:
+def _grow(pairs: DataFrame, tree: SuffixTree, candidates: np.ndarray, level: int) -> Level:
     """Keep the candidates that diverge from their suffix, with their continuations.
 
     The divergence is that of Kullback and Leibler, over the stored continuations and the rest taken together.
@@ -211,8 +234,7 @@ def _grow(pairs: DataFrame, tree: SuffixTree, candidates: np.ndarray, level: int
     totals = pairs.groupBy("state").agg(F.sum("n").alias("all")).toArrow()
     size = np.zeros(len(candidates), np.int64)
     size[totals["state"].to_numpy()] = totals["all"].to_numpy()
-    least = max(float(MIN_SEEN), MIN_NEXT * tree.tokens)
-    stored = pairs.filter((F.col("next") >= 0) & (F.col("n") >= least)).toArrow()
+    stored = pairs.filter((F.col("next") >= 0) & (F.col("n") >= MIN_SEEN)).toArrow()
     state, word, n = (stored[c].to_numpy() for c in ("state", "next", "n"))
     share = (n - DISCOUNT) / size[state]
     taken = np.bincount(state, weights=share, minlength=len(candidates))
@@ -227,12 +249,12 @@ def _grow(pairs: DataFrame, tree: SuffixTree, candidates: np.ndarray, level: int
     own = kept[state]
     entries = (number[state[own]] << _SHIFT) | word[own]
     order = np.argsort(entries)
-    return Level(candidates[kept], (1 - taken)[kept], entries[order], share[own][order]), kept
+    return Level(candidates[kept], (1 - taken)[kept], entries[order], share[own][order])
 
 
-def _longer(pairs: DataFrame, candidates: np.ndarray, kept: np.ndarray, least: float) -> np.ndarray:
+def _longer(pairs: DataFrame, candidates: np.ndarray) -> np.ndarray:
     """Contexts one word longer that are frequent enough: a candidate context followed by a frequent word."""
-    rows = pairs.filter((F.col("next") > 0) & (F.col("n") >= least)).toArrow()
+    rows = pairs.filter((F.col("next") > 0) & (F.col("n") >= MIN_SEEN)).toArrow()
     keys = (candidates[rows["state"].to_numpy()] << _SHIFT) | rows["next"].to_numpy()
     return np.unique(keys.astype(np.int64))
 
@@ -265,19 +287,263 @@ def _log_weights(tree: SuffixTree, contexts: list[np.ndarray], word: np.ndarray)
         return np.log(chance), np.log(weight)
 
 
+# --- The tree as tables -------------------------------------------------------------------------------
+
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
+_END_HASH = np.uint64(0x9FB21C651E98DF25)
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Key of a pair from the hashes of its words, and of a triple from the keys of its two pairs."""
+    return hashed(a * _FACTOR + b)
+
+
+class Grams:
+    """Keys of all words, pairs and triples of some texts; a text's end counts as a word but is no context.
+
+    ``row`` is the number of the text; ``a`` and ``b`` are the parts of a pair or triple.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        split = [words_of(t) for t in texts]
+        lengths = np.fromiter((len(w) + 1 for w in split), np.int64, len(split))
+        row = np.repeat(np.arange(len(split)), lengths)
+        word = np.empty(len(row), np.uint64)
+        ends = np.cumsum(lengths) - 1
+        is_word = np.ones(len(row), bool)
+        is_word[ends] = False
+        word[is_word] = window_hashes([w for words in split for w in words], 1)
+        word[ends] = _END_HASH
+        self.words, self.word_rows = word[is_word], row[is_word]
+        first = np.flatnonzero(is_word[:-1])  # a pair begins with a word of the same text
+        pair = np.zeros(len(word), np.uint64)
+        pair[first] = _joined(word[first], word[first + 1])
+        inner = first[is_word[first + 1]]
+        self.pairs, self.pair_rows, self.pair_parts = pair[first], row[first], (word[first], word[first + 1])
+        self.triples, self.triple_rows = _joined(pair[inner], pair[inner + 1]), row[inner]
+        self.triple_parts = (pair[inner], pair[inner + 1])
+
+
+def _grams(batch: pa.RecordBatch, column: int = 0) -> Iterator[tuple[pa.RecordBatch, Grams]]:
+    for first in range(0, batch.num_rows, 500):
+        part = batch.slice(first, 500)
+        yield part, Grams(as_bytes(part.column(column)))
+
+
+def _spans(held: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    """The keys' places in a bitmap by spans of 2**SPAN_BITS places; a place comes MIN_SEEN times at most.
+
+    The sorted places of a span are written as differences, 255 standing for a step without a place.
+    """
+    keys = np.sort(np.concatenate([*held, np.empty(0, np.uint64)]) >> np.uint64(64 - bits)).astype(np.int64)
+    often = np.zeros(len(keys), bool)
+    often[MIN_SEEN:] = keys[MIN_SEEN:] == keys[:-MIN_SEEN]
+    keys = keys[~often]
+    span = keys >> SPAN_BITS
+    found, starts = np.unique(span, return_index=True)
+    blobs = []
+    for places in np.split(keys & (2**SPAN_BITS - 1), starts[1:]) if len(found) else []:
+        steps = np.diff(places, prepend=0)
+        more = steps // 255
+        out = np.full(len(steps) + int(more.sum()), 255, np.uint8)
+        out[np.cumsum(more + 1) - 1] = steps % 255
+        blobs.append(out.tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(blobs, pa.binary())], ["span", "places"])
+
+
+def _bitmap(spans: DataFrame, bits: int, least: int) -> np.ndarray:
+    """One bit for each place that comes at least ``least`` times; a fixed number of bytes."""
+    number = 2 ** (bits - SPAN_BITS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, counts = None, None
+        for batch in batches:
+            for span, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if span != current:
+                    if current is not None:
+                        yield done(current, counts)
+                    current, counts = span, np.zeros(2**SPAN_BITS, np.uint8)
+                steps = np.frombuffer(blob, np.uint8)
+                places = np.cumsum(steps, dtype=np.int64)[steps < 255]
+                once, n = np.unique(places, return_counts=True)
+                counts[once] = np.minimum(counts[once] + n, MIN_SEEN)
+        if current is not None:
+            yield done(current, counts)
+
+    def done(span: int, counts: np.ndarray) -> pa.RecordBatch:
+        packed = np.packbits(counts >= least, bitorder="little").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([span], pa.int64()), pa.array([packed], pa.binary())], ["span", "bits"])
+
+    dealt = spans.repartition(min(number, 64), "span").sortWithinPartitions("span")
+    found = np.zeros((number, 2 ** (SPAN_BITS - 3)), np.uint8)
+    for row in dealt.mapInArrow(add, "span bigint, bits binary").toLocalIterator():
+        found[row["span"]] = np.frombuffer(row["bits"], np.uint8)
+    return found.reshape(-1)
+
+
+def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = (keys >> np.uint64(64 - (len(bitmap) * 8).bit_length() + 1)).astype(np.int64)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
+
+
+def gram_counts(texts: DataFrame, tokens: int) -> DataFrame:
+    """size, key, a, b, n of all pairs and triples seen MIN_SEEN times.
+
+    A bitmap of what may have been seen so often is made first, so that most of the others are never shuffled.
+    """
+    bits = min(BITMAP_BITS, max(SPAN_BITS, (4 * tokens).bit_length()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for _, grams in _grams(batch):
+                held += [grams.pairs, grams.triples]
+                size += len(grams.pairs) + len(grams.triples)
+                if size > FLUSH_PLACES:
+                    yield _spans(held, bits)
+                    held, size = [], 0
+        yield _spans(held, bits)
+
+    bitmap = _bitmap(texts.mapInArrow(places, "span bigint, places binary"), bits, MIN_SEEN)
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def counted(held: list[tuple]) -> pa.RecordBatch:
+        sizes, keys, a, b = (np.concatenate(x) for x in zip(*held, strict=True)) if held else [np.empty(0, np.uint64)] * 4
+        keys, at, n = np.unique(keys, return_index=True, return_counts=True)
+        columns = [sizes[at].astype(np.int32), keys.view(np.int64), a[at].view(np.int64), b[at].view(np.int64), n]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "key", "a", "b", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for _, grams in _grams(batch):
+                for k, keys, (a, b) in ((2, grams.pairs, grams.pair_parts), (3, grams.triples, grams.triple_parts)):
+                    at = _in_bitmap(shared.value, keys)
+                    held.append((np.full(int(at.sum()), k, np.uint8), keys[at], a[at], b[at]))
+                    size += len(held[-1][0])
+                if size > FLUSH:
+                    yield counted(held)
+                    held, size = [], 0
+        yield counted(held)
+
+    rows = texts.mapInArrow(count, "size int, key bigint, a bigint, b bigint, n bigint").drop("key")
+    often = rows.groupBy("size", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_SEEN)
+
+    def keyed(batch: pa.RecordBatch) -> dict:
+        a, b = (batch.column(k).to_numpy().view(np.uint64) for k in (1, 2))
+        names = dict(zip(("size", "a", "b", "n"), batch.columns, strict=True))
+        return names | {"key": pa.array(_joined(a, b).view(np.int64))}
+
+    return stage(map_batches(often, keyed, "size int, key bigint, a bigint, b bigint, n bigint"), "grams")
+
+
+def _release(df: DataFrame) -> None:
+    """Let Spark find the shuffles that nothing refers to any more, and delete their files."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+
+
+def _kept_contexts(stored: DataFrame) -> DataFrame:
+    """a, left: the contexts that diverge enough from their suffix, and the weight each leaves to it.
+
+    ``stored`` has the share of each continuation (``share``) and its chance after the suffix (``shorter``).
+    """
+    found = stored.groupBy("a").agg(
+        F.sum("share").alias("taken"),
+        F.sum("shorter").alias("elsewhere"),
+        F.sum(F.col("share") * F.log(F.col("share") / F.col("shorter"))).alias("divergence"),
+    )
+    left = 1 - F.col("taken")
+    rest = F.when(left > 0, left * F.log(left / F.greatest(F.lit(1e-12), 1 - F.col("elsewhere")))).otherwise(0.0)
+    return found.filter(F.col("divergence") + rest >= MIN_DIVERGENCE).select("a", left.alias("left"))
+
+
+def tree_terms(texts: DataFrame, counts: DataFrame, tokens: int, distinct: int, ends: int) -> DataFrame:
+    """key, n, term: what each word, pair and triple adds to the natural log of a text's base chance."""
+
+    def keyed(batch: pa.RecordBatch) -> dict:
+        keys = window_hashes(as_bytes(batch.column(0)), 1)
+        return {"key": pa.array(keys.view(np.int64)), "n": batch.column(1)}
+
+    words = map_batches(counts.filter(F.col("n") >= MIN_SEEN).select("word", "n"), keyed, "key bigint, n bigint")
+    end = texts.sparkSession.range(1).select(F.lit(int(_END_HASH.view(np.int64))).alias("key"), F.lit(ends).cast("bigint").alias("n"))
+    words = stage(words.unionByName(end), "word-keys")
+    grams = gram_counts(texts, tokens)
+    _release(texts)
+
+    def shares(rows: DataFrame, contexts: DataFrame, shorter: DataFrame) -> DataFrame:
+        sized = contexts.select(F.col("key").alias("a"), F.col("n").alias("all"))
+        rows = rows.join(shorter.withColumnRenamed("key", "b"), "b").join(sized, "a")
+        return rows.select("key", "a", "n", "shorter", ((F.col("n") - DISCOUNT) / F.col("all")).alias("share"))
+
+    def scored(rows: DataFrame, kept: DataFrame) -> DataFrame:
+        """chance of each stored continuation, and what it has above what the context leaves to its suffix."""
+        rows = rows.join(kept, "a", "left")
+        full = F.col("share") + F.col("left") * F.col("shorter")
+        term = F.when(F.col("left").isNotNull(), F.log(full) - F.log("left") - F.log("shorter")).otherwise(0.0)
+        return rows.select("key", "n", F.coalesce(full, "shorter").alias("chance"), term.alias("term"))
+
+    base = words.select("key", ((F.col("n") + PRIOR) / (tokens + PRIOR * (distinct + 1))).alias("shorter"))
+    one = stage(shares(grams.filter("size = 2"), words, base), "pair-shares")
+    kept_words = stage(_kept_contexts(one), "kept-words")
+    pairs = stage(scored(one, kept_words), "pairs")
+    two = shares(grams.filter("size = 3"), pairs, pairs.select("key", F.col("chance").alias("shorter")))
+    two = stage(two, "triple-shares")
+    kept_pairs = stage(_kept_contexts(two), "kept-pairs")
+
+    def lost(kept: DataFrame) -> DataFrame:
+        return kept.select(F.col("a").alias("key"), F.log("left").alias("lost"))
+
+    of_words = words.join(lost(kept_words), "key").select("key", "n", F.col("lost").alias("term"))
+    of_pairs = pairs.join(lost(kept_pairs), "key", "left").select(
+        "key", "n", (F.col("term") + F.coalesce("lost", F.lit(0.0))).alias("term")
+    )
+    terms = of_words.unionByName(of_pairs).unionByName(scored(two, kept_pairs).select("key", "n", "term"))
+    return stage(terms.filter("term != 0"), "terms")
+
+
 # --- Scoring ------------------------------------------------------------------------------------------
 
 SCORED = (
-    "doc_id bigint, n_tokens bigint, n_known bigint, base double, model double, "
-    "rare array<struct<word: binary, n: bigint>>"
+    "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, terms double, "
+    "rare array<struct<word: binary, n: bigint>>, grams array<struct<key: bigint, n: bigint>>"
 )
 
 
-def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> DataFrame:
+@dataclass
+class Frequent:
+    """What tasks hold: the frequent words with their counts, the frequent terms, a bitmap of the other terms."""
+
+    words: SuffixTree  # without levels
+    keys: np.ndarray  # sorted
+    terms: np.ndarray
+    others: np.ndarray
+
+
+def _frequent_terms(terms: DataFrame, words: SuffixTree) -> tuple[Frequent, DataFrame]:
+    """The terms of at least some count, as many as may be held, and the table of the others."""
+    lowest = _lowest_step(terms, FREQUENT_TERMS)
+    held = F.lit(False) if lowest is None else _step() >= lowest
+    chosen = terms.filter(held).select("key", "term").toArrow()
+    keys, values = chosen["key"].to_numpy().view(np.uint64), chosen["term"].to_numpy()
+    order = np.argsort(keys)
+    others = terms.filter(~held).select("key", "term")
+    bits = min(BITMAP_BITS - 1, max(SPAN_BITS, (16 * others.count()).bit_length()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _spans([batch.column(0).to_numpy().view(np.uint64)], bits)
+
+    bitmap = _bitmap(others.select("key").mapInArrow(places, "span bigint, places binary"), bits, 1)
+    return Frequent(words, keys[order], values[order], bitmap), others
+
+
+def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every text.
 
-    Learns from the rows whose column ``held_out`` is false. Frequent words are scored where the text is; the
-    other words of a text go to the table of counts by a join, one row per text and word, and come back as sums.
+    Learns from the rows whose column ``held_out`` is false. Frequent words and terms are added up where the text
+    is; the other words of a text, and its pairs and triples that the tree may have, go to their tables by a join,
+    one row per text and key, and come back as sums.
 
     NULL and empty texts are the end token alone; NULL doc_ids count as training rows; repeated rows are learnt
     and scored each; other columns are ignored; without training rows every token is unknown and has the base
@@ -285,46 +551,51 @@ def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> Da
     """
     texts = docs.filter(~F.col(held_out)).select("text")
     counts = stage(word_counts(texts), "word-counts")
-    tree = fit(texts, counts, depth)
-    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    words = _words(texts, counts)
+    terms = tree_terms(texts, counts, words.tokens, words.distinct, int(words.counts[0]))
+    _release(docs)
+    frequent_part, others = _frequent_terms(terms, words)
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_part)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        table = tree.table()
+        held = shared.value
+        table = held.words.table()
         for whole in batches:
             for first in range(0, whole.num_rows, 500):
-                yield _scored(whole.slice(first, 500), tree, table, depth)
+                yield _scored(whole.slice(first, 500), held, table)
 
-    mapped = docs.select("doc_id", "text", held_out).mapInArrow(run, f"held_out boolean, row string, {SCORED}")
-    mapped = stage(mapped, "scored")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.col(held_out).alias("held_out"), "text")
+    mapped = stage(rows.mapInArrow(run, SCORED), "scored")
     rare = mapped.select("row", F.explode("rare").alias("r")).select("row", "r.word", F.col("r.n").alias("times"))
     looked_up = rare.join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    chance = F.log10((F.col("n") + PRIOR) / (tree.tokens + PRIOR * (tree.distinct + 1)))
+    chance = F.log10((F.col("n") + PRIOR) / (words.tokens + PRIOR * (words.distinct + 1)))
     sums = looked_up.groupBy("row").agg(
         F.sum(F.col("times") * chance).alias("rare_score"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
     )
-    joined = mapped.drop("rare").join(sums, "row", "left").na.fill(0, ["rare_score", "rare_known"])
+    grams = mapped.select("row", F.explode("grams").alias("g")).select("row", "g.key", "g.n")
+    gained = grams.join(others, "key").groupBy("row").agg(F.sum(F.col("n") * F.col("term")).alias("more"))
+    joined = mapped.drop("rare", "grams").join(sums, "row", "left").join(gained, "row", "left")
+    joined = joined.na.fill(0, ["rare_score", "rare_known", "more"])
+    base_score = F.col("base") + F.col("rare_score")
     return joined.select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.col("rare_known")).alias("n_known"),
-        F.lit(tree.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.col("rare_score")).alias("base_score"),
-        (F.col("model") + F.col("rare_score")).alias("score"),
+        F.lit(words.tokens).cast("bigint").alias("train_tokens"),
+        base_score.alias("base_score"),
+        (base_score + (F.col("terms") + F.col("more")) / math.log(10)).alias("score"),
     )
 
 
-def _scored(batch: pa.RecordBatch, tree: SuffixTree, table: dict, depth: int) -> pa.RecordBatch:
-    import uuid
-
-    numbers, lengths, split = _numbered(as_bytes(batch.column(1)), table)
-    contexts = [_contexts(numbers, lengths, d) for d in range(1, depth + 1)]
-    model, _ = _log_weights(tree, contexts, numbers)
+def _scored(batch: pa.RecordBatch, held: Frequent, table: dict) -> pa.RecordBatch:
+    texts, words_held = as_bytes(batch.column(3)), held.words
+    numbers, lengths, split = _numbered(texts, table)
     common = numbers >= 0
-    base = np.where(common, np.log(tree.base(tree.counts[np.maximum(numbers, 0)].astype(float))), 0.0)
-    known = common & (tree.counts[np.maximum(numbers, 0)] > 0)
+    counts = words_held.counts[np.maximum(numbers, 0)]
+    base = np.where(common, np.log(words_held.base(counts.astype(float))), 0.0)
+    known = common & (counts > 0)
     firsts = np.cumsum(lengths) - lengths
     rare_words, rare_counts, ends = [], [], [0]
     for at, words in zip(firsts.tolist(), split, strict=True):
@@ -336,22 +607,41 @@ def _scored(batch: pa.RecordBatch, tree: SuffixTree, table: dict, depth: int) ->
     pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())], ["word", "n"])
     rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
+    grams, terms, open_keys, open_rows = Grams(texts), np.zeros(len(texts)), [], []
+    for keys, rows in ((grams.words, grams.word_rows), (grams.pairs, grams.pair_rows), (grams.triples, grams.triple_rows)):
+        place = _place(held.keys, keys)
+        there = place >= 0
+        terms += np.bincount(rows[there], weights=held.terms[place[there]], minlength=len(texts))
+        maybe = np.flatnonzero(~there)
+        maybe = maybe[_in_bitmap(held.others, keys[maybe])]
+        open_keys.append(keys[maybe])
+        open_rows.append(rows[maybe])
+    keys, rows = np.concatenate(open_keys), np.concatenate(open_rows)
+    order = np.lexsort((keys, rows))
+    keys, rows = keys[order], rows[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])
+    at = np.flatnonzero(new)
+    times = np.diff(np.append(at, len(keys)))
+    offsets = np.searchsorted(rows[at], np.arange(len(texts) + 1))
+    found = pa.StructArray.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(times, pa.int64())], ["key", "n"])
+
     def sums(values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, firsts) if len(firsts) else values[:0]
 
-    name = uuid.uuid4().hex
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(2),
-            pa.array([f"{name}-{k}" for k in range(batch.num_rows)], pa.string()),
             batch.column(0),
+            batch.column(1),
+            batch.column(2),
             pa.array(lengths, pa.int64()),
             pa.array(sums(known.astype(np.int64)), pa.int64()),
             pa.array(sums(base) / math.log(10), pa.float64()),
-            pa.array(sums(model) / math.log(10), pa.float64()),
+            pa.array(terms, pa.float64()),
             rare,
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), found),
         ],
-        ["held_out", "row", "doc_id", "n_tokens", "n_known", "base", "model", "rare"],
+        ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "terms", "rare", "grams"],
     )
 
 

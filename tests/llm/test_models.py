@@ -294,3 +294,24 @@ def test_lm_learns_contexts(spark):
         assert np.exp(log).sum() + unseen == pytest.approx(1)
         best = tree.words[int(log.argmax()) - 1]
         assert best == (b"c" if key >> 20 == a else b"d")
+
+
+@pytest.mark.parametrize("held", [2**21, 0])
+def test_lm_tree_grows_with_the_corpus(spark, monkeypatch, held):
+    """Contexts and words of three occurrences count in a corpus of any size; all scores equal the tree in memory."""
+    monkeypatch.setattr(suffix_tree_lm, "FREQUENT_TERMS", held)
+    noise = [(i, sentence(i, 2000)) for i in range(1, 60)]
+    noise += [(100 + k, f"{sentence(k, 50)} rareone raretwo rarethree {sentence(-k, 50)}") for k in range(6)]
+    docs = documents(spark, [*noise, *edge_rows()]).withColumn("held_out", F.expr("coalesce(doc_id = 105, false)"))
+    texts = docs.filter("NOT held_out").select("text")
+    tree = suffix_tree_lm.fit(texts, suffix_tree_lm.word_counts(texts))
+    got = {(r.doc_id, r.n_tokens): r for r in suffix_tree_lm.score(docs).collect()}
+    for row in docs.collect():
+        numbers, lengths, _ = suffix_tree_lm._numbered([(row.text or "").encode()], tree.table())
+        contexts = [suffix_tree_lm._contexts(numbers, lengths, d) for d in (1, 2)]
+        want = suffix_tree_lm._log_weights(tree, contexts, numbers)[0].sum() / math.log(10)
+        have = got[(row.doc_id, len(numbers))]
+        if (numbers >= 0).all():
+            assert have.score == pytest.approx(want, rel=1e-6)
+    rare = got[(105, 104)]
+    assert rare.score > rare.base_score + 4
