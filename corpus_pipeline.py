@@ -1,6 +1,7 @@
 """From raw documents to token files: toxic texts go, one of each group of near copies stays, documents with benchmark
 passages go, sources are mixed to their weights, and what is left becomes token ids in files.
 
+Stages decide on rows, not on ids: rows without id, or with different texts under one id, are documents of their own.
 Each stage takes (spark, docs, sf_dir) and gets all rows that the stage before it kept; its result is written as
 Parquet in the shared folder and read again. The first four return the columns of ``documents``.
 """
@@ -8,12 +9,11 @@ Parquet in the shared folder and read again. The first four return the columns o
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskmill.llm.common import read
-from riskmill.llm.decontaminate import find_benchmark
+from riskmill.llm.decontaminate import without_benchmark
 from riskmill.llm.mixing import whole_documents
-from riskmill.llm.near_dup import keep_one_of_each_group, near_duplicates
+from riskmill.llm.near_dup import without_near_copies
 from riskmill.llm.token_file import encode_documents
 from riskmill.llm.toxicity import without_toxic
 from riskmill.sources.workspace import stage
@@ -29,17 +29,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without words and rows without id stay.
     """
-    return keep_one_of_each_group(docs, near_duplicates(docs, shingle=5, percent=80))
+    return without_near_copies(docs, shingle=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs.
-
-    Only the ids of hit documents are joined. A row without id stays if no row without id is hit.
-    """
-    found = find_benchmark(docs, read(spark, sf_dir, "benchmark"))
-    hit = stage(found.filter("contaminated").select(F.col("doc_id").alias("hit_id")).distinct(), "contaminated")
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    """Documents in which no window of a benchmark item occurs."""
+    return without_benchmark(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,11 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``row`` (all columns) and ``number``, which tells rows apart whatever they hold. Stored, so numbers stay."""
+    return stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), name)
+
+
 # --- Hashes of word windows ---------------------------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64

@@ -244,6 +244,29 @@ def find_benchmark(
     )
 
 
+def without_benchmark(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS
+) -> DataFrame:
+    """The rows in whose text no window of a benchmark item occurs, unchanged. Each row is decided by its own text."""
+    left = docs
+    for block in _blocks(benchmark_windows(benchmark, window), block_windows):
+        index = Index(block)
+        left = _clean(left, index.anchor(shingle_counts(docs, index)))
+    return left
+
+
+def _clean(docs: DataFrame, index: Index) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for batch in batches:
+            clean = [not index.find(words_of(text))[1] for text in as_bytes(batch.column("text"))]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _length(spans):
     """Words in spans given as start, end, start, end, ... without overlap."""
     signed = F.transform(spans, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskmill.llm.common import numbered
 from riskmill.sources.workspace import stage
 
 WEIGHTS = (5, 2, 1)
@@ -144,10 +145,12 @@ class Mix:
         blocks: int = BLOCKS,
         levels: int = SHARD_LEVELS,
         seed: int = 0,
+        carry: tuple[str, ...] = (),
     ):
         size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
         order = F.xxhash64(F.lit(seed), "doc_id", "text")
-        sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), order.alias("h"))
+        sized = docs.select("doc_id", F.col("source").cast("string").alias("source"), size.alias("size"), order.alias("h"), *carry)
+        self.carry = carry
         self.sized = stage(sized, "sizes")
         sizes = self.sized.groupBy("source").agg(F.sum("size").alias("source_size"))
         self.targets = stage(mixing_targets(sizes, weights, repeats), "targets")
@@ -198,22 +201,22 @@ class Mix:
 
     def report(self) -> DataFrame:
         """doc_id, size, source_size, target, taken (words in the mix, repeats counted), one row per document."""
+        return self.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+    def taken(self) -> DataFrame:
+        """The report with sid, bucket and n_in_bucket, which name a row, and the columns carried along."""
         words = F.when(F.col("shard").isNotNull(), F.col("end") - F.col("begin")).otherwise(0)
-        return (
-            self._pieces()
-            .groupBy("sid", "bucket", "n_in_bucket", "doc_id", "size", "source_size", "target")
-            .agg(F.sum(words).alias("taken"))
-            .select("doc_id", "size", "source_size", "target", "taken")
-        )
+        keys = ["sid", "bucket", "n_in_bucket", "doc_id", "size", "source_size", "target", *self.carry]
+        return self._pieces().groupBy(*keys).agg(F.sum(words).alias("taken"))
 
 
 def whole_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix as whole documents: each row as often as its words are taken, the fraction rounded up or down by
-    a hash. Documents without words stay once. Rows with one doc_id get the same number of copies."""
-    shares = Mix(docs, seed=seed).report().groupBy("doc_id").agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+    a hash of its own place on the line of its source. Documents without words stay once."""
+    rows = numbered(docs, "mix-rows")
+    shares = Mix(rows.select("row.doc_id", "row.text", "row.source", "number"), seed=seed, carry=("number",)).taken()
     times = F.col("taken") / F.col("size")
-    chance = _uniform(F.lit(seed), F.lit("copies"), F.col("doc_id"))
+    chance = _uniform(F.lit(seed), F.lit("copies"), F.col("sid"), F.col("bucket"), F.col("n_in_bucket"))
     copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(times + chance)).cast("int")
-    taken = shares.select(F.col("doc_id").alias("taken_id"), copies.alias("copies")).filter("copies > 0")
-    rows = docs.select(F.struct("*").alias("row")).join(taken, F.col("row.doc_id").eqNullSafe(F.col("taken_id")))
-    return rows.withColumn("copy", F.explode(F.expr("sequence(1, copies)"))).select("row.*")
+    taken = shares.select("number", copies.alias("copies")).filter("copies > 0")
+    return rows.join(taken, "number").withColumn("copy", F.explode(F.expr("sequence(1, copies)"))).select("row.*")

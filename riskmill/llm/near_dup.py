@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmill.llm.common import as_bytes, connected_components, map_batches, mix, set_digest, window_hashes
+from riskmill.llm.common import as_bytes, connected_components, map_batches, mix, numbered, set_digest, window_hashes
 from riskmill.sources.workspace import stage
 
 PERMUTATIONS = 64  # each gives a minimum and a maximum: 128 values
@@ -219,3 +219,20 @@ def keep_one_of_each_group(docs: DataFrame, groups: DataFrame) -> DataFrame:
     single = docs.join(kept.filter("copies = 1").select("doc_id"), "doc_id", "left_semi")
     repeated = docs.join(kept.filter("copies > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return single.unionByName(repeated).unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
+
+
+def without_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The row with the smallest doc_id of each group of similar rows, unchanged.
+
+    Each row is a document of its own, also if its doc_id comes again with another text. Rows without id are
+    linked with nothing and stay; of rows that repeat an id without words, one stays.
+    """
+    rows = numbered(docs, "near-dup-rows")
+    named = rows.filter("row.doc_id IS NOT NULL")
+    groups = near_duplicates(named.select(F.col("number").alias("doc_id"), "row.text"), shingle, percent)
+    groups = stage(groups.select(F.col("doc_id").alias("number"), "n_shingles", "component_id"), "near-dup-groups")
+    ids = named.select("number", F.col("row.doc_id").alias("doc_id")).join(groups, "number")
+    smallest = F.min_by("number", F.struct("doc_id", "number")).alias("number")
+    kept = ids.filter("n_shingles > 0").groupBy("component_id").agg(smallest).select("number")
+    kept = kept.unionByName(ids.filter("n_shingles = 0").groupBy("doc_id").agg(F.min("number").alias("number")).select("number"))
+    return named.join(kept, "number", "left_semi").unionByName(rows.filter("row.doc_id IS NULL")).select("row.*")

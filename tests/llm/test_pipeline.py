@@ -95,3 +95,23 @@ def test_registered():
 def test_run_equals_the_stages(results, spark, sf_dir):
     columns = ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert as_rows(corpus_pipeline.run(spark, sf_dir), *columns) == as_rows(results[-1][1], *columns)
+
+
+def test_each_row_has_its_own_decision(spark, tmp_path):
+    """Rows without id, and different texts under one id, don't share the fate of a contaminated or similar row."""
+    passage, text = sentence("item", 20), sentence("twin", 100)
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = [(None, sentence(f"n{k}", 30)) for k in range(5)] + [(7, "another text under one id")]
+    docs = documents(spark, [(None, f"x {passage} y"), (7, f"{passage} z"), *clean])
+    after = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert sorted(pairs(after), key=repr) == sorted(clean, key=repr)
+    docs = documents(spark, [(3, text), (9, text), (9, sentence("other", 100)), (9, sentence("third", 100))])
+    after = corpus_pipeline.drop_near_copies(spark, docs.repartition(3), str(tmp_path))
+    assert sorted(pairs(after)) == sorted([(3, text), (9, sentence("other", 100)), (9, sentence("third", 100))])
+
+
+def test_rows_without_id_are_mixed_one_by_one(spark):
+    """Two sources of equal size with targets of 10/7 and 4/7 of it: each keeps its own number of NULL ids."""
+    rows = [(None, sentence(f"{s}{k}", 10), s) for s in "ab" for k in range(300)]
+    taken = Counter(r.source for r in corpus_pipeline.mix_sources(spark, documents(spark, rows), "").collect())
+    assert abs(taken["a"] - 300 * 10 / 7) < 60 and abs(taken["b"] - 300 * 4 / 7) < 60
