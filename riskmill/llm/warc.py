@@ -1,10 +1,11 @@
 """Web archives: records with chunked payloads, cut into segments, and their reassembly.
 
-Files are written by Spark's text writer and read by its text reader: a record's last line break but one is the
-writer's line separator, and the reader splits at the end of a record followed by the next one's version line. So
-files may lie in any store that Spark knows, and a task reads record by record. The writer never lets that
-sequence occur inside a record: it starts a new chunk of the transfer coding within it, and cuts no segment so that
-one begins with the version line or a line break before it.
+Files are written by Spark's text writer, whose line separator is a record's last line break, and read by its text
+reader, which splits at the version line. So files may lie in any store that Spark knows, and a task reads record by
+record. The version line begins with a letter that it holds only once: a reader that meets a part of it at the end of
+its buffer never has to go back, and finds every one. The writer never lets it occur inside a record: it starts a new
+chunk of the transfer coding within it, and encodes a letter of a URL that ends in it. Neither a chunk's frame, a
+header nor a cut between segments can then make one.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ from riskmill.llm.common import map_batches
 from riskmill.sources.workspace import fresh_path, stage
 
 VERSION = b"WARC/1.1\r\n"
-BETWEEN = "\r\n\r\nWARC/1.1\r\n"
 CHUNK = 8_192
 SEGMENT = 32_768
 LEAST_BYTES = 100  # smaller payloads are never revisits
@@ -35,13 +35,9 @@ _VISIBLE = "".join(map(chr, range(33, 127)))
 
 
 def chunked(payload: bytes, size: int = CHUNK) -> bytes:
-    """Chunked transfer coding; a chunk ends inside whatever could be taken for the start of a record.
-
-    A chunk follows a line break, so it must not begin with a line break and a version either.
-    """
+    """Chunked transfer coding; a chunk ends inside each version, as a line break follows a chunk's end, too."""
     ends = {0, len(payload), *range(size, len(payload), size)}
-    ends.update(m.start() + 4 for m in re.finditer(rb"\r\n\r\nWARC/", payload))
-    ends = {end + payload.startswith(b"\r\nWARC/", end) for end in ends}
+    ends.update(m.start() + 4 for m in re.finditer(re.escape(VERSION.rstrip()), payload))
     out, first = [], 0
     for end in sorted(ends - {0}):
         out += [b"%x\r\n" % (end - first), payload[first:end], b"\r\n"]
@@ -65,16 +61,15 @@ def dechunked(body: bytes) -> bytes:
 
 
 def segments(block: bytes, size: int = SEGMENT) -> list[bytes]:
-    """Parts of at most ``size`` bytes (one more where a part would begin like a record, or with a line break
-    before that, which would follow the line breaks of the part's own header)."""
-    parts, at = [], 0
-    while at < len(block) or not parts:
-        end = min(len(block), at + size)
-        if block.startswith((b"WARC/", b"\r\nWARC/"), end):
-            end += 1
-        parts.append(block[at:end])
-        at = end
-    return parts
+    """Parts of at most ``size`` bytes, at least one."""
+    return [block[at : at + size] for at in range(0, len(block), size)] or [b""]
+
+
+def target_uri(url: str | None) -> str:
+    """Visible characters only; the line that holds it must not end in a version line."""
+    uri = quote(url or "about:blank", safe=_VISIBLE)
+    version = VERSION.rstrip().decode()
+    return f"{uri.removesuffix(version)}%57{version[1:]}" if uri.endswith(version) else uri
 
 
 def record_id(page_id: int | None, digest: str) -> str:
@@ -92,7 +87,7 @@ def records_of(page_id, url, payload: bytes, digest: str, refers_to, segment: in
     own = f"<urn:uuid:{record_id(page_id, digest)}>"
     about = [
         ("WARC-Date", DATE),
-        ("WARC-Target-URI", quote(url or "about:blank", safe=_VISIBLE)),
+        ("WARC-Target-URI", target_uri(url)),
         ("X-Page-ID", page_id),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("Content-Type", "application/http; msgtype=response"),
@@ -188,7 +183,7 @@ def _number(text: str | None) -> int | None:
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record. Whole responses are decoded; of segments the block is kept."""
-    raw = spark.read.text(folder, lineSep=BETWEEN).select(F.col("value").cast("binary"))
+    raw = spark.read.text(folder, lineSep=VERSION.decode()).filter("value != ''").select(F.col("value").cast("binary"))
     names = [part.split()[0] for part in RECORD_SCHEMA.split(", ")]
 
     def parse(batch: pa.RecordBatch) -> dict:

@@ -141,6 +141,7 @@ def awkward_pages():
         (10, "u", record * 40), (11, "u", "x" * 32_600 + record * 3), (12, "u", ("é" * 70_000) + "\r\n" * 3), (13, "u", "WARC/1.1\r\n" * 30_000),
         (13, "u", "WARC/1.1\r\n" * 30_000), (14, "u", "z" * 250_000), (None, "u", "only without id " * 20), (None, "u", "only without id " * 20), (None, "u", copy),
         (15, "u", "0\r\n\r\n" * 50), (16, "u", "\n\r\n\r\n\r\nWARC/1.1\r\n\r\n" * 9),
+        (17, "http://a/WARC/1.1", "WARC/1.1"), (18, "WARC/1.1", "x" * 8184 + "WARC/1.1"),
     ] + [(100 + i, "u", copy) for i in range(60)]
 
 
@@ -186,13 +187,55 @@ def test_incomplete_segments_fail(spark, tmp_path):
 
 
 def test_chunks():
-    record = b"\r\nWARC/1.1\r\n"
-    for size in (1, 2, 3, 10, 11, 12, 13, 8192):
-        for payload in (b"", b"abc", b"\r\n" + record * 5, record * 9, record[2:] * 2000, bytes(range(256)) * 9):
+    version = b"WARC/1.1\r\n"
+    for size in (1, 2, 3, 8, 9, 10, 11, 12, 13, 8192):
+        for payload in (b"", b"abc", b"\r\n" + version * 5, version[:-2], b"x" * 8184 + version, version * 2000, bytes(range(256)) * 9):
             framed = warc.chunked(payload, size)
-            assert warc.dechunked(framed) == payload and b"\r\n\r\nWARC/" not in framed
+            assert warc.dechunked(framed) == payload and version not in framed
+            assert b"".join(warc.segments(framed, size)) == framed
             for part in warc.segments(framed, size):
-                assert b"\r\n\r\nWARC/" not in b"\r\n\r\n" + part
+                assert version not in b"\r\n\r\n" + part + b"\r\n\r\n"
     assert warc.dechunked(b"3;x=y\r\nabc\r\n0\r\nTrailer: 1\r\n\r\n") == b"abc"
     with pytest.raises(ValueError, match="chunk"):
         warc.dechunked(b"2\r\nabc\r\n0\r\n\r\n")
+    assert warc.target_uri("http://a/WARC/1.1") == "http://a/%57ARC/1.1"
+    assert warc.target_uri("http://a/WARC/1.1/b") == "http://a/WARC/1.1/b"
+
+
+@pytest.mark.parametrize("edge", [4096, 65_536, 131_072])
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_version_line_at_the_edge_of_a_buffer(spark, tmp_path, edge, packed):
+    """Files of two records whose second begins at every offset around the edge, for the file and for a split."""
+    head, offsets = warc.records_of(1, "u", b"", "0" * 64, None)[0] + b"\r\n", range(-24, 25)
+    for offset in offsets:
+        fields = [("WARC-Type", "resource"), ("WARC-Record-ID", "<urn:uuid:x>"), ("X-Pad", "p" * 9)]
+        size = edge + offset - len(warc._record(fields, b"y" * 1000)) + 1000 - 2
+        first = warc._record(fields, b"y" * size) + b"\r\n"
+        first = first.replace(b"p" * 9, b"p" * (9 + edge + offset - len(first)))
+        assert len(first) == edge + offset
+        data = first + head
+        name = f"{offset + 100}.txt" + (".gz" if packed else "")
+        (tmp_path / name).write_bytes(gzip.compress(data) if packed else data)
+    for split in ("128m", str(edge)):
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            kinds = Counter(r["type"] for r in warc.read_records(spark, str(tmp_path)).select("type").collect())
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert kinds == {"resource": len(offsets), "response": len(offsets)}
+
+
+def test_records_past_many_buffers(spark, tmp_path):
+    """60,000 pages of awkward lengths in one unsplit and one split form."""
+    table = spark.range(60_000).selectExpr(
+        "id AS page_id", "concat('http://h/', id) AS url",
+        "concat(id, repeat('WARC/1.1\\r\\n', CAST(id % 7 AS INT)), repeat('a', CAST(id * 37 % 900 AS INT)), repeat('\\r\\n', CAST(id % 5 AS INT))) AS html",
+    )
+    for compression in ("gzip", "none"):
+        folder = str(tmp_path / compression)
+        warc.write_warc(table, folder, compression=compression)
+        got = warc.read_warc(spark, folder).selectExpr("page_id", "payload_digest", "payload_bytes")
+        want = table.selectExpr("page_id", "sha2(html, 256) AS payload_digest", "octet_length(html) AS payload_bytes")
+        assert got.exceptAll(want.selectExpr("page_id", "payload_digest", "CAST(payload_bytes AS BIGINT)")).isEmpty()
+        assert got.count() == 60_000
