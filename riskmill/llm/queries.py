@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskmill.llm.common import read
+from riskmill.llm.conversations import repair_damaged
 from riskmill.llm.decontaminate import find_benchmark
 from riskmill.llm.embedding_dedup import embedding_duplicates
 from riskmill.llm.mixing import Mix
@@ -16,7 +17,9 @@ from riskmill.llm.suffix_tree_lm import score_documents
 from riskmill.llm.token_counts import count_tokens
 from riskmill.llm.token_file import encode_documents
 from riskmill.llm.toxicity import toxicity
+from riskmill.llm.url_filter import filter_pages
 from riskmill.llm.warc import archive_pages
+from riskmill.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,3 +80,18 @@ def op9_suffix_tree_lm(spark, sf_dir):
 @query
 def op10_token_counts(spark, sf_dir):
     return count_tokens(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_repair_conversations(spark, sf_dir):
+    return repair_damaged(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_whiten(spark, sf_dir):
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_filter_urls(spark, sf_dir):
+    return filter_pages(read(spark, sf_dir, "pages"))
