@@ -5,9 +5,9 @@ as one pass over all rows that sums the outer products of the centred rows with
 polynomial in V, built by its three-term recurrence, damps the part of the spectrum below the block and raises the rest.
 QR and Rayleigh-Ritz follow, and this goes on until the residuals of the wanted pairs certify them.
 
-Tasks return sums of a width by the block's; other tasks add them up by rows. The driver holds blocks of a vector's
-length by at most 64, never rows. Sums and centring are exact: entries are whole numbers, and n times an entry less the
-sum is made before the division by n.
+Tasks return sums of a width by the block's; other tasks add them up by rows, or the driver if all tasks' sums together
+are at most 16 MB. The driver holds blocks of a vector's length by the block's width, never rows. Sums and centring are
+exact: entries are whole numbers, and n times an entry less the sum is made before the division by n.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ ROUNDS = 60
 LEAST = 1e-11  # eigenvalues below this share of the largest one are zero to rounding and have no component
 SCALE, SHIFT = 64, 1_000_000  # a whole number x stands for each entry: floor(64 c) + 1,000,000
 LARGEST = 2**40  # entries beyond it are taken as it
+TO_DRIVER = 2**24  # bytes of all tasks' sums up to which the driver adds them up
 
 
 # --- Rows ---------------------------------------------------------------------------------------------
@@ -102,10 +103,11 @@ def _sums(rows: DataFrame) -> Fitted:
     return Fitted(found[0]["n"], [int(r["s"]) for r in found]) if found else Fitted(0, [])
 
 
-def summed(rows: DataFrame, shared, work: Callable[[np.ndarray, object], np.ndarray]) -> np.ndarray:
-    """The sum over all rows' matrices of ``work(x, shared.value)``, a matrix of fixed size.
+def summed(rows: DataFrame, shared, work: Callable[[np.ndarray, object], np.ndarray], entries: int) -> np.ndarray:
+    """The sum over all rows' matrices of ``work(x, shared.value)``, a matrix of so many entries.
 
-    Each task sends its sum row by row; tasks that the rows are dealt to add them up, in a fixed order.
+    Each task sends its sum row by row; they are added up in the order of the tasks, by tasks that the rows are dealt
+    to or, if they are small together, by the driver.
     """
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,6 +131,10 @@ def summed(rows: DataFrame, shared, work: Callable[[np.ndarray, object], np.ndar
         yield pa.RecordBatch.from_arrays(columns, ["i", "v"])
 
     parts = rows.select("x", F.spark_partition_id().alias("task")).mapInArrow(partial, "i int, task int, v array<double>")
+    if rows.rdd.getNumPartitions() * entries * 8 <= TO_DRIVER:
+        found = parts.toArrow().sort_by([("task", "ascending"), ("i", "ascending")])
+        whole = _matrix(found["v"].combine_chunks())
+        return whole.reshape(-1, found["i"].to_numpy().max() + 1, whole.shape[1]).sum(axis=0)
     dealt = parts.repartition("i").sortWithinPartitions("i", "task")
     found = dealt.mapInArrow(add, "i int, v array<double>").toArrow()
     order = np.argsort(found["i"].to_numpy())
@@ -148,7 +154,7 @@ def _times_covariance(rows: DataFrame, fitted: Fitted) -> Callable[[np.ndarray],
 
     def times(q: np.ndarray) -> np.ndarray:
         shared = rows.sparkSession.sparkContext.broadcast((fitted, q))
-        out = summed(rows, shared, work) / fitted.n
+        out = summed(rows, shared, work, q.size) / fitted.n
         shared.unpersist()
         return out
 
@@ -236,7 +242,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     def square_sum(x: np.ndarray, fit: Fitted) -> np.ndarray:
         return np.array([[(fit.centred(x) ** 2).sum()]])
 
-    fitted.trace = float(summed(rows, context.broadcast(fitted), square_sum)[0, 0]) / fitted.n
+    fitted.trace = float(summed(rows, context.broadcast(fitted), square_sum, 1)[0, 0]) / fitted.n
     if fitted.trace <= 0:
         return rows.sparkSession.createDataFrame([], WHITENED)
     values, basis = leading(_times_covariance(rows, fitted), len(fitted.sums), components)
@@ -248,7 +254,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
         return np.vstack([w.T @ w, w.sum(axis=0)])
 
     shared = context.broadcast((fitted, scaled))
-    sums = summed(rows, shared, moments) / fitted.n
+    sums = summed(rows, shared, moments, width * (width + 1)) / fitted.n
     covariance = sums[:width] - np.outer(sums[width], sums[width])
     error = float(np.abs(covariance - np.eye(width)).max())
     shares, number_of_rows = values / fitted.trace, fitted.n

@@ -55,8 +55,9 @@ def test_the_table(spark, sf_dir):
     check(w.whiten(table), [(r.vec_id, r.embedding) for r in table.collect()])
 
 
-@pytest.mark.parametrize(("dimension", "components"), [(5, 32), (70, 32), (90, 8)])
-def test_uneven_spectra(spark, dimension, components):
+@pytest.mark.parametrize(("dimension", "components", "to_driver"), [(5, 32, 2**24), (70, 32, 2**24), (90, 8, 2**24), (70, 32, 0)])
+def test_uneven_spectra(spark, monkeypatch, dimension, components, to_driver):
+    monkeypatch.setattr(w, "TO_DRIVER", to_driver)
     r = np.random.default_rng(dimension)
     rows = (r.normal(size=(800, dimension)) * np.geomspace(40, 1, dimension)).astype(np.float32).tolist()
     rows = [(k, v) for k, v in enumerate(rows)]
