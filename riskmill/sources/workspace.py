@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _cleared_at_exit: set[str] = set()
 _local_folders: dict[str, str] = {}  # application id -> temporary folder, for local sessions only
+_open_scratch: list[list[str]] = []  # paths handed out in each open ``scratch``, the innermost last
 
 
 def configured_folder(spark: SparkSession) -> str | None:
@@ -48,7 +50,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     if application not in _cleared_at_exit:
         _cleared_at_exit.add(application)
         atexit.register(_clear_quietly, spark)
-    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{application_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _open_scratch:
+        _open_scratch[-1].append(path)
+    return path
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -57,6 +62,17 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was staged inside. What has to last is written to a path made before."""
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scratch.pop():
+            remove(spark, path)
+
+
 def clear(spark: SparkSession) -> None:
     """Remove all that this application has staged, and the databases it has published there.
 
@@ -87,3 +103,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_only(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``stage(build(), name)`` without the tables that ``build`` has staged on its way."""
+    path = fresh_path(spark, name)
+    with scratch(spark):
+        df = build()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
