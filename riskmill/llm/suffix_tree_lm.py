@@ -3,14 +3,16 @@
 A state is a context of one or two words, seen at least ``MIN_SEEN`` times, that stays if what follows it diverges
 enough from what follows its suffix. A continuation is stored if it was seen ``MIN_SEEN`` times. A text is scored
 token by token from the longest context in the tree that ends there. Support is absolute, so the tree grows with the
-corpus: it is a Spark table by 64-bit hashes of word sequences, and texts are joined to it. Bitmaps and the frequent
-part of the table, of fixed size, are held in tasks to save joins; they leave nothing out.
+corpus: it is a Spark table by 64-bit hashes of word sequences, and texts are joined to it.
+
+Pairs and triples are counted exactly, all of them whose words come often enough. Tasks number the frequent words, so
+that a pair or triple is one whole number, sort those they hold and send them as differences, cut into buckets whose
+number follows the corpus; the few sequences with other words are sent by their hashes in the same way. The frequent
+part of the finished tree and a bitmap of the rest, of fixed size, are held in tasks to save joins; they leave nothing out.
 
 The log of a token's chance is that of its base chance plus one term for each of the last word, pair and triple:
 the weight a kept context leaves to the shorter one, and what a stored continuation has above that. So a text's
 score is the sum of one number per word, pair and triple in it.
-
-``fit`` builds the same tree in memory, for a corpus whose words are numbered; the tables are tested against it.
 """
 
 from __future__ import annotations
@@ -19,11 +21,12 @@ import gc
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +41,12 @@ MIN_SEEN = 3  # contexts and continuations seen less often are left to the short
 FREQUENT_TERMS = 2**21  # terms that tasks hold; the others are looked up by a join
 BITMAP_BITS = 29  # of the number of bits in a bitmap, at most
 SPAN_BITS = 20
-FLUSH = 500_000  # pairs and triples a task holds before it passes them on
-FLUSH_PLACES = 4_000_000
+TIER_BITS = 20  # of a frequent word's number; sequences with other words go by their hashes
+FLUSH = 6_000_000  # pairs and triples a task holds before it passes them on
+BUCKET = 4_000_000  # pairs and triples of the corpus to a bucket
+MOST_BUCKETS = 2**16
 DISCOUNT = 0.5
 PRIOR = 0.1
-_SHIFT = 20  # bits of a word's number in a key
 
 _NONE, _END = -1, 0  # rare words, and the end of a text
 
@@ -103,22 +107,13 @@ def _lowest_step(counts: DataFrame, at_most: int) -> int | None:
 
 
 @dataclass
-class Level:
-    """Contexts of one length: keys (sorted), weight of the shorter context, and stored continuations."""
-
-    keys: np.ndarray
-    backoff: np.ndarray
-    entries: np.ndarray  # state number << _SHIFT | next word, sorted
-    chances: np.ndarray
+class Words:
+    """The words that tasks know by number, and the corpus' totals."""
 
-
-@dataclass
-class SuffixTree:
     words: list[bytes]  # number k + 1; 0 is the end of a text
     counts: np.ndarray  # by number
     tokens: int  # N
     distinct: int  # V
-    levels: list[Level] = field(default_factory=list)
 
     def table(self) -> dict[bytes, int]:
         return {w: k + 1 for k, w in enumerate(self.words)}
@@ -139,19 +134,6 @@ def _numbered(texts: list[bytes], table: dict[bytes, int]) -> tuple[np.ndarray,
     return numbers, lengths, split
 
 
-def _contexts(numbers: np.ndarray, lengths: np.ndarray, depth: int) -> np.ndarray:
-    """For each token the key of the ``depth`` words before it, or -1 if they are not all frequent words of its text."""
-    starts = np.zeros(len(numbers), np.int64)
-    firsts = np.cumsum(lengths) - lengths
-    position = np.arange(len(numbers)) - np.repeat(firsts, lengths)
-    key, known = starts, position >= depth
-    for back in range(depth, 0, -1):
-        word = np.concatenate([np.full(back, _NONE), numbers[:-back]])[: len(numbers)]
-        known = known & (word > 0)
-        key = (key << _SHIFT) | np.maximum(word, 0)
-    return np.where(known, key, -1)
-
-
 def _place(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Place of each key in a sorted array, -1 if it isn't there."""
     if not len(ordered):
@@ -160,49 +142,12 @@ def _place(ordered: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(ordered[at] == keys, at, -1)
 
 
-def continuation_counts(texts: DataFrame, tree: SuffixTree, candidates: np.ndarray, depth: int) -> DataFrame:
-    """state, next, n: what follows the candidate contexts. ``next`` is -1 for all rare words together."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((tree.words, candidates))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ordered = shared.value
-        table = {w: k + 1 for k, w in enumerate(words)}
-        held, size = [], 0
-        for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                numbers, lengths, _ = _numbered(as_bytes(whole.slice(first, 500).column(0)), table)
-                state = _place(ordered, _contexts(numbers, lengths, depth))
-                at = state >= 0
-                held.append((state[at] << (_SHIFT + 1)) | (numbers[at] + 1))
-                size += len(held[-1])
-                if size > 8_000_000:
-                    yield _pairs_batch(held)
-                    held, size = [], 0
-        yield _pairs_batch(held)
-
-    rows = texts.mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    return rows.select(
-        F.shiftright("pair", _SHIFT + 1).alias("state"),
-        (F.col("pair").bitwiseAND(F.lit(2 ** (_SHIFT + 1) - 1)) - 1).alias("next"),
-        "n",
-    )
-
-
-def _pairs_batch(held: list[np.ndarray]) -> pa.RecordBatch:
-    keys, n = np.unique(np.concatenate([*held, np.empty(0, np.int64)]), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(n, pa.int64())], ["pair", "n"])
-
-
-# --- Growing ------------------------------------------------------------------------------------------
-
-
-def _words(texts: DataFrame, counts: DataFrame) -> SuffixTree:
-    """A tree without levels: the frequent words and their counts."""
+def _words(texts: DataFrame, counts: DataFrame) -> Words:
+    """The frequent words with their counts, and the totals."""
     ends = texts.count()
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     chosen = frequent(counts)
-    return SuffixTree(
+    return Words(
         [w for w, _ in chosen],
         np.array([ends, *(n for _, n in chosen)], np.int64),
         int(total) + ends,
@@ -210,83 +155,6 @@ def _words(texts: DataFrame, counts: DataFrame) -> SuffixTree:
     )
 
 
-def fit(docs: DataFrame, counts: DataFrame, depth: int = DEPTH) -> SuffixTree:
-    """The tree of the training texts (column ``text``) in memory, from their stored word counts ``counts``."""
-    texts = docs.select("text")
-    tree = _words(texts, counts)
-    candidates = np.flatnonzero(np.concatenate([[0], tree.counts[1:]]) >= MIN_SEEN).astype(np.int64)
-    for level in range(1, depth + 1):
-        if not len(candidates):
-            break
-        pairs = stage(continuation_counts(texts, tree, candidates, level), "continuations")
-        tree.levels.append(_grow(pairs, tree, candidates, level))
-        candidates = _longer(pairs, candidates)
-    return tree
-
-
-def _grow(pairs: DataFrame, tree: SuffixTree, candidates: np.ndarray, level: int) -> Level:
-    """Keep the candidates that diverge from their suffix, with their continuations.
-
-    The divergence is that of Kullback and Leibler, over the stored continuations and the rest taken together.
-    The chance of a stored continuation is its discounted share plus the weight of the rest times its chance after
-    the suffix, so the chances of all words add up to one.
-    """
-    totals = pairs.groupBy("state").agg(F.sum("n").alias("all")).toArrow()
-    size = np.zeros(len(candidates), np.int64)
-    size[totals["state"].to_numpy()] = totals["all"].to_numpy()
-    stored = pairs.filter((F.col("next") >= 0) & (F.col("n") >= MIN_SEEN)).toArrow()
-    state, word, n = (stored[c].to_numpy() for c in ("state", "next", "n"))
-    share = (n - DISCOUNT) / size[state]
-    taken = np.bincount(state, weights=share, minlength=len(candidates))
-    shorter = _chances(tree, candidates[state] & ((1 << (_SHIFT * (level - 1))) - 1), word, level - 1)
-    shorter_sum = np.bincount(state, weights=shorter, minlength=len(candidates))
-    divergence = np.bincount(state, weights=share * np.log(share / shorter), minlength=len(candidates))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        rest = (1 - taken) * np.log((1 - taken) / np.maximum(1e-12, 1 - shorter_sum))
-    divergence += np.where(taken < 1, rest, 0.0)
-    kept = (divergence >= MIN_DIVERGENCE) & (size > 0)
-    number = np.cumsum(kept) - 1
-    own = kept[state]
-    entries = (number[state[own]] << _SHIFT) | word[own]
-    order = np.argsort(entries)
-    return Level(candidates[kept], (1 - taken)[kept], entries[order], share[own][order])
-
-
-def _longer(pairs: DataFrame, candidates: np.ndarray) -> np.ndarray:
-    """Contexts one word longer that are frequent enough: a candidate context followed by a frequent word."""
-    rows = pairs.filter((F.col("next") > 0) & (F.col("n") >= MIN_SEEN)).toArrow()
-    keys = (candidates[rows["state"].to_numpy()] << _SHIFT) | rows["next"].to_numpy()
-    return np.unique(keys.astype(np.int64))
-
-
-def _chances(tree: SuffixTree, context: np.ndarray, word: np.ndarray, level: int) -> np.ndarray:
-    """Chance of each frequent word after each context of ``level`` words, from the longest suffix in the tree."""
-    return np.exp(_log_weights(tree, [_suffix(context, d) for d in range(1, level + 1)], word)[0])
-
-
-def _suffix(key: np.ndarray, length: int) -> np.ndarray:
-    return np.where(key >= 0, key & ((1 << (_SHIFT * length)) - 1), -1)
-
-
-def _log_weights(tree: SuffixTree, contexts: list[np.ndarray], word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Natural logs: of the chance of each word, and of the weight that the base model has in it.
-
-    For a rare word (-1) the first is the weight alone: the base chance is to be multiplied in.
-    """
-    chance = np.where(word >= 0, tree.base(tree.counts[np.maximum(word, 0)].astype(float)), 1.0)
-    weight = np.ones(len(word))
-    for level, context in zip(tree.levels, contexts, strict=False):
-        state = _place(level.keys, context)
-        there = np.flatnonzero(state >= 0)
-        s, w = state[there], word[there]
-        at = _place(level.entries, np.where(w >= 0, (s << _SHIFT) | np.maximum(w, 0), -1))
-        stored = np.where(at >= 0, level.chances[np.maximum(at, 0)] if len(level.chances) else 0.0, 0.0)
-        chance[there] = stored + level.backoff[s] * chance[there]
-        weight[there] *= level.backoff[s]
-    with np.errstate(divide="ignore"):
-        return np.log(chance), np.log(weight)
-
-
 # --- The tree as tables -------------------------------------------------------------------------------
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -315,10 +183,11 @@ class Grams:
         word[is_word] = window_hashes([w for words in split for w in words], 1)
         word[ends] = _END_HASH
         self.words, self.word_rows = word[is_word], row[is_word]
-        first = np.flatnonzero(is_word[:-1])  # a pair begins with a word of the same text
+        self.all_words = word
+        self.first = first = np.flatnonzero(is_word[:-1])  # a pair begins with a word of the same text
         pair = np.zeros(len(word), np.uint64)
         pair[first] = _joined(word[first], word[first + 1])
-        inner = first[is_word[first + 1]]
+        self.inner = inner = first[is_word[first + 1]]
         self.pairs, self.pair_rows, self.pair_parts = pair[first], row[first], (word[first], word[first + 1])
         self.triples, self.triple_rows = _joined(pair[inner], pair[inner + 1]), row[inner]
         self.triple_parts = (pair[inner], pair[inner + 1])
@@ -331,14 +200,11 @@ def _grams(batch: pa.RecordBatch, column: int = 0) -> Iterator[tuple[pa.RecordBa
 
 
 def _spans(held: list[np.ndarray], bits: int) -> pa.RecordBatch:
-    """The keys' places in a bitmap by spans of 2**SPAN_BITS places; a place comes MIN_SEEN times at most.
+    """The keys' places in a bitmap by spans of 2**SPAN_BITS places.
 
     The sorted places of a span are written as differences, 255 standing for a step without a place.
     """
-    keys = np.sort(np.concatenate([*held, np.empty(0, np.uint64)]) >> np.uint64(64 - bits)).astype(np.int64)
-    often = np.zeros(len(keys), bool)
-    often[MIN_SEEN:] = keys[MIN_SEEN:] == keys[:-MIN_SEEN]
-    keys = keys[~often]
+    keys = np.unique(np.concatenate([*held, np.empty(0, np.uint64)]) >> np.uint64(64 - bits)).astype(np.int64)
     span = keys >> SPAN_BITS
     found, starts = np.unique(span, return_index=True)
     blobs = []
@@ -351,34 +217,32 @@ def _spans(held: list[np.ndarray], bits: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(blobs, pa.binary())], ["span", "places"])
 
 
-def _bitmap(spans: DataFrame, bits: int, least: int) -> np.ndarray:
-    """One bit for each place that comes at least ``least`` times; a fixed number of bytes."""
+def _bitmap(spans: DataFrame, bits: int) -> np.ndarray:
+    """One bit for each place that comes; a fixed number of bytes, made by one task for each span."""
     number = 2 ** (bits - SPAN_BITS)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, counts = None, None
+        current, found = None, None
         for batch in batches:
             for span, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if span != current:
                     if current is not None:
-                        yield done(current, counts)
-                    current, counts = span, np.zeros(2**SPAN_BITS, np.uint8)
+                        yield done(current, found)
+                    current, found = span, np.zeros(2**SPAN_BITS, bool)
                 steps = np.frombuffer(blob, np.uint8)
-                places = np.cumsum(steps, dtype=np.int64)[steps < 255]
-                once, n = np.unique(places, return_counts=True)
-                counts[once] = np.minimum(counts[once] + n, MIN_SEEN)
+                found[np.cumsum(steps, dtype=np.int64)[steps < 255]] = True
         if current is not None:
-            yield done(current, counts)
+            yield done(current, found)
 
-    def done(span: int, counts: np.ndarray) -> pa.RecordBatch:
-        packed = np.packbits(counts >= least, bitorder="little").tobytes()
+    def done(span: int, found: np.ndarray) -> pa.RecordBatch:
+        packed = np.packbits(found, bitorder="little").tobytes()
         return pa.RecordBatch.from_arrays([pa.array([span], pa.int64()), pa.array([packed], pa.binary())], ["span", "bits"])
 
-    dealt = spans.repartition(min(number, 64), "span").sortWithinPartitions("span")
-    found = np.zeros((number, 2 ** (SPAN_BITS - 3)), np.uint8)
+    dealt = spans.repartition(number, "span").sortWithinPartitions("span")
+    bitmap = np.zeros((number, 2 ** (SPAN_BITS - 3)), np.uint8)
     for row in dealt.mapInArrow(add, "span bigint, bits binary").toLocalIterator():
-        found[row["span"]] = np.frombuffer(row["bits"], np.uint8)
-    return found.reshape(-1)
+        bitmap[row["span"]] = np.frombuffer(row["bits"], np.uint8)
+    return bitmap.reshape(-1)
 
 
 def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -386,55 +250,189 @@ def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
 
 
-def gram_counts(texts: DataFrame, tokens: int) -> DataFrame:
-    """size, key, a, b, n of all pairs and triples seen MIN_SEEN times.
+@dataclass
+class Tier:
+    """Hashes of the frequent words, sorted, so that a word's place is its number; a bitmap of the others seen MIN_SEEN times."""
 
-    A bitmap of what may have been seen so often is made first, so that most of the others are never shuffled.
-    """
-    bits = min(BITMAP_BITS, max(SPAN_BITS, (4 * tokens).bit_length()))
+    hashes: np.ndarray
+    others: np.ndarray
+    bits: int  # of a word's number
+
+    def key_bits(self, kind: int) -> int:
+        return {_PAIR: 2 * self.bits, _TRIPLE: 3 * self.bits}.get(kind, 64)
+
+    def numbers(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's number, -1 if it has none, and whether it may be seen often enough."""
+        number = _place(self.hashes, words)
+        often = number >= 0
+        rare = np.flatnonzero(~often)
+        often[rare] = _in_bitmap(self.others, words[rare])
+        return number, often
+
+
+def _tier(words: DataFrame) -> Tier:
+    """``words`` (key, n) holds all that come often enough, and the end of a text."""
+    lowest = _lowest_step(words, 2**TIER_BITS - 1)
+    end = F.col("key") == int(_END_HASH.view(np.int64))
+    held = end if lowest is None else (_step() >= lowest) | end
+    hashes = np.sort(words.filter(held).select("key").toArrow()["key"].to_numpy().view(np.uint64))
+    others = words.filter(~held).select("key")
+    return Tier(hashes, _bitmap_of(others), TIER_BITS)
+
+
+def _bitmap_of(keys: DataFrame) -> np.ndarray:
+    """A bitmap in which a key that isn't in the table is found once in 16 times at most, unless it is full."""
+    bits = min(BITMAP_BITS - 1, max(SPAN_BITS, (16 * keys.count()).bit_length()))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
         for batch in batches:
-            for _, grams in _grams(batch):
-                held += [grams.pairs, grams.triples]
-                size += len(grams.pairs) + len(grams.triples)
-                if size > FLUSH_PLACES:
-                    yield _spans(held, bits)
-                    held, size = [], 0
-        yield _spans(held, bits)
-
-    bitmap = _bitmap(texts.mapInArrow(places, "span bigint, places binary"), bits, MIN_SEEN)
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
-
-    def counted(held: list[tuple]) -> pa.RecordBatch:
-        sizes, keys, a, b = (np.concatenate(x) for x in zip(*held, strict=True)) if held else [np.empty(0, np.uint64)] * 4
-        keys, at, n = np.unique(keys, return_index=True, return_counts=True)
-        columns = [sizes[at].astype(np.int32), keys.view(np.int64), a[at].view(np.int64), b[at].view(np.int64), n]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "key", "a", "b", "n"])
+            yield _spans([batch.column(0).to_numpy().view(np.uint64)], bits)
+
+    return _bitmap(keys.select("key").mapInArrow(places, "span bigint, places binary"), bits)
+
+
+_SPREAD = 0x9E3779B97F4A7C15  # odd: multiplying by it is a permutation of the numbers below a power of two
+_PAIR, _TRIPLE, _RARE_PAIR, _RARE_TRIPLE = range(4)  # what a blob holds
+_KINDS = (_PAIR, _TRIPLE, _RARE_PAIR, _RARE_TRIPLE)
+
+
+def _spread(numbers: np.ndarray, bits: int, back: bool = False) -> np.ndarray:
+    factor = pow(_SPREAD, -1, 2**bits) if back else _SPREAD % 2**bits
+    return (numbers * np.uint64(factor)) & np.uint64(2**bits - 1)
+
+
+def _packed(column: np.ndarray) -> bytes:
+    """Whole numbers as compressed planes of bytes, without the empty ones."""
+    planes = max(1, (int(column.max(initial=0)).bit_length() + 7) // 8)
+    data = column.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()
+    return bytes([planes]) + zstandard.compress(data, 1)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob[1:]), np.uint8).reshape(blob[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : blob[0]] = planes.T
+    return out.reshape(-1).view("<u8")
+
+
+_BLOBS = "bucket int, kind int, keys binary, counts binary, a binary, b binary"
+
+
+def _blobs(kind: int, bits: int, keys: np.ndarray, parts: tuple[np.ndarray, np.ndarray] | None, buckets: int) -> Iterator[tuple]:
+    """The distinct keys of so many bits with their counts, by bucket: a bucket is a range of the keys."""
+    if parts is None:
+        at, keys = None, np.sort(keys)
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        keys, counts = keys[starts], np.diff(starts, append=len(keys))
+    else:
+        keys, at, counts = np.unique(keys, return_index=True, return_counts=True)
+    shift = np.uint64(max(0, bits - (buckets - 1).bit_length()))
+    edges = np.searchsorted(keys >> shift, np.arange(buckets + 1, dtype=np.uint64))
+    for bucket in np.flatnonzero(np.diff(edges)).tolist():
+        own = slice(edges[bucket], edges[bucket + 1])
+        steps = np.diff(keys[own], prepend=np.uint64(0))
+        a, b = (x[at[own]].tobytes() for x in parts) if parts else (None, None)
+        yield bucket, kind, _packed(steps), _packed(counts[own]), a, b
+
+
+class _Held:
+    """The pairs and triples of a task that have not been sent yet."""
+
+    def __init__(self, tier: Tier, buckets: int):
+        self.tier, self.buckets = tier, buckets
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys: dict[int, list] = {kind: [] for kind in _KINDS}
+        self.parts: dict[int, list] = {_RARE_PAIR: [], _RARE_TRIPLE: []}
+        self.size = 0
+
+    def add(self, grams: Grams) -> None:
+        numbers, often = self.tier.numbers(grams.all_words)
+        for kind, rare, first, size in ((_PAIR, _RARE_PAIR, grams.first, 2), (_TRIPLE, _RARE_TRIPLE, grams.inner, 3)):
+            every = np.ones(len(first), bool)
+            possible = every.copy()
+            key = np.zeros(len(first), np.uint64)
+            for k in range(size):
+                number = numbers[first + k]
+                every &= number >= 0
+                possible &= often[first + k]
+                key = (key << np.uint64(self.tier.bits)) | np.maximum(number, 0).astype(np.uint64)
+            self.keys[kind].append(_spread(key[every], self.tier.key_bits(kind)))
+            a, b = grams.pair_parts if size == 2 else grams.triple_parts
+            hashes = grams.pairs if size == 2 else grams.triples
+            other = np.flatnonzero(possible & ~every)
+            self.keys[rare].append(hashes[other])
+            self.parts[rare].append((a[other], b[other]))
+            self.size += int(every.sum()) + len(other)
+
+    def batch(self) -> pa.RecordBatch:
+        rows: list[tuple] = []
+        for kind, held in self.keys.items():
+            keys = np.concatenate([*held, np.empty(0, np.uint64)])
+            parts = None
+            if kind in self.parts:
+                parts = tuple(np.concatenate([*(p[k] for p in self.parts[kind]), np.empty(0, np.uint64)]) for k in (0, 1))
+            if len(keys):
+                rows += _blobs(kind, self.tier.key_bits(kind), keys, parts, self.buckets)
+        self.clear()
+        types = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
+        names = [part.split()[0] for part in _BLOBS.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+
+def gram_counts(texts: DataFrame, words: DataFrame, tokens: int) -> DataFrame:
+    """size, key, a, b, n of all pairs and triples seen MIN_SEEN times; ``a`` and ``b`` are the keys of their parts."""
+    tier = texts.sparkSession.sparkContext.broadcast(_tier(words))
+    buckets = min(MOST_BUCKETS, 2 ** max(1, (2 * tokens // BUCKET).bit_length()))
+    flush = FLUSH
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held = _Held(tier.value, buckets)
         for batch in batches:
             for _, grams in _grams(batch):
-                for k, keys, (a, b) in ((2, grams.pairs, grams.pair_parts), (3, grams.triples, grams.triple_parts)):
-                    at = _in_bitmap(shared.value, keys)
-                    held.append((np.full(int(at.sum()), k, np.uint8), keys[at], a[at], b[at]))
-                    size += len(held[-1][0])
-                if size > FLUSH:
-                    yield counted(held)
-                    held, size = [], 0
-        yield counted(held)
-
-    rows = texts.mapInArrow(count, "size int, key bigint, a bigint, b bigint, n bigint").drop("key")
-    often = rows.groupBy("size", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_SEEN)
+                held.add(grams)
+                if held.size > flush:
+                    yield held.batch()
+        yield held.batch()
+
+    def merged(kind: int, blobs: list[tuple]) -> pa.RecordBatch:
+        keys = np.concatenate([np.cumsum(_unpacked(k), dtype=np.uint64) for k, *_ in blobs])
+        counts = np.concatenate([_unpacked(c) for _, c, *_ in blobs]).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        n = np.add.reduceat(counts[order], starts)
+        starts, n = starts[n >= MIN_SEEN], n[n >= MIN_SEEN]
+        keys, at = ordered[starts], order[starts]
+        size = 2 if kind in (_PAIR, _RARE_PAIR) else 3
+        if kind in (_RARE_PAIR, _RARE_TRIPLE):
+            a, b = (np.concatenate([np.frombuffer(blob[k], np.uint64) for blob in blobs])[at] for k in (2, 3))
+        else:
+            bits, hashes = tier.value.bits, tier.value.hashes
+            numbers = _spread(keys, tier.value.key_bits(kind), back=True)
+            mask = np.uint64(2**bits - 1)
+            parts = [hashes[((numbers >> np.uint64(bits * k)) & mask).astype(np.int64)] for k in range(size)][::-1]
+            a, b = parts if size == 2 else (_joined(parts[0], parts[1]), _joined(parts[1], parts[2]))
+            keys = _joined(a, b)
+        columns = [np.full(len(n), size, np.int32), keys.view(np.int64), a.view(np.int64), b.view(np.int64), n]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "key", "a", "b", "n"])
 
-    def keyed(batch: pa.RecordBatch) -> dict:
-        a, b = (batch.column(k).to_numpy().view(np.uint64) for k in (1, 2))
-        names = dict(zip(("size", "a", "b", "n"), batch.columns, strict=True))
-        return names | {"key": pa.array(_joined(a, b).view(np.int64))}
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, blobs = None, []
+        for batch in batches:
+            for bucket, kind, *blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (bucket, kind) != current:
+                    if blobs:
+                        yield merged(current[1], blobs)
+                    current, blobs = (bucket, kind), []
+                blobs.append(blob)
+        if blobs:
+            yield merged(current[1], blobs)
 
-    return stage(map_batches(often, keyed, "size int, key bigint, a bigint, b bigint, n bigint"), "grams")
+    dealt = texts.mapInArrow(count, _BLOBS).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind")
+    return dealt.mapInArrow(merge, "size int, key bigint, a bigint, b bigint, n bigint")
 
 
 def _release(df: DataFrame) -> None:
@@ -468,7 +466,7 @@ def tree_terms(texts: DataFrame, counts: DataFrame, tokens: int, distinct: int,
     words = map_batches(counts.filter(F.col("n") >= MIN_SEEN).select("word", "n"), keyed, "key bigint, n bigint")
     end = texts.sparkSession.range(1).select(F.lit(int(_END_HASH.view(np.int64))).alias("key"), F.lit(ends).cast("bigint").alias("n"))
     words = stage(words.unionByName(end), "word-keys")
-    grams = gram_counts(texts, tokens)
+    grams = stage(gram_counts(texts, words, tokens), "grams")
     _release(texts)
 
     def shares(rows: DataFrame, contexts: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -514,13 +512,13 @@ SCORED = (
 class Frequent:
     """What tasks hold: the frequent words with their counts, the frequent terms, a bitmap of the other terms."""
 
-    words: SuffixTree  # without levels
+    words: Words
     keys: np.ndarray  # sorted
     terms: np.ndarray
     others: np.ndarray
 
 
-def _frequent_terms(terms: DataFrame, words: SuffixTree) -> tuple[Frequent, DataFrame]:
+def _frequent_terms(terms: DataFrame, words: Words) -> tuple[Frequent, DataFrame]:
     """The terms of at least some count, as many as may be held, and the table of the others."""
     lowest = _lowest_step(terms, FREQUENT_TERMS)
     held = F.lit(False) if lowest is None else _step() >= lowest
@@ -528,14 +526,7 @@ def _frequent_terms(terms: DataFrame, words: SuffixTree) -> tuple[Frequent, Data
     keys, values = chosen["key"].to_numpy().view(np.uint64), chosen["term"].to_numpy()
     order = np.argsort(keys)
     others = terms.filter(~held).select("key", "term")
-    bits = min(BITMAP_BITS - 1, max(SPAN_BITS, (16 * others.count()).bit_length()))
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield _spans([batch.column(0).to_numpy().view(np.uint64)], bits)
-
-    bitmap = _bitmap(others.select("key").mapInArrow(places, "span bigint, places binary"), bits, 1)
-    return Frequent(words, keys[order], values[order], bitmap), others
+    return Frequent(words, keys[order], values[order], _bitmap_of(others)), others
 
 
 def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:

@@ -275,43 +275,78 @@ def test_lm_edges(spark, monkeypatch, vocabulary):
     assert suffix_tree_lm.score_documents(documents(spark, [])).count() == 0
 
 
-def test_lm_learns_contexts(spark):
-    """After "a b" comes c, after "x b" comes d: two words of context are needed, and chances add up to one."""
-    text = " ".join(["a b c", "x b d", "q r s"][i * 7919 % 3] for i in range(400))
-    rows = [(i, text) for i in range(1, 30)]
-    texts = documents(spark, rows).select("text")
-    counts = suffix_tree_lm.word_counts(texts)
-    tree = suffix_tree_lm.fit(texts, counts)
-    number = tree.table()
-    assert len(tree.levels) == 2 and len(tree.levels[1].keys)
-    a, b, x = number[b"a"], number[b"b"], number[b"x"]
-    everything = np.arange(len(tree.words) + 1)
-    for key in ((a << 20) | b, (x << 20) | b):
-        both = np.full(len(everything), key)
-        log, _ = suffix_tree_lm._log_weights(tree, [both & (2**20 - 1), both], everything)
-        _, weight = suffix_tree_lm._log_weights(tree, [both[:1] & (2**20 - 1), both[:1]], np.array([-1]))
-        unseen = np.exp(weight[0]) * tree.base(0)  # the chance of all words never seen
-        assert np.exp(log).sum() + unseen == pytest.approx(1)
-        best = tree.words[int(log.argmax()) - 1]
-        assert best == (b"c" if key >> 20 == a else b"d")
-
-
-@pytest.mark.parametrize("held", [2**21, 0])
-def test_lm_tree_grows_with_the_corpus(spark, monkeypatch, held):
-    """Contexts and words of three occurrences count in a corpus of any size; all scores equal the tree in memory."""
-    monkeypatch.setattr(suffix_tree_lm, "FREQUENT_TERMS", held)
-    noise = [(i, sentence(i, 2000)) for i in range(1, 60)]
+class PlainTree:
+    """The suffix tree in dictionaries: shares of stored continuations and the weight each kept context leaves."""
+
+    def __init__(self, texts):
+        runs = [[*t.encode().lower().split(), None] for t in texts]  # None is the end
+        self.words = Counter(w for run in runs for w in run)
+        self.total = sum(self.words.values())
+        pairs = Counter((run[k], run[k + 1]) for run in runs for k in range(len(run) - 1))
+        triples = Counter(tuple(run[k : k + 3]) for run in runs for k in range(len(run) - 2))
+        self.shares, self.left = {}, {}
+        for grams, sizes in ((pairs, {(w,): n for w, n in self.words.items()}), (triples, pairs)):
+            stored = {}
+            for gram, n in grams.items():
+                if n >= 3:
+                    stored.setdefault(gram[:-1], {})[gram[-1]] = (n - 0.5) / sizes[gram[:-1]]
+            kept = {}
+            for context, shares in stored.items():
+                shorter = {x: self.chance(context[1:], x) for x in shares}
+                left = 1 - sum(shares.values())
+                divergence = sum(s * math.log(s / shorter[x]) for x, s in shares.items())
+                if left > 0:
+                    divergence += left * math.log(left / max(1e-12, 1 - sum(shorter.values())))
+                if divergence >= 0.02:
+                    kept[context] = (shares, left)
+            for context, (shares, left) in kept.items():
+                self.shares[context], self.left[context] = shares, left
+
+    def chance(self, context, x):
+        if not context:
+            return (self.words[x] + 0.1) / (self.total + 0.1 * (len(self.words) + 1))
+        shorter = self.chance(context[1:], x)
+        return self.shares[context].get(x, 0.0) + self.left[context] * shorter if context in self.left else shorter
+
+    def score(self, text):
+        run = [*text.encode().lower().split(), None]
+        return sum(math.log10(self.chance(tuple(run[max(0, k - 2) : k]), x)) for k, x in enumerate(run))
+
+
+def test_plain_tree_adds_up_to_one():
+    """After "a b" comes c, after "x b" comes d: two words of context are needed."""
+    tree = PlainTree([" ".join(["a b c", "x b d", "q r s"][i * 7919 % 3] for i in range(400))] * 30)
+    everything = [*tree.words]
+    for context, best in (((b"a", b"b"), b"c"), ((b"x", b"b"), b"d")):
+        chances = {x: tree.chance(context, x) for x in everything}
+        unseen = tree.chance(context, b"never")
+        assert sum(chances.values()) + unseen == pytest.approx(1) and max(chances, key=chances.get) == best
+
+
+@pytest.mark.parametrize(("held", "tier", "flush"), [(2**21, 20, 6_000_000), (0, 20, 3000), (2**21, 6, 500), (50, 1, 6_000_000)])
+def test_lm_scores_are_those_of_the_plain_tree(spark, monkeypatch, held, tier, flush):
+    """Contexts and words of three occurrences count in a corpus of any size, held in tasks or not."""
+    for name, value in (("FREQUENT_TERMS", held), ("TIER_BITS", tier), ("FLUSH", flush), ("BUCKET", 20_000)):
+        monkeypatch.setattr(suffix_tree_lm, name, value)
+    noise = [(i, sentence(i, 2000)) for i in range(1, 30)]
     noise += [(100 + k, f"{sentence(k, 50)} rareone raretwo rarethree {sentence(-k, 50)}") for k in range(6)]
+    noise += [(200 + k, " ".join(["a b c", "x b d", "q r s"][i * k * 7919 % 3] for i in range(100))) for k in range(9)]
     docs = documents(spark, [*noise, *edge_rows()]).withColumn("held_out", F.expr("coalesce(doc_id = 105, false)"))
-    texts = docs.filter("NOT held_out").select("text")
-    tree = suffix_tree_lm.fit(texts, suffix_tree_lm.word_counts(texts))
-    got = {(r.doc_id, r.n_tokens): r for r in suffix_tree_lm.score(docs).collect()}
-    for row in docs.collect():
-        numbers, lengths, _ = suffix_tree_lm._numbered([(row.text or "").encode()], tree.table())
-        contexts = [suffix_tree_lm._contexts(numbers, lengths, d) for d in (1, 2)]
-        want = suffix_tree_lm._log_weights(tree, contexts, numbers)[0].sum() / math.log(10)
-        have = got[(row.doc_id, len(numbers))]
-        if (numbers >= 0).all():
-            assert have.score == pytest.approx(want, rel=1e-6)
-    rare = got[(105, 104)]
+    rows = docs.select("doc_id", "text", "held_out").collect()
+    tree = PlainTree([r.text or "" for r in rows if not r.held_out])
+    assert any(len(c) == 2 for c in tree.left)
+    got = as_rows(suffix_tree_lm.score(docs.repartition(5)), "doc_id", "n_tokens", "score")
+    want = sorted(((r.doc_id, len((r.text or "").encode().split()) + 1, tree.score(r.text or "")) for r in rows), key=repr)
+    for a, b in zip(got, want, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9, abs=1e-9)
+    (rare,) = suffix_tree_lm.score(docs).filter("doc_id = 105").collect()
     assert rare.score > rare.base_score + 4
+
+
+def test_lm_blobs():
+    numbers = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
+    assert (suffix_tree_lm._unpacked(suffix_tree_lm._packed(numbers)) == numbers).all()
+    for bits in (2, 40, 60):
+        some = np.unique(numbers & np.uint64(2**bits - 1))
+        spread = suffix_tree_lm._spread(some, bits)
+        assert len(np.unique(spread)) == len(some) and (suffix_tree_lm._spread(spread, bits, back=True) == some).all()
