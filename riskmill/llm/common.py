@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskmill.sources.workspace import stage
@@ -52,8 +53,23 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 
 def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """``row`` (all columns) and ``number``, which tells rows apart whatever they hold. Stored, so numbers stay."""
-    return stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), name)
+    """``row`` (all columns) and ``number``, which tells rows apart whatever they hold and stays the same.
+
+    Rows of a Parquet table are numbered by their file and place in it, and not written again; the files' numbers are
+    joined. Rows of any other plan are stored first.
+    """
+    spark = docs.sparkSession
+    try:
+        if not docs._jdf.queryExecution().analyzed().children().isEmpty() or "_metadata" in docs.columns:
+            raise AnalysisException("not a stored table")
+        file, place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place")
+        rows = docs.select(F.struct("*").alias("row"), file, place)
+    except AnalysisException:
+        return stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")), name)
+    by_name = Window.orderBy("file")  # one row per file
+    files = docs.select(file).distinct().select("file", F.row_number().over(by_name).cast("bigint").alias("file_number"))
+    joined = rows.join(stage(files, f"{name}-files"), "file")
+    return joined.select("row", (F.shiftleft("file_number", 40) + F.col("place")).alias("number"))
 
 
 # --- Hashes of word windows ---------------------------------------------------------------------------

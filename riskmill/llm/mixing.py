@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmill.llm.common import numbered
-from riskmill.sources.workspace import stage
+from riskmill.sources.workspace import stage, stage_only
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
@@ -214,9 +214,13 @@ def whole_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix as whole documents: each row as often as its words are taken, the fraction rounded up or down by
     a hash of its own place on the line of its source. Documents without words stay once."""
     rows = numbered(docs, "mix-rows")
-    shares = Mix(rows.select("row.doc_id", "row.text", "row.source", "number"), seed=seed, carry=("number",)).taken()
-    times = F.col("taken") / F.col("size")
-    chance = _uniform(F.lit(seed), F.lit("copies"), F.col("sid"), F.col("bucket"), F.col("n_in_bucket"))
-    copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(times + chance)).cast("int")
-    taken = shares.select("number", copies.alias("copies")).filter("copies > 0")
+
+    def counted() -> DataFrame:
+        shares = Mix(rows.select("row.doc_id", "row.text", "row.source", "number"), seed=seed, carry=("number",)).taken()
+        times = F.col("taken") / F.col("size")
+        chance = _uniform(F.lit(seed), F.lit("copies"), F.col("sid"), F.col("bucket"), F.col("n_in_bucket"))
+        copies = F.when(F.col("size") == 0, 1).otherwise(F.floor(times + chance)).cast("int")
+        return shares.select("number", copies.alias("copies")).filter("copies > 0")
+
+    taken = stage_only(docs.sparkSession, "mix-copies", counted)
     return rows.join(taken, "number").withColumn("copy", F.explode(F.expr("sequence(1, copies)"))).select("row.*")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmill.llm.common import as_bytes, connected_components, map_batches, mix, numbered, set_digest, window_hashes
-from riskmill.sources.workspace import stage
+from riskmill.sources.workspace import stage, stage_only
 
 PERMUTATIONS = 64  # each gives a minimum and a maximum: 128 values
 BANDS = 32  # of 4 values each; a pair at similarity 0.8 misses all bands once in about 20 million times
@@ -210,17 +210,6 @@ def _still_open(members: DataFrame, links: DataFrame) -> DataFrame:
     return stage(current.join(several.filter("x != y").select("bucket"), "bucket"), "open-buckets")
 
 
-def keep_one_of_each_group(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The documents' rows that ``near_duplicates`` keeps; of repeated rows with one id, one stays.
-
-    Rows without id stay.
-    """
-    kept = groups.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    single = docs.join(kept.filter("copies = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(kept.filter("copies > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.filter("doc_id IS NULL")).select(docs.columns)
-
-
 def without_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The row with the smallest doc_id of each group of similar rows, unchanged.
 
@@ -229,8 +218,12 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) ->
     """
     rows = numbered(docs, "near-dup-rows")
     named = rows.filter("row.doc_id IS NOT NULL")
-    groups = near_duplicates(named.select(F.col("number").alias("doc_id"), "row.text"), shingle, percent)
-    groups = stage(groups.select(F.col("doc_id").alias("number"), "n_shingles", "component_id"), "near-dup-groups")
+
+    def grouped() -> DataFrame:
+        groups = near_duplicates(named.select(F.col("number").alias("doc_id"), "row.text"), shingle, percent)
+        return groups.select(F.col("doc_id").alias("number"), "n_shingles", "component_id")
+
+    groups = stage_only(docs.sparkSession, "near-dup-groups", grouped)
     ids = named.select("number", F.col("row.doc_id").alias("doc_id")).join(groups, "number")
     smallest = F.min_by("number", F.struct("doc_id", "number")).alias("number")
     kept = ids.filter("n_shingles > 0").groupBy("component_id").agg(smallest).select("number")

@@ -89,7 +89,7 @@ def test_empty_documents(spark, tmp_path, sf_dir):
 def test_registered():
     assert set(QUERIES) <= set(contract.queries()) and "pipeline" in contract.queries()
     numbers = sorted(int(q[2:].split("_")[0]) for q in QUERIES)
-    assert numbers == list(range(1, 11)) and len(corpus_pipeline.STAGES) == 5
+    assert numbers == list(range(1, 14)) and len(corpus_pipeline.STAGES) == 5
 
 
 def test_run_equals_the_stages(results, spark, sf_dir):

@@ -10,10 +10,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from llm.helpers import as_rows, documents, edge_rows, groups_of, sentence
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskmill.llm import near_dup, token_file
-from riskmill.llm.common import connected_components, read, window_hashes
+from riskmill.llm.common import connected_components, numbered, read, window_hashes
 from riskmill.llm.decontaminate import find_benchmark
 from riskmill.llm.token_counts import count_tokens
 from riskmill.llm.tokens import default_tokenizer
@@ -202,14 +203,31 @@ def test_near_duplicates_empty(spark):
     assert near_dup.near_duplicates(documents(spark, [])).count() == 0
 
 
-def test_one_of_each_group_stays(spark):
-    rows = [(1, "a b c d e f"), (2, "A b c d e f"), (2, "A b c d e f"), (4, "q r s"), (4, "q r s"), (None, "a b c d e f"), (5, None)]
-    docs = documents(spark, rows)
-    kept = near_dup.keep_one_of_each_group(docs, near_dup.near_duplicates(docs))
+@pytest.mark.parametrize("stored", [False, True])
+def test_one_of_each_group_stays(spark, tmp_path, stored):
+    rows = [(2, "A b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (4, "q r s"), (4, "q r s"), (None, "a b c d e f"), (5, None)]
+    docs = documents(spark, rows).repartition(3)
+    if stored:
+        docs.write.parquet(f"{tmp_path}/docs")
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+    kept = near_dup.without_near_copies(docs)
     assert kept.columns == docs.columns
-    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(
-        map(repr, [(1, "a b c d e f"), (4, "q r s"), (None, "a b c d e f"), (5, None)])
-    )
+    assert as_rows(kept, "doc_id", "text") == sorted([(1, "a b c d e f"), (4, "q r s"), (None, "a b c d e f"), (5, None)], key=repr)
+
+
+def test_numbers_tell_rows_apart(spark, tmp_path):
+    """Rows of stored tables are numbered by file and place, again and again alike; others are stored first."""
+    docs = documents(spark, [*edge_rows(), *edge_rows()]).repartition(4)
+    docs.write.option("maxRecordsPerFile", 3).parquet(f"{tmp_path}/docs")
+    stored = spark.read.parquet(f"{tmp_path}/docs")
+    for table in (stored, docs, stored.filter("doc_id IS NULL OR doc_id > 3"), stored.withColumn("x", F.explode(F.array(F.lit(1), F.lit(2))))):
+        rows = numbered(table, "numbers")
+        assert rows.select("number").distinct().count() == rows.count() == table.count()
+        once, again = (as_rows(rows.selectExpr("number", "row.doc_id AS i", "md5(row.text) AS t"), "number", "i", "t") for _ in "ab")
+        assert once == again
+        assert as_rows(rows.select("row.*"), "doc_id", "text") == as_rows(table, "doc_id", "text")
+    assert "numbers-files" in str(numbered(stored, "numbers").inputFiles()) and numbered(stored, "numbers").columns == ["row", "number"]
+    assert numbered(spark.read.schema(stored.schema).parquet(f"{tmp_path}/docs").withColumnRenamed("row", "_metadata"), "numbers").count() == 32
 
 
 def test_signatures_estimate_similarity_without_bias():
