@@ -2,44 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmill.sources.workspace import stage
 
+HOT_ROWS = 1_000_000  # a key with more rows than that is spread over ranges
+TRACKED = 4_096  # keys that the sketch tells: all with more than 1/3,072 of the rows, and no others matter
+
 
-def _minute(ts: Column) -> Column:
-    """Minutes since 1970-01-01 of a timestamp without time zone."""
-    return F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)
+def frequent_keys(df: DataFrame, key: str, least: int = HOT_ROWS, tracked: int = TRACKED) -> list:
+    """Keys with more than ``least`` rows, if they hold a share of all rows worth spreading; ``tracked`` at most.
+
+    A frequent-items sketch: one pass over the key's column, merged from map tasks, without a shuffle of keys. What it
+    misses or adds changes the speed of what uses it, never a result.
+    """
+    top = df.filter(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k(`{key}`, {tracked}, {tracked})").alias("top")).first()["top"]
+    return [x["item"] for x in top or [] if x["count"] > least]
 
 
-def with_previous_time(df: DataFrame, key: str, time: str, tie: str, output: str) -> DataFrame:
+def with_previous_time(
+    df: DataFrame, key: str, time: str, tie: str, output: str, hot_rows: int = HOT_ROWS, tracked: int = TRACKED
+) -> DataFrame:
     """Add the time of the key's preceding row: ``lag(time)`` ordered by time and tie, NULL times first.
 
-    Rows of equal time need no order among them, except that the one with the smallest tie looks back to an
-    earlier time. So the windows run over distinct (key, time) pairs, reduced on the map side: inside a minute
-    of a key, and over the last times of its minutes. However many rows share a key, or a key and a time, no
-    group holds more than the distinct times of a minute or the minutes of a key. A row without key or time has
-    no preceding row and takes part in no window. Rows that share key, time and the smallest tie all look back.
+    A row without key or time has no preceding row; such rows are spread by their tie. The rows move once. Those of most
+    keys go through a window over their key. Those of a key with more than ``hot_rows`` rows go through ranges of
+    (key, time, tie), however many share a minute or an instant, and each range gets one row carried from the one
+    before it. Rows that share key, time and tie follow each other in no particular order.
     """
-    moments = (
-        df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-        .groupBy(F.col(key).alias("_key"), F.col(time).alias("_time"))
-        .agg(F.min(tie).alias("_first"))
-        .withColumn("_minute", _minute(F.col("_time")))
-    )
-    inside = Window.partitionBy("_key", "_minute").orderBy("_time")
-    ends = moments.groupBy("_key", "_minute").agg(F.max("_time").alias("_end"))
-    by_minute = Window.partitionBy("_key").orderBy("_minute")
-    carried = ends.select("_key", "_minute", F.lag("_end").over(by_minute).alias("_carried"))
-    earlier = (
-        moments.withColumn("_inside", F.lag("_time").over(inside))
-        .join(carried, ["_key", "_minute"])
-        .select("_key", "_time", "_first", F.coalesce("_inside", "_carried").alias("_earlier"))
-    )
-    same = (F.col(key) == F.col("_key")) & (F.col(time) == F.col("_time"))
-    previous = F.when(F.col(tie) == F.col("_first"), F.col("_earlier")).otherwise(F.col("_time"))
-    return df.join(earlier, same, "left").withColumn(output, previous).drop("_key", "_time", "_first", "_earlier")
+    named = F.col(key).isNotNull() & F.col(time).isNotNull()
+    hot = frequent_keys(df, key, hot_rows, tracked)
+    in_ranges = named & F.col(key).isin(hot) if hot else F.lit(False)
+    spread = F.when(~named, F.xxhash64(tie))
+    window = Window.partitionBy(key, spread).orderBy(time, tie)
+    rest = df.filter(~F.coalesce(in_ranges, F.lit(False))) if hot else df
+    rest = rest.withColumn(output, F.when(named, F.lag(time).over(window)))
+    return rest.unionByName(_previous_in_ranges(df.filter(in_ranges), key, time, tie, output)) if hot else rest
+
+
+def _previous_in_ranges(df: DataFrame, key: str, time: str, tie: str, output: str) -> DataFrame:
+    """The look-back as an ordered scan of sorted ranges. Only the first row of a range may look back into another:
+    to the last row of the nearest range before it that has rows."""
+    ordered = df.repartitionByRange(key, time, tie).sortWithinPartitions(key, time, tie)
+    ordered = ordered.withColumn(output, F.col(time)).withColumn("_range", F.spark_partition_id())
+    ordered = ordered.withColumn("_first", F.lit(False))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # key and time of the row before the batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, times = batch.column(key), batch.column(time)
+            before = last or (keys.slice(0, 1), times.slice(0, 1))
+            earlier_keys = pa.concat_arrays([before[0], keys.slice(0, batch.num_rows - 1)])
+            earlier_times = pa.concat_arrays([before[1], times.slice(0, batch.num_rows - 1)])
+            first = pa.array([last is None] + [False] * (batch.num_rows - 1))
+            same = pc.and_(pc.equal(keys, earlier_keys), pc.invert(first))
+            previous = pc.if_else(same, earlier_times, pa.scalar(None, times.type))
+            last = (keys.slice(batch.num_rows - 1), times.slice(batch.num_rows - 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], previous, batch.column("_range"), first], batch.schema.names)
+
+    scanned = stage(ordered.mapInArrow(scan, ordered.schema), "look-back")
+    ends = scanned.groupBy("_range").agg(F.max(F.struct(key, time)).alias("_end"))
+    by_range = Window.orderBy("_range")  # one row per range
+    carried = ends.select(F.col("_range").alias("_into"), F.lag("_end").over(by_range).alias("_carried"))
+    joined = scanned.join(F.broadcast(carried), F.col("_range") == F.col("_into"))
+    into = F.col("_first") & (F.col(key) == F.col(f"_carried.{key}"))
+    joined = joined.withColumn(output, F.when(into, F.col(f"_carried.{time}")).otherwise(F.col(output)))
+    return joined.drop("_range", "_first", "_into", "_carried")
 
 
 def with_key_maximum(df: DataFrame, key: str, value: str, output: str) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BUCKETS = 65_536  # values of the first four hexadecimal digits
+DIGITS = 4  # hexadecimal digits of the hash that a round adds: 65,536 counts per label
+MOST_LABELS = 1_000
 
 
 def hash_part(row_id: Column, test_percent: int = 20) -> Column:
@@ -18,27 +20,38 @@ def hash_part(row_id: Column, test_percent: int = 20) -> Column:
 
 
 def test_cutoffs(df: DataFrame, row_id: str, label: str, test_share: float) -> DataFrame:
-    """Largest id hash that belongs to the test part, one row per label (``_label``, ``_cutoff``).
+    """The beginning of the largest id hash that belongs to the test part, one row per label (``_label``, ``_cutoff``).
 
-    Exact without sorting a label's rows: counts per hash prefix find the prefix in which the wanted
-    share is reached, and only the rows of that prefix (one in 65,536) are ranked.
+    Exact by counts alone: counts per beginning of the hash find the one in which the wanted share is reached, and the
+    next round counts only rows with that beginning, by four digits more. It ends when one hash is left for each label;
+    a round leaves one row in 65,536. No row is ranked or sorted. More than 1,000 labels are an error.
     """
-    hashed = df.select(F.col(label).alias("_label"), F.md5(row_id).alias("_hash")).withColumn(
-        "_prefix", F.conv(F.substring("_hash", 1, 4), 16, 10).cast("int")
-    )
-    prefixes = hashed.groupBy("_label", "_prefix").agg(F.count("*").alias("_n"))
-    by_label = Window.partitionBy("_label")
-    running = by_label.orderBy("_prefix")
-    crossing = (
-        prefixes.withColumn("_before", F.sum("_n").over(running) - F.col("_n"))
-        .withColumn("_wanted", F.round(F.sum("_n").over(by_label) * test_share).cast("long") - F.col("_before"))
-        .filter((F.col("_wanted") >= 1) & (F.col("_wanted") <= F.col("_n")))
-        .select("_label", "_prefix", "_wanted")
-    )
-    ranked = hashed.join(F.broadcast(crossing), ["_label", "_prefix"]).withColumn(
-        "_rank", F.row_number().over(by_label.orderBy("_hash"))
-    )
-    return ranked.filter(F.col("_rank") == F.col("_wanted")).select("_label", F.col("_hash").alias("_cutoff"))
+    spark = df.sparkSession
+    kind = df.schema[label].dataType
+    schema = T.StructType([T.StructField("_label", kind), T.StructField("_start", T.StringType()), T.StructField("_wanted", T.LongType())])
+    hashed = df.select(F.col(label).alias("_label"), F.md5(row_id).alias("_hash")).filter("_label IS NOT NULL AND _hash IS NOT NULL")
+    by_label = Window.partitionBy("_label")  # at most 65,536 counts
+    found: dict = {}
+    for digits in range(DIGITS, 33, DIGITS):
+        start = F.substring("_hash", 1, digits).alias("_start")
+        if digits == DIGITS:
+            counts = hashed.groupBy("_label", start).agg(F.count("*").alias("_n"))
+            counts = counts.withColumn("_wanted", F.round(F.sum("_n").over(by_label) * test_share).cast("long"))
+        else:
+            again = spark.createDataFrame([(k, *v[:2]) for k, v in found.items() if v[2] > 1], schema)
+            rows = hashed.withColumn("_before", F.substring("_hash", 1, digits - DIGITS))
+            rows = rows.join(F.broadcast(again.withColumnRenamed("_start", "_before")), ["_label", "_before"])
+            counts = rows.groupBy("_label", start, "_wanted").agg(F.count("*").alias("_n"))
+        earlier = F.sum("_n").over(by_label.orderBy("_start")) - F.col("_n")
+        counts = counts.withColumn("_wanted", F.col("_wanted") - earlier)
+        reached = counts.filter("_wanted >= 1 AND _wanted <= _n").select("_label", "_start", "_wanted", "_n")
+        for row in reached.limit(MOST_LABELS + 1).collect():
+            found[row["_label"]] = (row["_start"], row["_wanted"], row["_n"])
+        if len(found) > MOST_LABELS:
+            raise ValueError(f"{label} takes more than {MOST_LABELS} values")
+        if all(n == 1 for *_, n in found.values()):
+            break
+    return spark.createDataFrame([(k, v[0]) for k, v in found.items()], T.StructType(schema.fields[:2])).withColumnRenamed("_start", "_cutoff")
 
 
 def stratified_split(
@@ -46,12 +59,14 @@ def stratified_split(
 ) -> DataFrame:
     """Add 'train' or 'test' so that every label has exactly its rounded share of test rows.
 
-    ``label`` must take few values (here 0 and 1): the cutoffs, one row per label, are broadcast. ``df``
-    should be a stored table; it is read three times, twice for id and label only.
+    ``label`` must take few values (here 0 and 1): the cutoffs, one row per label and checked to be few, are
+    broadcast. ``df`` should be a stored table; it is read a few times, all but the last for id and label only. Rows
+    without label or id are for training.
     """
     cutoffs = test_cutoffs(df, row_id, label, test_share)
+    own = F.md5(row_id).substr(F.lit(1), F.length("_cutoff"))
     return (
         df.join(F.broadcast(cutoffs), F.col(label) == F.col("_label"), "left")
-        .withColumn(output, F.when(F.md5(row_id) <= F.col("_cutoff"), "test").otherwise("train"))
+        .withColumn(output, F.when(own <= F.col("_cutoff"), "test").otherwise("train"))
         .drop("_label", "_cutoff")
     )

@@ -35,8 +35,10 @@ def _plain_lag(df):
     return df.withColumn("prev", F.when(F.col("account").isNotNull(), plain))
 
 
-def test_previous_time_equals_lag(events):
-    assert as_set(skew.with_previous_time(events, "account", "ts", "id", "prev")) == as_set(_plain_lag(events))
+@pytest.mark.parametrize("hot_rows", [skew.HOT_ROWS, 500, 0])
+def test_previous_time_equals_lag(events, hot_rows):
+    got = skew.with_previous_time(events, "account", "ts", "id", "prev", hot_rows)
+    assert as_set(got) == as_set(_plain_lag(events))
 
 
 def test_previous_time_with_one_busy_minute_and_nulls(spark):
@@ -49,16 +51,38 @@ def test_previous_time_with_one_busy_minute_and_nulls(spark):
         seconds = rng.choice([0, 0, 0, rng.randrange(60)]) if i % 10 else rng.randrange(90_000)
         rows.append((i, account, None if i % 97 == 0 else start + timedelta(seconds=seconds)))
     df = spark.createDataFrame(rows, "id long, account string, ts timestamp_ntz").repartition(7)
-    got = skew.with_previous_time(df, "account", "ts", "id", "prev")
-    assert as_set(got) == as_set(_plain_lag(df))
-
-
-def test_previous_time_has_one_plan(spark, events):
-    """No job runs while the query is planned, and no window is over a whole key's rows."""
-    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
-    text = plan_text(skew.with_previous_time(events, "account", "ts", "id", "prev"))
-    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
-    assert "partial_min(id" in text and "windowspecdefinition(account" not in text
+    for hot_rows in (skew.HOT_ROWS, 100):
+        got = skew.with_previous_time(df, "account", "ts", "id", "prev", hot_rows)
+        assert as_set(got) == as_set(_plain_lag(df))
+
+
+def test_previous_time_over_many_batches_and_empty_ranges(spark):
+    """Ranges of several Arrow batches, ranges without rows, a key that ends where a range does."""
+    rows = [(i, f"k{i // 4000}", datetime(2024, 1, 1) + timedelta(seconds=i // 3)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "id long, account string, ts timestamp_ntz")
+    settings = {"spark.sql.execution.arrow.maxRecordsPerBatch": "100", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for partitions in ("3", "50"):
+        for k, v in {**settings, "spark.sql.shuffle.partitions": partitions}.items():
+            spark.conf.set(k, v)
+        try:
+            got = as_set(skew.with_previous_time(df, "account", "ts", "id", "prev", 500))
+            few = as_set(skew.with_previous_time(df.filter("id < 4"), "account", "ts", "id", "prev", 0))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert got == as_set(_plain_lag(df)) and few == as_set(_plain_lag(df.filter("id < 4")))
+
+
+def test_previous_time_moves_rows_once(spark, events):
+    """Without a hot key there is one exchange; with one, its rows are in no window and no join but with one row per range."""
+    plan = plan_text(skew.with_previous_time(events, "account", "ts", "id", "prev"))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert skew.frequent_keys(events, "account", 500) == ["hot"] or set(skew.frequent_keys(events, "account", 500)) == {"hot", "warm"}
+    ranged = plan_text(skew.with_previous_time(events, "account", "ts", "id", "prev", 500))
+    assert "SortMergeJoin" not in ranged and ranged.count("BroadcastHashJoin") == 1
+    assert ranged.count("Window [lag(ts") == 1
 
 
 def test_key_maximum_equals_window(events):
