@@ -468,6 +468,40 @@ ORACLE = {
     "stream_dedup": _over_raw("SELECT DISTINCT TransactionID FROM raw WHERE TransactionID IS NOT NULL"),
 }
 
+# Gold of all days but the 30th.
+ORACLE["gold_days_customers"], ORACLE["gold_days_facts"] = (
+    _over_gold(f"SELECT * FROM {name}").replace("FROM silver))", "FROM silver WHERE day(TransactionDate) <> 30))")
+    for name in ("dim_customers", "fact_transactions")
+)
+ORACLE["published_versions"] = _over_raw(
+    """SELECT version, count(DISTINCT CAST(TransactionDate AS DATE)) AS n_days, CAST(count(*) AS BIGINT) AS n
+       FROM raw, (VALUES (1, 10), (2, 20), (3, 31), (0, 20)) AS t(version, last)
+       WHERE day(TransactionDate) <= last GROUP BY version"""
+)
+ORACLE["stream_dedup_expiring"] = ORACLE["stream_dedup"]
+ORACLE["forest_equals_model"] = _over_clean("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM clean")
+ORACLE["forest_pruned"] = _over_clean("SELECT count(*) AS n_decided, CAST(0 AS BIGINT) AS n_small_splits FROM clean")
+ORACLE["forest_scores"] = f"""WITH {RAW}{DEDUP}{CLEAN}{SILVER},
+nodes(tree, node, feature, threshold, lft, rgt, w0, w1) AS (VALUES
+  (0, 0, 1, 2500.0, 1, 2, 120, 80), (0, 1, 2, 3.0, 3, 4, 110, 40), (0, 2, NULL, NULL, NULL, NULL, 10, 40),
+  (0, 3, NULL, NULL, NULL, NULL, 81, 9), (0, 4, NULL, NULL, NULL, NULL, 29, 31),
+  (1, 0, 4, 1000.5, 1, 2, 120, 80), (1, 1, NULL, NULL, NULL, NULL, 32, 32), (1, 2, 6, 11.0, 3, 4, 88, 48),
+  (1, 3, NULL, NULL, NULL, NULL, 64, 16), (1, 4, NULL, NULL, NULL, NULL, 24, 32),
+  (2, 0, 10, 0.5, 1, 2, 120, 80), (2, 1, NULL, NULL, NULL, NULL, 96, 24), (2, 2, NULL, NULL, NULL, NULL, 24, 56)),
+inputs AS (SELECT TransactionID, [{", ".join(f"CAST({c} AS DOUBLE)" for c in _FEATURE_NAMES)}] AS x FROM silver),
+steps AS (SELECT *, CASE WHEN feature IS NULL THEN node END AS stay FROM nodes),
+one AS (
+  SELECT TransactionID, x, tree, coalesce(stay, CASE WHEN x[feature] <= threshold THEN lft ELSE rgt END) AS node
+  FROM inputs, steps WHERE node = 0),
+two AS (
+  SELECT TransactionID, tree, coalesce(stay, CASE WHEN x[feature] <= threshold THEN lft ELSE rgt END) AS node
+  FROM one JOIN steps USING (tree, node)),
+chances AS (
+  SELECT TransactionID, avg(CAST(w1 AS DOUBLE) / (w0 + w1)) AS p FROM two JOIN nodes USING (tree, node) GROUP BY 1)
+SELECT TransactionID, round(p, 6) AS probability, CAST(p > 0.5 AS INTEGER) AS prediction,
+       CASE WHEN p > 0.5 THEN 'block' ELSE 'allow' END AS action
+FROM chances"""
+
 _MOVING = _over_clean(
     """SELECT customer_id, day, round(sum(amount) OVER (
          PARTITION BY customer_id ORDER BY day RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW), 2)

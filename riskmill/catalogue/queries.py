@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from riskmill.functions import rules
 from riskmill.functions.features import FEATURE_SOURCES
-from riskmill.jobs import run_gold, train_and_register
+from riskmill.jobs import run_gold, run_gold_days, train_and_register
 from riskmill.operators import impute, metrics, moving, profile, quality, skew, split
 from riskmill.plans import bronze as bronze_plan
-from riskmill.plans import gold, reports, training
+from riskmill.plans import forest, gold, reports, training
 from riskmill.plans import silver as silver_plan
 from riskmill.plans.scoring import score, to_payload
 from riskmill.schemas import (
@@ -240,11 +240,56 @@ def gold_check(spark, sf_dir):
     return catalog.check_tables(spark, database, GOLD_TABLES).join(listed, "table", "left")
 
 
+def _gold_by_days(spark: SparkSession, sf_dir: str) -> str:
+    """Gold from the first 20 days of Silver, then from those that are new, changed (the 4th) or gone (the 30th)."""
+    silver = _staged_silver(spark, sf_dir)
+    day = F.dayofmonth("TransactionDateOnly")
+    source, target = fresh_path(spark, "silver-days"), fresh_path(spark, "gold-days")
+    database = "days_" + target.rsplit("-", 1)[1]
+    half = (day == 4) & (F.col("TransactionDuration") % 2 == 0)
+    files.write_by_day(silver.filter((day <= 20) & ~half | (day == 30)), source, "TransactionDateOnly")
+    run_gold_days(spark, source, target, database)
+    files.write_by_day(silver.filter(day != 30), source, "TransactionDateOnly")
+    changed = [f"2024-01-{d:02d}" for d in (4, *range(21, 31))]
+    run_gold_days(spark, source, target, database, changed)
+    return database
+
+
+@query
+def gold_days_customers(spark, sf_dir):
+    return spark.table(f"{_gold_by_days(spark, sf_dir)}.dim_customers").drop("dim_load_date")
+
+
+@query
+def gold_days_facts(spark, sf_dir):
+    return spark.table(f"{_gold_by_days(spark, sf_dir)}.fact_transactions").drop("fact_load_date")
+
+
 @query
 def catalog_tables(spark, sf_dir):
     return catalog.list_tables(spark, _published_gold(spark, sf_dir))
 
 
+@query
+def published_versions(spark, sf_dir):
+    """Daily counts published three times, over more and more days: each version as of its time, and, as version 0,
+    what is shown after a step back."""
+    days = stage(bronze_plan.with_day(_bronze(spark, sf_dir, ["TransactionDate"])), "days")
+    target = fresh_path(spark, "versions")
+    database = "versions_" + target.rsplit("-", 1)[1]
+    for last in (10, 20, 31):
+        so_far = days.filter(F.dayofmonth(bronze_plan.DAY) <= last).groupBy(bronze_plan.DAY).agg(F.count("*").alias("n"))
+        catalog.publish_all(spark, {"daily": lambda so_far=so_far: so_far}, database, target)
+    moments = [r["published_at"] for r in catalog.version_list(spark, database, "daily").collect()]
+    shown = [catalog.read_as_of(spark, database, "daily", moment) for moment in moments]
+    kept = [df.select(F.lit(k + 1).alias("version"), "n") for k, df in enumerate(shown[:2])]
+    kept.append(stage(shown[2].select(F.lit(3).alias("version"), "n"), "newest"))
+    catalog.roll_back(spark, database, "daily")
+    kept.append(spark.table(f"{database}.daily").select(F.lit(0).alias("version"), "n"))
+    counts = reduce(DataFrame.unionByName, kept)
+    return counts.groupBy("version").agg(F.count("*").alias("n_days"), F.sum("n").alias("n"))
+
+
 @query
 def latest_run(spark, sf_dir):
     bronze = _bronze(spark, sf_dir, ["TransactionDate", "TransactionAmount", "Channel"])
@@ -336,7 +381,6 @@ def risk_score(spark, sf_dir):
 
 @query
 def gold_count(spark, sf_dir):
-    # Facts are counted, so only what the table's own expressions need is stored.
     return reports.gold_sql(spark, "count", _published_gold(spark, sf_dir, ["fact_transactions"]))
 
 
@@ -493,8 +537,8 @@ def auc_rank(spark, sf_dir):
     return metrics.area_under_roc(rows).withColumn("auc", F.round("auc", 6))
 
 
-def _registry(spark: SparkSession, sf_dir: str) -> ModelRegistry:
-    """A registry with the model of this input's content; trains and registers it if there is none yet.
+def _trained(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ModelRegistry]:
+    """Silver as a stored layer, and a registry with the model of its content; trains it if there is none yet.
 
     The folder is named by a fingerprint of all Silver rows, so a model is used again only for equal rows, and
     what a query returns does not depend on those that ran before it.
@@ -507,7 +551,11 @@ def _registry(spark: SparkSession, sf_dir: str) -> ModelRegistry:
         registry.latest_path()
     except FileNotFoundError:
         train_and_register(spark, silver, root)
-    return registry
+    return silver, registry
+
+
+def _registry(spark: SparkSession, sf_dir: str) -> ModelRegistry:
+    return _trained(spark, sf_dir)[1]
 
 
 def _model(spark: SparkSession, sf_dir: str) -> PipelineModel:
@@ -557,27 +605,89 @@ def model_check(spark, sf_dir):
 
 @query
 def score_batch(spark, sf_dir):
-    return score(_silver(spark, sf_dir), _model(spark, sf_dir))
+    silver, registry = _trained(spark, sf_dir)
+    return score(silver, registry.load_latest(training.failed_checks))
+
+
+# --- The forest as a table of nodes -------------------------------------------------------------------
+
+# A small forest over the model's inputs, as (tree, node, feature, threshold, left, right, rows, weights).
+SMALL_FOREST = [
+    (0, 0, 0, 2500.0, 1, 2, 200, [120.0, 80.0]),
+    (0, 1, 1, 3.0, 3, 4, 150, [110.0, 40.0]),
+    (0, 2, None, None, None, None, 50, [10.0, 40.0]),
+    (0, 3, None, None, None, None, 90, [81.0, 9.0]),
+    (0, 4, None, None, None, None, 60, [29.0, 31.0]),
+    (1, 0, 3, 1000.5, 1, 2, 200, [120.0, 80.0]),
+    (1, 1, None, None, None, None, 64, [32.0, 32.0]),
+    (1, 2, 5, 11.0, 3, 4, 136, [88.0, 48.0]),
+    (1, 3, None, None, None, None, 80, [64.0, 16.0]),
+    (1, 4, None, None, None, None, 56, [24.0, 32.0]),
+    (2, 0, 9, 0.5, 1, 2, 200, [120.0, 80.0]),
+    (2, 1, None, None, None, None, 120, [96.0, 24.0]),
+    (2, 2, None, None, None, None, 80, [24.0, 56.0]),
+]
+
+
+@query
+def forest_scores(spark, sf_dir):
+    """Probability and action of every transaction under a small fixed forest."""
+    nodes = spark.createDataFrame(SMALL_FOREST, forest.NODES)
+    scored = forest.score_plain(_silver(spark, sf_dir, [c for c in FEATURES if c in FEATURE_SOURCES], ["CustomerAge", "TransactionDuration", "AccountBalance"]), nodes, depth=2)
+    return scored.withColumn("probability", F.round("probability", 6))
+
+
+@query
+def forest_equals_model(spark, sf_dir):
+    """Rows whose probability or action by the trained forest's node table differ from the model's own."""
+    silver, registry = _trained(spark, sf_dir)
+    model = registry.load_latest(training.failed_checks)
+    nodes = stage(forest.stored_nodes(spark, registry.latest_path()), "nodes")
+    own = score(silver, model).select("TransactionID", F.col("probability").alias("own"), F.col("action").alias("own_action"))
+    both = forest.score_by_nodes(silver, model, nodes).join(own, "TransactionID")
+    apart = F.abs(F.col("probability") - F.col("own"))
+    tied = F.abs(F.col("own") - 0.5) < 1e-9
+    differs = (apart > 1e-9) | ((F.col("action") != F.col("own_action")) & ~tied)
+    return both.agg(F.count("*").alias("n"), F.count_if(differs).alias("n_different"))
+
+
+@query
+def forest_pruned(spark, sf_dir):
+    """The trained forest without small splits: inner nodes under the least size, and rows that it decides."""
+    silver, registry = _trained(spark, sf_dir)
+    model = registry.load_latest(training.failed_checks)
+    nodes = stage(forest.stored_nodes(spark, registry.latest_path()), "nodes")
+    small = stage(forest.pruned(nodes), "pruned-nodes")
+    inner = small.filter("feature IS NOT NULL").agg(F.count_if(F.col("rows") < forest.MIN_ROWS_TO_SPLIT).alias("n_small_splits"))
+    decided = forest.score_by_nodes(silver, model, small).filter("probability BETWEEN 0 AND 1")
+    return decided.agg(F.count("*").alias("n_decided")).join(F.broadcast(inner), F.col("n_small_splits") <= F.col("n_decided"))
 
 
 # --- Streaming --------------------------------------------------------------------------------------
 
 ARRIVALS = 6
+FILES = 4  # of an arrival; a larger one has a file for a million rows
 
 
-def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transactions as a stream of six files whose times overlap, one in each micro-batch.
+def _arriving(spark: SparkSession, sf_dir: str, number: Column | None = None) -> DataFrame:
+    """The transactions as a stream of six arrivals whose times overlap, one in each micro-batch.
 
-    Later copies of a transaction are in later files, so it is known which copy arrives first.
+    An arrival is as many files as any other, written and read by as many tasks. Without ``number``, later copies of a
+    transaction are in later arrivals, so it is known which copy arrives first.
     """
     path = fresh_path(spark, "arriving")
-    copy = F.row_number().over(Window.partitionBy("TransactionID").orderBy(*_first_copy()))
-    later = F.when(F.col("TransactionID").isNotNull() & (copy > 1), 3).otherwise(0)
-    number = F.pmod(F.hash("AccountID"), F.lit(3)) + later
+    if number is None:
+        copy = F.row_number().over(Window.partitionBy("TransactionID").orderBy(*_first_copy()))
+        later = F.when(F.col("TransactionID").isNotNull() & (copy > 1), 3).otherwise(0)
+        number = F.pmod(F.hash("AccountID"), F.lit(3)) + later
     rows = stage(_bronze(spark, sf_dir).withColumn("_arrival", number), "arrivals")
+    files = max(FILES, -(-rows.count() // (ARRIVALS * 1_000_000)))
     for k in range(ARRIVALS):
-        rows.filter(F.col("_arrival") == k).drop("_arrival").coalesce(1).write.mode("append").parquet(path)
-    return streaming.read_transactions(spark, path, max_files_per_batch=1)
+        part = rows.filter(F.col("_arrival") == k).drop("_arrival")
+        part.repartition(files).write.mode("append").parquet(path)
+        for _ in range((k + 1) * files - len(spark.read.parquet(path).inputFiles())):  # tasks without rows wrote none
+            part.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return streaming.read_transactions(spark, path, max_files_per_batch=files)
 
 
 def _first_copy() -> list[Column]:
@@ -611,6 +721,15 @@ def stream_dedup(spark, sf_dir):
     return _run(streaming.dedup_stream(_arriving(spark, sf_dir)).select("TransactionID"), "stream-unique")
 
 
+@query
+def stream_dedup_expiring(spark, sf_dir):
+    """Ids in the order of days, with some rows two arrivals late; state and watermark of two days."""
+    days, late = (F.dayofmonth("TransactionDate") - 1) / 6, F.when(F.col("TransactionDuration") % 11 == 3, 2).otherwise(0)
+    number = F.least(F.lit(ARRIVALS - 1), F.coalesce(F.floor(days), F.lit(0)) + late)
+    path, checkpoint = fresh_path(spark, "expiring"), fresh_path(spark, "expiring-checkpoint")
+    return streaming.run_expiring_dedup(_arriving(spark, sf_dir, number), "2 days", path, checkpoint).rows().select("TransactionID")
+
+
 @query
 def payload_stream(spark, sf_dir):
     """JSON payloads as a stream: how many were decided, and how many rejected for which reason."""

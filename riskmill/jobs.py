@@ -14,7 +14,7 @@ from riskmill.plans.scoring import PAYLOAD_SCHEMA, from_payload, score
 from riskmill.plans.silver import silver as silver_plan
 from riskmill.plans.training import failed_checks, train
 from riskmill.schemas import GOLD_TABLES, PAYLOAD_FIELDS, TRANSACTION_COLUMNS
-from riskmill.sources.catalog import publish_all, require_rows
+from riskmill.sources.catalog import publish_all, publish_folder, require_rows
 from riskmill.sources.files import CORRUPT, read_csv, read_parquet, write_by_day
 from riskmill.sources.registry import ModelRegistry
 from riskmill.sources.workspace import remove, stage
@@ -128,6 +128,48 @@ def run_gold(
     return publish_all(spark, tables, database, target, table_format, buckets)
 
 
+def run_gold_days(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    database: str = "gold",
+    days: Sequence[str] | None = None,
+    table_format: str = "parquet",
+) -> dict[str, int]:
+    """Publish the star schema from what each day contributes; the result is that of a full run.
+
+    ``days`` (yyyy-MM-dd) names the Silver days that are new, changed or gone since the last run; None takes all days,
+    as a first run does. Of Silver only these days are read. Facts are stored by day, and a day's are replaced.
+    Dimensions have a state per day (newest row and maxima by key) below ``target``; all days' states are merged and
+    published as a new version.
+    """
+    silver = read_parquet(spark, source)
+    if days is not None:
+        silver = silver.filter(F.col(SILVER_DAY).isin(*[F.lit(day).cast("date") for day in days]))
+    folders = {name: f"{target.rstrip('/')}/days/{name}" for name in GOLD_TABLES}
+    for name, folder in folders.items():
+        if name in gold_plan.FACTS:
+            content = gold_plan.build(silver.withColumn("_day", F.col(SILVER_DAY)), name, "_day")
+        else:
+            content = gold_plan.day_state(silver.withColumnRenamed(SILVER_DAY, "_day"), name, "_day")
+        write_by_day(content, folder, "_day", replace_all=days is None)
+    if days is not None:
+        present = {str(row[0]) for row in silver.select(SILVER_DAY).distinct().collect()}  # no more than ``days``
+        for day in set(days) - present:
+            for folder in folders.values():
+                remove(spark, f"{folder}/_day={day}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{target}'")
+    for name in gold_plan.FACTS:
+        publish_folder(spark, database, name, folders[name], "_day")
+    dimensions = [name for name in GOLD_TABLES if name not in gold_plan.FACTS]
+    plans = {
+        name: (lambda name=name: gold_plan.with_load_date(gold_plan.merged_states(spark.read.parquet(folders[name]), name), name))
+        for name in dimensions
+    }
+    counts = publish_all(spark, plans, database, f"{target.rstrip('/')}/published", table_format)
+    return {name: counts[name] if name in counts else spark.table(f"{database}.{name}").count() for name in GOLD_TABLES}
+
+
 def train_and_register(
     spark: SparkSession, silver: DataFrame, models: str, without_label_flags: bool = False
 ) -> dict[str, float | None]:

@@ -213,13 +213,36 @@ def test_command_line(spark, root, tmp_path, capsys):
     assert done[1]["final_rows"] == spark.read.parquet(f"{root}/silver").count()
 
 
+def test_gold_of_days_equals_a_full_run(spark, root, tmp_path):
+    """New days, a day that has changed, one that is gone, and one that never was; facts of other days are not written."""
+    source, target = f"{tmp_path}/silver", f"{tmp_path}/gold"
+    silver = spark.read.parquet(f"{root}/silver").cache()
+    day = F.dayofmonth("TransactionDateOnly")
+    files.write_by_day(silver.filter((day < 9) & ~((day == 4) & (F.col("TransactionDuration") % 2 == 0))), source, "TransactionDateOnly")
+    first = jobs.run_gold_days(spark, source, target, "by_days")
+    untouched = sorted((tmp_path / "gold/days/fact_transactions/_day=2024-01-02").glob("*.parquet"))
+    newer = silver.filter(day.isin(4, 10, 11)).withColumn("CustomerOccupation", F.lit("changed"))
+    files.write_by_day(silver.filter((day < 9) & ~day.isin(4, 6)).unionByName(newer), source, "TransactionDateOnly")
+    done = jobs.run_gold_days(spark, source, target, "by_days", ["2024-01-04", "2024-01-06", "2024-01-10", "2024-01-11", "2024-02-20"])
+    jobs.run_gold(spark, source, f"{tmp_path}/full", "all_at_once")
+    assert untouched == sorted((tmp_path / "gold/days/fact_transactions/_day=2024-01-02").glob("*.parquet")) and untouched
+    assert not (tmp_path / "gold/days/fact_transactions/_day=2024-01-06").exists() and done != first
+    for name in GOLD_TABLES:
+        got, want = spark.table(f"by_days.{name}"), spark.table(f"all_at_once.{name}")
+        assert got.columns == want.columns and done[name] == want.count()
+        assert as_set(got.drop(got.columns[-1])) == as_set(want.drop(want.columns[-1]))
+    assert {r["table"] for r in spark.sql("SHOW TABLES IN by_days").selectExpr("tableName AS table").collect()} >= set(GOLD_TABLES)
+    silver.unpersist()
+
+
 # --- Plans ------------------------------------------------------------------------------------------
 
 PLANNED = sorted(
     {name for name in QUERIES}
     - {"train_rf", "feature_importance", "model_registry", "model_check", "score_batch", "stream_score"}
     - {"gold_publish", "gold_check", "catalog_tables", "gold_count", "stream_features", "stream_dedup", "stream_ids_scored"}
-    - {"payload_stream", "batch_ids_scored", "train_counts"}
+    - {"payload_stream", "batch_ids_scored", "train_counts", "forest_equals_model", "forest_pruned", "stream_dedup_expiring"}
+    - {"gold_days_customers", "gold_days_facts", "published_versions"}
 )
 
 

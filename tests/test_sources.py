@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import datetime
+import threading
+from datetime import datetime, timezone
 
 import pytest
 from helpers import as_set, by_id, frame
@@ -153,7 +154,9 @@ def test_publish_replaces_and_counts(spark, tmp_path):
     catalog.publish_table(spark.range(4).toDF("k"), "publish_db", "t", f"{root}/t", bucket_by=(2, "k"))
     assert spark.table("publish_db.t").count() == 4
     versions = {p.parent for p in (tmp_path / "db" / "t").glob("version=*/*.parquet")}
-    assert len(versions) == 1  # the old ones are gone
+    assert len(versions) == 3  # the failed one is gone
+    catalog.publish_table(spark.range(4).toDF("k"), "publish_db", "t", f"{root}/t", keep=1)
+    assert len({p.parent for p in (tmp_path / "db" / "t").glob("version=*/*.parquet")}) == 1
     got = {tuple(r) for r in catalog.check_tables(spark, "publish_db", ["t", "missing"]).collect()}
     assert got == {("t", 4, True), ("missing", None, False)}
     assert [r["table"] for r in catalog.list_tables(spark, "publish_db").collect()] == ["t"]
@@ -161,6 +164,59 @@ def test_publish_replaces_and_counts(spark, tmp_path):
         catalog.list_tables(spark, "no_such_db")
 
 
+def test_versions_as_of_and_roll_back(spark, tmp_path):
+    root, marks = str(tmp_path / "db"), []
+    for n in range(1, 6):
+        catalog.publish_all(spark, {"t": lambda: spark.range(n).toDF("k")}, "versions_db", root)
+        marks.append(datetime.now(timezone.utc))
+    listed = catalog.version_list(spark, "versions_db", "t").collect()
+    assert [r["current"] for r in listed] == [False, False, True]
+    assert [catalog.read_as_of(spark, "versions_db", "t", m).count() for m in marks[2:]] == [3, 4, 5]
+    with pytest.raises(LookupError):
+        catalog.read_as_of(spark, "versions_db", "t", marks[0])
+    assert catalog.roll_back(spark, "versions_db", "t") == listed[1]["version"]
+    assert spark.table("versions_db.t").count() == 4
+    catalog.publish_all(spark, {"t": lambda: spark.range(9).toDF("k")}, "versions_db", root)
+    assert spark.table("versions_db.t").count() == 9
+    assert catalog.read_as_of(spark, "versions_db", "t", datetime.now()).count() == 9
+    catalog.roll_back(spark, "versions_db", "t", 2)
+    assert spark.table("versions_db.t").count() == 3
+    with pytest.raises(LookupError):
+        catalog.roll_back(spark, "versions_db", "t")
+    assert [r["table"] for r in catalog.list_tables(spark, "versions_db").collect()] == ["t"]
+    assert catalog.versions(spark, "no_such_db", "t") == []
+
+
+def test_readers_never_miss_a_table_that_is_replaced(spark, tmp_path):
+    """Readers in a loop while new versions of other columns and sizes come, each planned and run to its end."""
+    root, stop, seen, failures = str(tmp_path / "db"), threading.Event(), set(), []
+    catalog.publish_all(spark, {"t": lambda: spark.range(1).toDF("k")}, "loop_db", root)
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(spark.table("loop_db.t").agg(F.count("*")).first()[0])
+            except Exception as error:  # noqa: BLE001
+                failures.append(error)
+
+    readers = [threading.Thread(target=read) for _ in range(3)]
+    for reader in readers:
+        reader.start()
+    for n in range(2, 9):
+        catalog.publish_table(spark.range(n).toDF("k"), "loop_db", "t", f"{root}/t")
+    stop.set()
+    for reader in readers:
+        reader.join()
+    assert failures == [] and len(seen) > 2 and seen <= set(range(1, 9))
+
+
+def test_a_table_from_before_versions_is_replaced(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS old_db LOCATION '{tmp_path}/db'")
+    spark.range(2).toDF("k").write.saveAsTable("old_db.t")
+    catalog.publish_table(spark.range(3).toDF("k"), "old_db", "t", f"{tmp_path}/db/t2")
+    assert spark.table("old_db.t").count() == 3
+
+
 def test_staging_uses_the_shared_folder(spark):
     staged = workspace.stage(spark.range(10), "numbers")
     assert staged.inputFiles()[0].startswith("file://" + spark.conf.get(workspace.CHECKPOINT_DIR))
