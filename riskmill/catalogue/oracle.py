@@ -478,6 +478,7 @@ ORACLE["published_versions"] = _over_raw(
        FROM raw, (VALUES (1, 10), (2, 20), (3, 31), (0, 20)) AS t(version, last)
        WHERE day(TransactionDate) <= last GROUP BY version"""
 )
+ORACLE["stream_survivors"] = ORACLE["silver_features"]
 ORACLE["stream_dedup_expiring"] = ORACLE["stream_dedup"]
 ORACLE["forest_equals_model"] = _over_clean("SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM clean")
 ORACLE["forest_pruned"] = _over_clean("SELECT count(*) AS n_decided, CAST(0 AS BIGINT) AS n_small_splits FROM clean")

@@ -29,6 +29,7 @@ from riskmill.sources import catalog, files
 from riskmill.sources.driver_tables import read_table, transactions
 from riskmill.sources.registry import ModelRegistry
 from riskmill.sources.workspace import application_folder, fresh_path, stage
+from riskmill.streaming import survivors
 from riskmill.streaming import transactions as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -667,6 +668,7 @@ def forest_pruned(spark, sf_dir):
 
 ARRIVALS = 6
 FILES = 4  # of an arrival; a larger one has a file for a million rows
+SURVIVOR_BUCKETS = 4  # of ids; a table of 100 TB has some ten thousand
 
 
 def _arriving(spark: SparkSession, sf_dir: str, number: Column | None = None) -> DataFrame:
@@ -730,6 +732,18 @@ def stream_dedup_expiring(spark, sf_dir):
     return streaming.run_expiring_dedup(_arriving(spark, sf_dir, number), "2 days", path, checkpoint).rows().select("TransactionID")
 
 
+@query
+def stream_survivors(spark, sf_dir):
+    """Silver from a stream whose later arrivals hold newer, older and equal copies: that of the batch layer."""
+    path = fresh_path(spark, "survivors")
+    # Later copies come first for some accounts, last for others.
+    copy = F.col("LoginAttempts") + F.when(F.col("MerchantID") > "M05", 1).otherwise(0)
+    number = F.pmod(F.hash("AccountID", "TransactionDuration") + copy, F.lit(ARRIVALS))
+    stream = _arriving(spark, sf_dir, number)
+    survivors.survivors_stream(stream, path, fresh_path(spark, "survivors-checkpoint"), SURVIVOR_BUCKETS).awaitTermination()
+    return survivors.silver_of_survivors(spark, path)
+
+
 @query
 def payload_stream(spark, sf_dir):
     """JSON payloads as a stream: how many were decided, and how many rejected for which reason."""

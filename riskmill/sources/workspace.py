@@ -56,6 +56,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
