@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskmill.llm.common import as_bytes, id_remainder, map_batches, window_hashes
 from riskmill.llm.common import mix as hashed
-from riskmill.sources.workspace import stage
+from riskmill.sources.workspace import stage, stage_only
 
 DEPTH = 2
 VOCABULARY = 2**18  # words that tasks know by number; the others are looked up by a join
@@ -172,16 +172,8 @@ class Grams:
     ``row`` is the number of the text; ``a`` and ``b`` are the parts of a pair or triple.
     """
 
-    def __init__(self, texts: list[bytes]):
-        split = [words_of(t) for t in texts]
-        lengths = np.fromiter((len(w) + 1 for w in split), np.int64, len(split))
-        row = np.repeat(np.arange(len(split)), lengths)
-        word = np.empty(len(row), np.uint64)
-        ends = np.cumsum(lengths) - 1
-        is_word = np.ones(len(row), bool)
-        is_word[ends] = False
-        word[is_word] = window_hashes([w for words in split for w in words], 1)
-        word[ends] = _END_HASH
+    def __init__(self, word: np.ndarray, is_word: np.ndarray, row: np.ndarray):
+        """``word`` are the hashes of all tokens in a row, ends included."""
         self.words, self.word_rows = word[is_word], row[is_word]
         self.all_words = word
         self.first = first = np.flatnonzero(is_word[:-1])  # a pair begins with a word of the same text
@@ -193,10 +185,15 @@ class Grams:
         self.triple_parts = (pair[inner], pair[inner + 1])
 
 
-def _grams(batch: pa.RecordBatch, column: int = 0) -> Iterator[tuple[pa.RecordBatch, Grams]]:
+def _grams(batch: pa.RecordBatch) -> Iterator[Grams]:
     for first in range(0, batch.num_rows, 500):
-        part = batch.slice(first, 500)
-        yield part, Grams(as_bytes(part.column(column)))
+        split = [words_of(t) for t in as_bytes(batch.slice(first, 500).column(0))]
+        lengths = np.fromiter((len(w) + 1 for w in split), np.int64, len(split))
+        is_word = np.ones(int(lengths.sum()), bool)
+        is_word[np.cumsum(lengths) - 1] = False
+        word = np.full(len(is_word), _END_HASH)
+        word[is_word] = window_hashes([w for words in split for w in words], 1)
+        yield Grams(word, is_word, np.repeat(np.arange(len(split)), lengths))
 
 
 def _spans(held: list[np.ndarray], bits: int) -> pa.RecordBatch:
@@ -391,7 +388,7 @@ def gram_counts(texts: DataFrame, words: DataFrame, tokens: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Held(tier.value, buckets)
         for batch in batches:
-            for _, grams in _grams(batch):
+            for grams in _grams(batch):
                 held.add(grams)
                 if held.size > flush:
                     yield held.batch()
@@ -457,7 +454,10 @@ def _kept_contexts(stored: DataFrame) -> DataFrame:
 
 
 def tree_terms(texts: DataFrame, counts: DataFrame, tokens: int, distinct: int, ends: int) -> DataFrame:
-    """key, n, term: what each word, pair and triple adds to the natural log of a text's base chance."""
+    """key, n, term: what each word, pair and triple adds to the natural log of a text's base chance.
+
+    Reads tables that it has staged: keep the result with ``stage_only``.
+    """
 
     def keyed(batch: pa.RecordBatch) -> dict:
         keys = window_hashes(as_bytes(batch.column(0)), 1)
@@ -497,7 +497,7 @@ def tree_terms(texts: DataFrame, counts: DataFrame, tokens: int, distinct: int,
         "key", "n", (F.col("term") + F.coalesce("lost", F.lit(0.0))).alias("term")
     )
     terms = of_words.unionByName(of_pairs).unionByName(scored(two, kept_pairs).select("key", "n", "term"))
-    return stage(terms.filter("term != 0"), "terms")
+    return terms.filter("term != 0")
 
 
 # --- Scoring ------------------------------------------------------------------------------------------
@@ -513,10 +513,19 @@ class Frequent:
     """What tasks hold: the frequent words with their counts, the frequent terms, a bitmap of the other terms."""
 
     words: Words
+    hashes: np.ndarray  # of the words, by number
+    word_places: np.ndarray  # in ``keys``, by number
     keys: np.ndarray  # sorted
     terms: np.ndarray
     others: np.ndarray
 
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 if it isn't held. Searched in order, which reads the sorted keys once."""
+        order = np.argsort(keys)
+        out = np.empty(len(keys), np.int64)
+        out[order] = _place(self.keys, keys[order])
+        return out
+
 
 def _frequent_terms(terms: DataFrame, words: Words) -> tuple[Frequent, DataFrame]:
     """The terms of at least some count, as many as may be held, and the table of the others."""
@@ -525,8 +534,10 @@ def _frequent_terms(terms: DataFrame, words: Words) -> tuple[Frequent, DataFrame
     chosen = terms.filter(held).select("key", "term").toArrow()
     keys, values = chosen["key"].to_numpy().view(np.uint64), chosen["term"].to_numpy()
     order = np.argsort(keys)
+    keys, values = keys[order], values[order]
     others = terms.filter(~held).select("key", "term")
-    return Frequent(words, keys[order], values[order], _bitmap_of(others)), others
+    hashes = np.concatenate([[_END_HASH], window_hashes(words.words, 1)])
+    return Frequent(words, hashes, _place(keys, hashes), keys, values, _bitmap_of(others)), others
 
 
 def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
@@ -543,7 +554,8 @@ def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
     texts = docs.filter(~F.col(held_out)).select("text")
     counts = stage(word_counts(texts), "word-counts")
     words = _words(texts, counts)
-    terms = tree_terms(texts, counts, words.tokens, words.distinct, int(words.counts[0]))
+    spark, totals = docs.sparkSession, (words.tokens, words.distinct, int(words.counts[0]))
+    terms = stage_only(spark, "terms", lambda: tree_terms(texts, counts, *totals))
     _release(docs)
     frequent_part, others = _frequent_terms(terms, words)
     shared = docs.sparkSession.sparkContext.broadcast(frequent_part)
@@ -598,9 +610,21 @@ def _scored(batch: pa.RecordBatch, held: Frequent, table: dict) -> pa.RecordBatc
     pairs = pa.StructArray.from_arrays([pa.array(rare_words, pa.binary()), pa.array(rare_counts, pa.int64())], ["word", "n"])
     rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
 
-    grams, terms, open_keys, open_rows = Grams(texts), np.zeros(len(texts)), [], []
-    for keys, rows in ((grams.words, grams.word_rows), (grams.pairs, grams.pair_rows), (grams.triples, grams.triple_rows)):
-        place = _place(held.keys, keys)
+    is_word = np.ones(len(numbers), bool)
+    is_word[np.cumsum(lengths) - 1] = False
+    word = held.hashes[np.maximum(numbers, 0)]
+    rare_places = np.flatnonzero(~common)
+    word[rare_places] = window_hashes([split[row][k] for row, k in _positions(rare_places, firsts)], 1)
+    grams = Grams(word, is_word, np.repeat(np.arange(len(texts)), lengths))
+    places = held.word_places[np.maximum(numbers, 0)]
+    places[rare_places] = held.places(word[rare_places])
+
+    terms, open_keys, open_rows = np.zeros(len(texts)), [], []
+    for keys, rows, place in (
+        (grams.words, grams.word_rows, places[is_word]),
+        (grams.pairs, grams.pair_rows, held.places(grams.pairs)),
+        (grams.triples, grams.triple_rows, held.places(grams.triples)),
+    ):
         there = place >= 0
         terms += np.bincount(rows[there], weights=held.terms[place[there]], minlength=len(texts))
         maybe = np.flatnonzero(~there)
@@ -636,6 +660,12 @@ def _scored(batch: pa.RecordBatch, held: Frequent, table: dict) -> pa.RecordBatc
     )
 
 
+def _positions(places: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Text and place in it of places in a row of texts."""
+    rows = np.searchsorted(firsts, places, side="right") - 1
+    return zip(rows.tolist(), (places - firsts[rows]).tolist(), strict=True)
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """Learn from nine tenths of the documents and score all. Held out: crc32 of the id as text ends in 0."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
