@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmill.llm.common import as_bytes, connected_components, map_batches, mix, numbered, set_digest, window_hashes
@@ -13,7 +13,6 @@ from riskmill.sources.workspace import stage, stage_only
 PERMUTATIONS = 64  # each gives a minimum and a maximum: 128 values
 BANDS = 32  # of 4 values each; a pair at similarity 0.8 misses all bands once in about 20 million times
 PIVOT_ROUNDS = 3
-BITMAP = 2048  # bits
 _AT_ONCE = 4096
 
 _numbers = np.random.Generator(np.random.PCG64(20240229))
@@ -76,27 +75,19 @@ def _id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    """One bit for each value of the hashes' first bits, as 64-bit words."""
-    bits = np.zeros(BITMAP, bool)
-    bits[(hashes >> np.uint64(64 - BITMAP.bit_length() + 1)).astype(np.int64)] = True
-    return np.packbits(bits).view(np.int64)
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """The full shingle sets of the wanted documents, with their sizes and bitmaps."""
+    """The full shingle sets of the wanted documents, with their sizes."""
 
     def shingles(batch: pa.RecordBatch) -> dict:
         sets = [shingle_set(text, shingle) for text in as_bytes(batch.column(1))]
         return {
             "doc_id": batch.column(0),
             "n": pa.array(map(len, sets), pa.int64()),
-            "bits": pa.array([bitmap(h) for h in sets], pa.list_(pa.int64())),
             "shingles": pa.array([h.view(np.int64) for h in sets], pa.list_(pa.int64())),
         }
 
     rows = _id_and_text(docs).join(wanted, "doc_id", "left_semi")
-    return map_batches(rows, shingles, "doc_id bigint, n bigint, bits array<bigint>, shingles array<bigint>")
+    return map_batches(rows, shingles, "doc_id bigint, n bigint, shingles array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -109,8 +100,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     2. In each band bucket, every member is compared with one pivot, on full sets. Then components are formed.
        The pivot leaves its bucket, and buckets that still hold several components get another pivot, for three
        rounds in all.
-    3. What is left is compared too: members of one bucket that are still in different components, unless their
-       bitmaps prove that they have too little in common. A group of thousands of copies is one component after
+    3. What is left is compared too, but not bucket by bucket: documents of buckets that are still open are joined on
+       the rarest of their shingles, as many as two similar sets can't both do without. Texts that share a passage of
+       thousands of others have rarer shingles, and don't meet. A group of thousands of copies is one component after
        the first rounds and never becomes pairs.
 
     Documents are identified by doc_id: rows with the same id count as one document that has the links of all
@@ -167,27 +159,28 @@ def _sizes_allow(n: str, m: str, percent: int) -> str:
 
 
 def _plausible_pairs(component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that sizes and bitmaps allow to be similar enough.
+    """Pairs of documents of open buckets, in different components, that may be similar enough.
 
-    A bit of one bitmap that the other lacks proves that at least one shingle is not shared. So the number of such
-    bits gives an upper bound of what two sets share, and a pair is left out only if it can't be linked.
+    Each set is put in the order of its shingles' rarity among these documents. Two sets that are similar enough share
+    a shingle among the first n - ceil(n * percent / 100) + 1 of both. At the first one they share, no more than what
+    follows it can be shared besides, which rules out more pairs.
     """
-    sized = sets.select(F.col("doc_id").alias("rep"), "n", "bits")
-    rows = component.select("bucket", "rep", "component").join(sized, "rep")
-    one, other = (rows.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in rows.columns if c != "bucket"]) for k in "ab")
-
-    def shared_at_most(k: str, m: str):
-        missing = F.zip_with(f"bits_{k}", f"bits_{m}", lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
-        return F.col(f"n_{k}") - F.aggregate(missing, F.lit(0), lambda a, x: a + x)
-
-    enough = f"{percent} * (n_a + n_b)"
-    allowed = (
-        F.expr(f"rep_a < rep_b AND component_a != component_b AND {_sizes_allow('n_a', 'n_b', percent)}")
-        & (shared_at_most("a", "b") * (100 + percent) >= F.expr(enough))
-        & (shared_at_most("b", "a") * (100 + percent) >= F.expr(enough))
+    named = component.select("rep", "component").distinct()
+    own = F.monotonically_increasing_id().alias("own")  # an id may have several texts
+    sized = sets.select(F.col("doc_id").alias("rep"), "n", own, "shingles").join(named, "rep")
+    sized = sized.select("rep", "component", "n", "own", F.explode("shingles").alias("shingle"))
+    found = sized.groupBy("shingle").agg(F.count("*").alias("texts"))
+    in_order = Window.partitionBy("rep", "own").orderBy("texts", "shingle")
+    ranked = sized.join(found, "shingle").withColumn("at", F.row_number().over(in_order))
+    first = ranked.filter(f"at <= n - (n * {percent} + 99) div 100 + 1 AND texts > 1")
+    first = stage(first.select("rep", "component", "n", "shingle", "at"), "rare-shingles")
+    one, other = (first.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in first.columns if c != "shingle"]) for k in "ab")
+    shared_at_most = "1 + least(n_a - at_a, n_b - at_b)"
+    allowed = F.expr(
+        f"rep_a < rep_b AND component_a != component_b AND {_sizes_allow('n_a', 'n_b', percent)} "
+        f"AND ({shared_at_most}) * (100 + {percent}) >= {percent} * (n_a + n_b)"
     )
-    same = F.col("x.bucket") == F.col("y.bucket")
-    pairs = one.alias("x").join(other.alias("y"), same & allowed)
+    pairs = one.alias("x").join(other.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & allowed)
     return pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 

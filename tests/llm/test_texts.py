@@ -199,6 +199,18 @@ def test_near_duplicates_edges_and_chains(spark):
     assert got == plain_groups(rows, 3, 85)
 
 
+def test_a_passage_of_many_texts_makes_few_pairs(spark, monkeypatch):
+    """600 texts that share half of their words, and some real copies among them."""
+    passage = sentence("passage", 120)
+    rows = [(k, f"{sentence(k, 55)} {passage} {sentence(-k, 10)}") for k in range(1, 601)]
+    rows += [(1000 + k, text.replace(" w1", " x1", 1)) for k, (_, text) in enumerate(rows[:20])]
+    pairs, confirmed = [], near_dup._confirmed
+    monkeypatch.setattr(near_dup, "_confirmed", lambda found, *more: pairs.append(found.count()) or confirmed(found, *more))
+    got = as_rows(near_dup.near_duplicates(documents(spark, rows).repartition(4), 3, 85), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == plain_groups(rows, 3, 85) and sum(not r[3] for r in got) >= 15
+    assert pairs[-1] < 600 and sum(pairs) < 60_000
+
+
 def test_near_duplicates_empty(spark):
     assert near_dup.near_duplicates(documents(spark, [])).count() == 0
 
