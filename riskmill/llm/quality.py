@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskmill.llm.common import as_bytes, id_remainder, map_batches, window_hashes
@@ -100,30 +100,59 @@ def log_weights(docs: DataFrame, labels: DataFrame, at_most: int = TARGET_ROWS)
     return weighed.select("doc_id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("key")), share
 
 
+def _threshold(rows: DataFrame, column: str, k: int) -> float:
+    """The k-th largest value, without sorting the rows in one place.
+
+    Quantiles close in on it from both sides. Where they can't tell the rows between them apart, the largest value is
+    counted and taken off; at most RANKED_AT_ONCE values are sorted.
+    """
+    value = F.col(column)
+    low, high, above, between = float("-inf"), None, 0, rows.count()
+    while True:
+        part = rows.filter(value >= low) if high is None else rows.filter((value >= low) & (value < high))
+        if between <= RANKED_AT_ONCE:
+            return part.select(column).orderBy(F.desc(column)).limit(k - above).agg(F.min(column)).first()[0]
+        at = 1 - (k - above) / between
+        near = part.stat.approxQuantile(column, [max(0.0, at - 0.02), min(1.0, at + 0.02)], 0.01)
+        more = part.agg(*[F.count_if(test) for x in near for test in (value >= x, value > x)]).first()
+        for x, reached, passed in ((near[0], more[0], more[1]), (near[1], more[2], more[3])):
+            if above + passed < k <= above + reached:
+                return x
+        before = (low, high)
+        if above + more[0] >= k:
+            low = near[0]
+        if above + more[2] < k:
+            high, above = near[1], above + more[2]
+        if (low, high) == before:
+            top = part.agg(F.max(column)).first()[0]
+            equal = part.agg(F.count_if(value == top)).first()[0]
+            if above + equal >= k:
+                return top
+            high, above = top, above + equal
+        part = rows.filter(value >= low) if high is None else rows.filter((value >= low) & (value < high))
+        between = part.count()
+
+
 def top_rows(rows: DataFrame, k: int) -> DataFrame:
-    """The ``k`` rows with the largest ``key``, ties by doc_id, without sorting all of them in one place.
+    """The ``k`` rows with the largest ``key``, ties by doc_id, NULL first.
 
-    Quantiles close in on the key of the k-th row from both sides; only rows between the two are ranked.
+    Rows above the k-th key are taken, and among those with that key the least doc_ids in the same way. Rows with equal
+    key and doc_id are copies, as the key follows from id and text: so many of them are taken as are missing.
     """
-    low, high, above, n = float("-inf"), float("inf"), 0, rows.count()
-    if k >= n:
+    if k <= 0:
+        return rows.limit(0)
+    if k >= rows.count():
         return rows
-    between = n
-    while between > RANKED_AT_ONCE:
-        part = rows.filter((F.col("key") >= low) & (F.col("key") < high))
-        at = 1 - (k - above) / between
-        near = part.stat.approxQuantile("key", [max(0.0, at - 0.02), min(1.0, at + 0.02)], 0.01)
-        more = part.agg(*[F.count_if(F.col("key") >= x) for x in near]).first()
-        new_low = near[0] if above + more[0] >= k else low
-        new_high, new_above = (near[1], above + more[1]) if above + more[1] < k else (high, above)
-        if (new_low, new_high) == (low, high):
-            break  # equal keys: nothing left to close in on
-        low, high, above = new_low, new_high, new_above
-        between = rows.filter((F.col("key") >= low) & (F.col("key") < high)).count()
-    sure = rows.filter(F.col("key") >= high)
-    ranked = rows.filter((F.col("key") >= low) & (F.col("key") < high))
-    place = F.row_number().over(Window.orderBy(F.desc("key"), "doc_id"))
-    return sure.unionByName(ranked.withColumn("place", place).filter(F.col("place") <= k - above).drop("place"))
+    chosen, left, number = None, rows, k
+    first_ids = F.coalesce(-F.col("doc_id").cast("double"), F.lit(float("inf")))
+    for column, value in (("key", F.col("key")), ("_id", first_ids)):
+        left = left.withColumn(column, value)
+        limit = _threshold(left, column, number)
+        sure = left.filter(F.col(column) > limit)
+        number -= sure.count()
+        left = left.filter(F.col(column) == limit)
+        chosen = sure if chosen is None else chosen.unionByName(sure.select(rows.columns))
+    return chosen.unionByName(left.select(rows.columns).limit(number)).select(rows.columns)
 
 
 def resample(docs: DataFrame, labels: DataFrame, at_most: int = TARGET_ROWS) -> DataFrame:

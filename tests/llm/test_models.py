@@ -146,6 +146,16 @@ def test_top_rows(spark, monkeypatch, k):
     assert as_rows(quality.top_rows(rows, k), "doc_id") == sorted(((r.doc_id,) for r in want), key=repr)
 
 
+@pytest.mark.parametrize("k", [1, 2500, 3100, 4999])
+def test_top_rows_with_ties(spark, monkeypatch, k):
+    """Most keys are equal, and many ids, too: no more than a few hundred rows are ever sorted."""
+    monkeypatch.setattr(quality, "RANKED_AT_ONCE", 100)
+    key = "CASE WHEN id % 10 = 0 THEN id / 7.0 ELSE 0.5 END"
+    rows = spark.range(5000).selectExpr("CASE WHEN id % 3 > 0 THEN id % 900 END AS doc_id", f"CAST({key} AS double) AS key").repartition(4)
+    want = sorted(((r.doc_id, r.key) for r in rows.collect()), key=lambda r: (-r[1], r[0] is not None, r[0] or 0))[:k]
+    assert as_rows(quality.top_rows(rows, k), "doc_id", "key") == sorted(want, key=repr)
+
+
 # --- Mixing -------------------------------------------------------------------------------------------
 
 
