@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     gold.add_argument("--database", default="gold")
     gold.add_argument("--format", default="parquet", help="table format known to the session")
     gold.add_argument("--fact-buckets", type=int)
+    gold.add_argument("--by-days", metavar="DAYS", help="keep what each day contributes; Silver days that are new, changed or gone, as yyyy-MM-dd,..., or all")
 
     train = sub.add_parser("train", help="train and register the model")
     train.add_argument("source", nargs="?", default=layout.silver)
@@ -55,6 +56,12 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--source", default=layout.bronze)
     stream.add_argument("--models", default=layout.models)
 
+    merge = sub.add_parser("merge-stream", help="merge the newest copies of new transaction files into buckets of ids")
+    merge.add_argument("target")
+    merge.add_argument("checkpoint")
+    merge.add_argument("--source", default=layout.bronze)
+    merge.add_argument("--buckets", type=int, default=jobs.SURVIVOR_BUCKETS, help="fixed for the life of the target")
+
     payload = sub.add_parser("payload-score", help="decide on JSON payloads with the latest model")
     payload.add_argument("source")
     payload.add_argument("target")
@@ -84,6 +91,9 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict:
         return jobs.run_bronze(spark, resolve(args.source), args.target, args.format, not args.only_new_days)
     if args.job == "silver":
         return jobs.run_silver(spark, args.source, args.target, args.days.split(",") if args.days else None)
+    if args.job == "gold" and args.by_days:
+        days = None if args.by_days == "all" else args.by_days.split(",")
+        return jobs.run_gold_days(spark, args.source, args.target, args.database, days, args.format)
     if args.job == "gold":
         return jobs.run_gold(spark, args.source, args.target, args.database, args.format, args.fact_buckets)
     if args.job == "train":
@@ -92,6 +102,8 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict:
         return {"rows": jobs.run_scoring(spark, args.source, args.models, args.target)}
     if args.job == "stream-score":
         return {"rows": jobs.run_stream_scoring(spark, args.source, args.models, args.target, args.checkpoint)}
+    if args.job == "merge-stream":
+        return {"rows": jobs.run_survivor_stream(spark, args.source, args.target, args.checkpoint, args.buckets)}
     paths = (args.source, args.models, args.target, args.rejects)
     if args.checkpoint:
         return jobs.run_payload_stream(spark, *paths, args.checkpoint)

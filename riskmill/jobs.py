@@ -18,6 +18,7 @@ from riskmill.sources.catalog import publish_all, publish_folder, require_rows
 from riskmill.sources.files import CORRUPT, read_csv, read_parquet, write_by_day
 from riskmill.sources.registry import ModelRegistry
 from riskmill.sources.workspace import remove, stage
+from riskmill.streaming.survivors import survivors, survivors_stream
 from riskmill.streaming.transactions import (
     read_payloads,
     read_transactions,
@@ -223,3 +224,20 @@ def run_stream_scoring(
     model = ModelRegistry(spark, models).load_latest(failed_checks)
     stream = read_transactions(spark, source, max_files_per_batch)
     return run_available(score_stream(stream, model), target, checkpoint).agg(F.count("*")).first()[0]
+
+
+SURVIVOR_BUCKETS = 4_096
+
+
+def run_survivor_stream(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    buckets: int = SURVIVOR_BUCKETS,
+    max_files_per_batch: int = 1000,
+) -> int:
+    """Merge transaction files not seen before into the newest copy of each id, then stop. Gives the ids so far."""
+    stream = read_transactions(spark, source, max_files_per_batch)
+    survivors_stream(stream, target, checkpoint, buckets).awaitTermination()
+    return survivors(spark, target).count()

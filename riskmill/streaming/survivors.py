@@ -9,7 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from riskmill.functions.features import derive_features
 from riskmill.operators.dedup import keep_latest
 from riskmill.plans.silver import NEWEST_FIRST, apply_rules
-from riskmill.schemas import TRANSACTION_COLUMNS
+from riskmill.schemas import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 from riskmill.sources.files import write_by_day
 from riskmill.sources.workspace import exists, remove
 
@@ -57,7 +57,9 @@ def survivors_stream(transactions: DataFrame, path: str, checkpoint: str, bucket
 
 
 def survivors(spark: SparkSession, path: str) -> DataFrame:
-    """The newest copy of each id so far."""
+    """The newest copy of each id so far; no rows if none has arrived."""
+    if not exists(spark, _current(path)):
+        return spark.createDataFrame([], TRANSACTION_SCHEMA)
     return spark.read.parquet(_current(path)).drop(BUCKET)
 
 

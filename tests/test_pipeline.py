@@ -203,6 +203,7 @@ def test_incremental_silver_equals_a_full_run(spark, root, tmp_path):
 
 
 def test_command_line(spark, root, tmp_path, capsys):
+    (tmp_path / "nothing").mkdir()
     log = ["--run-log", f"{tmp_path}/log"]
     with pytest.raises(RuntimeError, match="bronze is missing"):
         command_line.main([*log, "silver", f"{tmp_path}/bronze", f"{tmp_path}/silver"])
@@ -211,6 +212,12 @@ def test_command_line(spark, root, tmp_path, capsys):
     done = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
     assert done[0]["days"] == 30
     assert done[1]["final_rows"] == spark.read.parquet(f"{root}/silver").count()
+    command_line.main(["gold", f"{tmp_path}/silver", f"{tmp_path}/gold", "--database", "typed_gold", "--by-days", "all"])
+    command_line.main(["gold", f"{tmp_path}/silver", f"{tmp_path}/gold", "--database", "typed_gold", "--by-days", "2024-01-02,2024-01-03"])
+    command_line.main(["merge-stream", f"{tmp_path}/merged", f"{tmp_path}/c", "--source", f"{tmp_path}/nothing", "--buckets", "2"])
+    done = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert done[0] == done[1] and done[0]["fact_transactions"] == spark.read.parquet(f"{root}/silver").count()
+    assert done[2] == {"rows": 0}
 
 
 def test_gold_of_days_equals_a_full_run(spark, root, tmp_path):
