@@ -687,7 +687,8 @@ def _arriving(spark: SparkSession, sf_dir: str, number: Column | None = None) ->
     for k in range(ARRIVALS):
         part = rows.filter(F.col("_arrival") == k).drop("_arrival")
         part.repartition(files).write.mode("append").parquet(path)
-        for _ in range((k + 1) * files - len(spark.read.parquet(path).inputFiles())):  # tasks without rows wrote none
+        listed = spark.read.schema(part.schema).parquet(path).inputFiles()
+        for _ in range((k + 1) * files - len(listed)):  # tasks without rows wrote none
             part.limit(0).coalesce(1).write.mode("append").parquet(path)
     return streaming.read_transactions(spark, path, max_files_per_batch=files)
 
