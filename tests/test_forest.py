@@ -107,3 +107,23 @@ def test_rows_move_once(spark, silver, trained, nodes):
     assert text.count("BroadcastHashJoin") == DEPTH + 1 and "SortMergeJoin" not in text
     assert text.count("Exchange hashpartitioning") == 1
     assert rows.select(F.lit(1)).count() == 50
+
+
+def test_large_forest_walks_by_blocks(spark, silver, trained, nodes, monkeypatch):
+    """A forest above the broadcast size: the same probabilities, without a shuffling join per level."""
+    values = [None, float("nan"), float("inf"), float("-inf"), 1.5, 1.6, 0.0, -0.0]
+    rows = spark.createDataFrame([(i, [a, b]) for i, (a, b) in enumerate((a, b) for a in values for b in values)], "id long, x array<double>")
+    small = spark.createDataFrame(SMALL, forest.NODES)
+    want_hand = {r.id: r.probability for r in forest.probability(rows, small, "id", "x", 3).collect()}
+    want = {r.TransactionID: (r.probability, r.action) for r in forest.score_by_nodes(silver, trained.model, nodes, DEPTH).collect()}
+    monkeypatch.setattr(forest, "BROADCAST_NODES", 0)
+    monkeypatch.setattr(forest, "ROWS_PER_BLOCK", 7)
+    monkeypatch.setattr(forest, "NODES_PER_BLOCK", 40)
+    got_hand = forest.probability(rows, small, "id", "x", 3)
+    assert {r.id: r.probability for r in got_hand.collect()} == pytest.approx(want_hand)
+    scored = forest.score_by_nodes(silver, trained.model, nodes, DEPTH)
+    got = {r.TransactionID: (r.probability, r.action) for r in scored.collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == pytest.approx(want[k][0], abs=1e-12) and got[k][1] == want[k][1] for k in want)
+    text = plan_text(scored)
+    assert "SortMergeJoin" not in text and "FlatMapGroupsInPandas" in text
