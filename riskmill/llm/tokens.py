@@ -59,13 +59,10 @@ class WordTable(dict):
         """The values of all words of these texts."""
         if len(self) > MAX_CACHED_WORDS:
             self.clear()
-        rows = [list(map(self.get, words)) for words in texts]
-        open_rows = [k for k, row in enumerate(rows) if None in row]
-        if open_rows:
-            self._learn({w for k in open_rows for w, x in zip(texts[k], rows[k], strict=True) if x is None})
-            for k in open_rows:
-                rows[k] = list(map(self.__getitem__, texts[k]))
-        return rows
+        new = {w for words in texts for w in words if w not in self}
+        if new:
+            self._learn(new)
+        return [list(map(self.__getitem__, words)) for words in texts]
 
     def _learn(self, words: set[bytes]) -> None:
         parts = {w: parted(w) for w in words}

@@ -44,3 +44,15 @@ def test_a_full_table_starts_anew(monkeypatch):
 
 def test_packed():
     assert tokens.packed([1, 258, 49407]) == b"\x01\x00\x02\x01\xff\xc0"
+
+
+def test_known_and_new_words_in_one_call(monkeypatch):
+    encoded = []
+    learn = tokens.encode_words
+    monkeypatch.setattr(tokens, "encode_words", lambda path, words: encoded.extend(words) or learn(path, words))
+    table = tokens.WordTable(PATH, list)
+    table.rows([b"Hello world.".split()])
+    texts = ["Hello again, world.", "", "again again new! Hello", "world. <|endoftext|>"]
+    rows = table.rows([t.encode().split() for t in texts])
+    assert [sum(r, []) for r in rows] == [tokens.tokenizer(PATH).encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoded) == len(set(encoded))
