@@ -4,11 +4,17 @@ A cover tree has nested levels whose radii halve; every node covers the vectors
 nodes whose centres are further apart than both radii and the threshold together hold no link and are pruned. The
 upper part of the tree is fitted on a bounded sample and only decides where vectors go: all radii are taken over all
 vectors, so pruning is exact whatever the sample. The lower part is built in each task, over blocks of bounded size.
+
+Vectors are written once, in chunks of whole cells. Pairs of chunks meet by reading those files again, never by a
+shuffle, so what is written grows with the vectors and not with the pairs.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
+from collections import OrderedDict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,8 +26,13 @@ from riskmill.llm.common import connected_components, map_batches
 from riskmill.sources.workspace import stage
 
 BLOCK = 2048
-SAMPLE = 4096
-MAX_CELLS = 1024
+SAMPLE = 4096  # at least; four for each cell, if they fit SAMPLE_BYTES in double precision
+SAMPLE_BYTES = 64 << 20
+MAX_CELLS = 4096
+CHUNK_BYTES = 16 << 20  # of vectors in single precision
+CHUNKS = 16  # at least, if they don't get smaller than a block
+HELD = 8  # chunks kept decoded in a task, and chunks in a task's part of either side
+HEAD = 16  # components that bound a cosine, with the length of the others
 LEAF = 32
 SLACK = 1e-6  # of distances, far above rounding errors
 
@@ -38,6 +49,16 @@ def chord(cosines: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * cosines))
 
 
+def arc(distance):
+    """Angle between unit vectors of this distance; angles give the sharper triangle inequality."""
+    return 2.0 * np.arcsin(np.clip(distance, 0.0, 2.0) / 2.0)
+
+
+def rounding(dimension: int) -> float:
+    """More than cosines in single precision can be off."""
+    return max(1e-5, dimension * 2.4e-7)
+
+
 # --- The lower tree: in a task ------------------------------------------------------------------------
 
 
@@ -58,71 +79,185 @@ def cover_tree(vectors: np.ndarray, members: np.ndarray | None = None, scale: fl
     if len(members) <= LEAF:
         return node
     scale = min(scale, node.radius) / 2
-    if scale < 1e-4:
+    if scale < 1e-4 or len(own) > 16 * LEAF and _owners(own[:: len(own) // (8 * LEAF)], scale) is None:
         return node
+    owner = _owners(own, scale)
+    if owner is None:
+        return node
+    centers = int(owner.max()) + 1
+    if centers > 1:
+        node.children = [cover_tree(vectors, members[owner == k], scale) for k in range(centers) if (owner == k).any()]
+    return node
+
+
+def _owners(own: np.ndarray, scale: float) -> np.ndarray | None:
+    """The nearest of centres in farthest-first order, as many as cover all within ``scale``; None for more than LEAF."""
     nearest, owner, centers = np.full(len(own), np.inf), np.zeros(len(own), np.int64), 0
     while nearest.max() > scale:
         if centers == LEAF:
-            return node
+            return None
         far = int(nearest.argmax())
         distance = chord(own @ own[far])
         closer = distance < nearest
         nearest[closer], owner[closer] = distance[closer], centers
         centers += 1
-    if centers > 1:
-        node.children = [cover_tree(vectors, members[owner == k], scale) for k in range(centers) if (owner == k).any()]
-    return node
-
-
-def linked(a: np.ndarray, b: np.ndarray, one: Node, other: Node, cosine: float) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of rows of ``a`` and ``b`` with at least this cosine: dual traversal from two roots."""
-    limit, found, todo = math.sqrt(2 - 2 * cosine) + SLACK, [], [(one, other)]
+    return owner
+
+
+def _head(rows: np.ndarray) -> np.ndarray:
+    return np.column_stack([rows[:, :HEAD], np.linalg.norm(rows[:, HEAD:], axis=1)])
+
+
+def _above(x: np.ndarray, y: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of rows whose cosine in single precision is ``least`` or more, and these cosines."""
+    if x.shape[1] > 2 * HEAD:
+        bound = _head(x) @ _head(y).T  # never below the cosine, as the others' product is at most that of their lengths
+        if not bound.size or bound.max() < least:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+        some = np.flatnonzero(bound >= least)
+        if len(some) <= bound.size // 64:
+            i, j = np.divmod(some, len(y))
+            cosines = np.einsum("ij,ij->i", x[i], y[j])
+            good = cosines >= least
+            return i[good], j[good], cosines[good]
+    cosines = (x @ y.T).ravel()
+    some = np.flatnonzero(cosines >= least)
+    return *np.divmod(some, max(1, len(y))), cosines[some]
+
+
+def linked(
+    a: np.ndarray,
+    b: np.ndarray,
+    one: Node,
+    other: Node,
+    cosine: float,
+    keep: tuple[np.ndarray, np.ndarray] | None = None,
+    exact: tuple[Callable, Callable] | None = None,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of rows of ``a`` and ``b`` with at least this cosine: dual traversal from two roots.
+
+    Rows that ``keep`` leaves out are passed over. ``exact`` gives rows in double precision if ``a`` and ``b`` aren't;
+    only cosines too near the limit for single precision are taken from these.
+    """
+    limit, todo, near = float(arc(math.sqrt(2 - 2 * cosine))) + SLACK, [(one, other)], rounding(a.shape[1])
+    rows_a, rows_b = exact or (a.__getitem__, b.__getitem__)
     while todo:
         x, y = todo.pop()
-        if float(chord(x.center @ y.center)) - x.radius - y.radius > limit:
+        if float(arc(chord(x.center @ y.center))) - float(arc(x.radius)) - float(arc(y.radius)) > limit:
             continue
         if not x.children and not y.children:
-            rough = a[x.members].astype(np.float32) @ b[y.members].astype(np.float32).T
-            i, j = np.nonzero(rough >= cosine - 1e-4)
-            i, j = x.members[i], y.members[j]
-            exact = np.concatenate(
-                [np.einsum("ij,ij->i", a[i[k : k + 65_536]], b[j[k : k + 65_536]]) for k in range(0, len(i), 65_536)]
-                or [np.empty(0)]
-            )
-            found.append((i[exact >= cosine], j[exact >= cosine]))
+            of_x, of_y = x.members, y.members
+            if keep is not None:
+                of_x, of_y = of_x[keep[0][of_x]], of_y[keep[1][of_y]]
+            narrow = (rows.astype(np.float32, copy=False) for rows in (a[of_x], b[of_y]))
+            i, j, rough = _above(*narrow, cosine - near)
+            if not len(i):
+                continue
+            good = rough >= cosine + near
+            i, j = of_x[i], of_y[j]
+            open_ = np.flatnonzero(~good)
+            for k in range(0, len(open_), 65_536):
+                part = open_[k : k + 65_536]
+                good[part] = np.einsum("ij,ij->i", rows_a(i[part]), rows_b(j[part])) >= cosine
+            yield i[good], j[good]
         elif x.children and (not y.children or x.radius >= y.radius):
             todo += [(child, y) for child in x.children]
         else:
             todo += [(x, child) for child in y.children]
-    return found
-
-
-def local_links(vectors_a, sizes_a, vectors_b, sizes_b, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of the rows of both blocks together: number of vectors linked across the blocks, and the first row of the
-    component. Without a second block, links inside the first."""
-    a = unit(vectors_a)
-    tree_a = cover_tree(a)
-    inside = vectors_b is None
-    b, tree_b, shift = (a, tree_a, 0) if inside else (unit(vectors_b), None, len(a))
-    pairs = linked(a, b, tree_a, tree_b or cover_tree(b), cosine)
-    i = np.concatenate([p[0] for p in pairs] or [np.empty(0, np.int64)])
-    j = np.concatenate([p[1] for p in pairs] or [np.empty(0, np.int64)]) + shift
-    if inside:
-        i, j = i[i != j], j[i != j]
-    n = len(a) + (0 if inside else len(b))
-    sizes = sizes_a if inside else np.concatenate([sizes_a, sizes_b])
-    links = np.bincount(i, weights=sizes[j], minlength=n)
-    if not inside:
-        links += np.bincount(j, weights=sizes[i], minlength=n)
-    root = np.arange(n)
-    while True:
-        new = root.copy()
-        np.minimum.at(new, i, root[j])
-        np.minimum.at(new, j, root[i])
-        new = new[new]
-        if np.array_equal(new, root):
-            return links.astype(np.int64), root
-        root = new
+
+
+class Chunk:
+    """Vectors of neighbouring cells, by cell and distance from its centre, in pieces of one cell each."""
+
+    def __init__(self, raw, sizes, cell, start, reach, centers):
+        self.raw, self.sizes, self.reach = raw, sizes, reach
+        self.unit = np.concatenate([unit(raw[k : k + BLOCK]).astype(np.float32) for k in range(0, len(raw), BLOCK)])
+        self.ends = list(zip(start.tolist(), [*start[1:].tolist(), len(raw)]))
+        self.centers = centers[cell].astype(np.float32)
+        self.trees: dict[int, Node] = {}
+
+    def tree(self, k: int) -> Node:
+        if k not in self.trees:
+            self.trees[k] = cover_tree(unit(self.raw[slice(*self.ends[k])]))
+        return self.trees[k]
+
+    def exact(self, k: int) -> Callable:
+        first = self.ends[k][0]
+        return lambda rows: unit(self.raw[first + rows])
+
+    def near(self, pieces: slice, rows: np.ndarray, angle: float) -> np.ndarray:
+        """For each of the pieces, the rows that may be within the angle of one of its vectors."""
+        least = np.cos(np.minimum(np.pi, self.reach[pieces] + angle)) - rounding(rows.shape[1])
+        return self.centers[pieces] @ rows.T >= least[:, None].astype(np.float32)
+
+
+def chunk_links(a: Chunk, b: Chunk, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of rows of both chunks with at least this cosine; of a chunk with itself, each pair once."""
+    angle = float(arc(math.sqrt(2 - 2 * cosine))) + SLACK
+    starts = [first for first, _ in b.ends]
+    for x, (first_a, end_a) in enumerate(a.ends):
+        of_a = b.near(slice(None), a.unit[first_a:end_a], angle)
+        of_b = a.near(slice(x, x + 1), b.unit, angle)[0]
+        for y in np.flatnonzero(of_a.any(axis=1) & np.logical_or.reduceat(of_b, starts)).tolist():
+            if a is b and y < x:
+                continue
+            first_b, end_b = b.ends[y]
+            keep, exact = (of_a[y], of_b[first_b:end_b]), (a.exact(x), b.exact(y))
+            blocks = a.unit[first_a:end_a], b.unit[first_b:end_b]
+            for i, j in linked(*blocks, a.tree(x), b.tree(y), cosine, keep, exact):
+                if a is b and x == y:
+                    i, j = i[i < j], j[i < j]
+                yield i + first_a, j + first_b
+
+
+class Links:
+    """Number of vectors linked to each one, and the first of its component, over several pairs of chunks."""
+
+    def __init__(self):
+        self.first: dict[int, int] = {}
+        self.links, self.root = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def place(self, number: int, chunk: Chunk) -> int:
+        if number not in self.first:
+            self.first[number] = known = len(self.root)
+            self.links = np.concatenate([self.links, np.zeros(len(chunk.sizes), np.int64)])
+            self.root = np.concatenate([self.root, np.arange(known, known + len(chunk.sizes))])
+        return self.first[number]
+
+    def add(self, number_a: int, a: Chunk, number_b: int, b: Chunk, cosine: float) -> None:
+        at_a, at_b = self.place(number_a, a), self.place(number_b, b)
+        open_, count = [], 0
+        for i, j in chunk_links(a, b, cosine):
+            np.add.at(self.links, i + at_a, b.sizes[j])
+            np.add.at(self.links, j + at_b, a.sizes[i])
+            i, j = i + at_a, j + at_b
+            apart = self.root[i] != self.root[j]
+            open_.append((i[apart], j[apart]))
+            count += len(open_[-1][0])
+            if count > 1_000_000:
+                self.join(open_)
+                open_, count = [], 0
+        self.join(open_)
+
+    def join(self, edges: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        i, j = (np.concatenate([e[k] for e in edges] or [np.empty(0, np.int64)]) for k in (0, 1))
+        while len(i):
+            one, other = self.root[i], self.root[j]
+            apart = one != other
+            i, j, one, other = i[apart], j[apart], one[apart], other[apart]
+            np.minimum.at(self.root, np.maximum(one, other), np.minimum(one, other))
+            while not np.array_equal(new := self.root[self.root], self.root):
+                self.root = new
+
+    def found(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Numbers of linked vectors (``chunk`` * 2**32 + place), their links and the number of their component's first."""
+        number = np.empty(len(self.root), np.int64)
+        ends = [*list(self.first.values())[1:], len(self.root)]
+        for (chunk, first), end in zip(self.first.items(), ends):
+            number[first:end] = (chunk << 32) + np.arange(end - first)
+        for first, end in zip(self.first.values(), ends):
+            some = first + np.flatnonzero(self.links[first:end])
+            yield number[some], self.links[some], number[self.root[some]]
 
 
 # --- The upper tree: cells ----------------------------------------------------------------------------
@@ -132,11 +267,11 @@ class Cells:
     """Centres chosen by farthest-first order, whose prefixes are nested nets: a centre's level is the halving of
     the radius at which it was added, its parent the nearest centre of the levels above."""
 
-    def __init__(self, sample: np.ndarray, count: int):
+    def __init__(self, sample: np.ndarray, count: int, least: float = 0.0):
         distance, chosen, added = np.full(len(sample), 2.0), [], []
         for _ in range(min(count, len(sample))):
             far = int(distance.argmax())
-            if chosen and distance[far] <= 0:
+            if chosen and distance[far] <= least:
                 break
             added.append(float(distance[far]))
             chosen.append(far)
@@ -145,44 +280,81 @@ class Cells:
         self.levels = [0 if k == 0 else 1 + max(0, int(-math.log2(r / 2))) for k, r in enumerate(added)]
         self.parents = [-1]
         for k in range(1, len(chosen)):
-            above = [p for p in range(k) if self.levels[p] < self.levels[k]]
-            self.parents.append(above[int((self.centers[above] @ self.centers[k]).argmax())])
+            above = self.centers[: bisect_left(self.levels, self.levels[k])]  # levels never fall
+            self.parents.append(int((above @ self.centers[k]).argmax()))
+
+    def order(self) -> list[int]:
+        """All cells, each before those below it, which follow at once."""
+        children: list[list[int]] = [[] for _ in self.parents]
+        for k in range(len(self.parents) - 1, 0, -1):
+            children[self.parents[k]].append(k)
+        found, todo = [], [0]
+        while todo:
+            found.append(todo.pop())
+            todo += children[found[-1]]
+        return found
 
     def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        cosines = vectors @ self.centers.T
-        cell = cosines.argmax(axis=1)
-        return cell, chord(cosines[np.arange(len(cell)), cell])
+        """The nearest centre and its distance. Equal vectors get the same one wherever they stand: a product of
+        matrices rounds by their shapes, so centres that it can't tell apart are compared vector by vector."""
+        narrow, near = self.centers.astype(np.float32).T, 4 * rounding(self.centers.shape[1])
+        cell = np.empty(len(vectors), np.int64)
+        for k in range(0, len(vectors), BLOCK):
+            part = vectors[k : k + BLOCK]
+            cosines = part.astype(np.float32) @ narrow
+            first = cosines.argmax(axis=1)
+            close = cosines >= cosines[np.arange(len(part)), first][:, None] - near
+            several = np.flatnonzero(np.count_nonzero(close, axis=1) > 1)
+            row, center = np.nonzero(close[several])
+            exact = np.empty(len(row))
+            for m in range(0, len(row), 65_536):
+                some = slice(m, m + 65_536)
+                exact[some] = np.einsum("ij,ij->i", part[several[row[some]]], self.centers[center[some]])
+            best = np.lexsort((center, -exact, row))
+            first[several] = center[best[np.flatnonzero(np.diff(row[best], prepend=-1))]]
+            cell[k : k + BLOCK] = first
+        return cell, chord(np.einsum("ij,ij->i", vectors, self.centers[cell]))
+
+    def meeting(self, cells: np.ndarray, radius: dict[int, float], limit: float) -> Iterator[np.ndarray]:
+        """For each of the cells, whether it may hold a link with each of them."""
+        centers, angle = self.centers[cells], float(arc(limit)) + SLACK
+        reach = np.array([float(arc(radius[k])) for k in cells.tolist()])
+        for k in range(len(cells)):
+            yield arc(chord(centers @ centers[k])) - reach - reach[k] <= angle
 
     def pairs(self, radius: dict[int, float], limit: float) -> list[tuple[int, int]]:
-        """Pairs of cells that may hold a link, each cell with itself included: dual traversal of the levels.
-
-        A node stands for its own cell and all cells below it.
-        """
-        count = len(self.centers)
-        between = chord(self.centers @ self.centers.T)
-        children: list[list[int]] = [[] for _ in range(count)]
-        reach = [radius.get(k, -math.inf) for k in range(count)]
-        for k in range(count - 1, 0, -1):
-            children[self.parents[k]].append(k)
-        for k in sorted(range(1, count), key=lambda k: -self.levels[k]):
-            up = self.parents[k]
-            reach[up] = max(reach[up], between[up, k] + reach[k])
-        found, todo, seen = set(), [(0, True, 0, True)], set()
-        while todo:
-            x, x_tree, y, y_tree = step = todo.pop()
-            if step in seen:
-                continue
-            seen.add(step)
-            gap = between[x, y] - (reach[x] if x_tree else radius.get(x, -math.inf))
-            if gap - (reach[y] if y_tree else radius.get(y, -math.inf)) > limit:
-                continue
-            if not x_tree and not y_tree:
-                found.add((min(x, y), max(x, y)))
-            elif x_tree and (not y_tree or reach[x] >= reach[y]):
-                todo += [(x, False, y, y_tree), *((child, True, y, y_tree) for child in children[x])]
-            else:
-                todo += [(x, x_tree, y, False), *((x, x_tree, child, True) for child in children[y])]
-        return sorted(found)
+        """Pairs of cells that may hold a link, each cell with itself included."""
+        cells = np.array(sorted(radius))
+        rows = self.meeting(cells, radius, limit)
+        return [(int(x), int(y)) for k, (x, row) in enumerate(zip(cells, rows)) for y in cells[k:][row[k:]]]
+
+
+class Layout:
+    """The chunk of each cell: neighbours share one, and a cell of more vectors than a chunk has several."""
+
+    def __init__(self, cells: Cells, sizes: dict[int, int], radius: dict[int, float], limit: float, rows: int):
+        self.base, self.parts = np.zeros(len(cells.centers), np.int64), np.ones(len(cells.centers), np.int64)
+        order, starts, parts, room = [k for k in cells.order() if k in sizes], [], [], 0
+        for place, k in enumerate(order):
+            self.parts[k] = -(-sizes[k] // rows)
+            if not parts or sizes[k] > room:
+                starts.append(place)
+                parts.append(int(self.parts[k]))
+                room = rows if self.parts[k] == 1 else 0
+            room -= min(room, sizes[k])
+            self.base[k] = sum(parts[:-1])
+        rows_met = cells.meeting(np.array(order), radius, limit)
+        meet = np.zeros((len(starts), len(starts)), bool)
+        group = np.repeat(np.arange(len(starts)), np.diff([*starts, len(order)]))
+        for g, row in zip(group, rows_met):
+            meet[g] |= np.logical_or.reduceat(row, starts)
+        meet = meet.repeat(parts, axis=0).repeat(parts, axis=1)
+        one, other = np.indices(meet.shape, np.int32, sparse=True)
+        first = np.where((one + other) % 2 == 0, one <= other, one > other)  # each pair once, evenly over all chunks
+        self.partners = [np.flatnonzero(row).astype(np.int32) for row in meet & first]
+
+    def chunk(self, cell: np.ndarray, name: np.ndarray) -> np.ndarray:
+        return self.base[cell] + name % self.parts[cell]
 
 
 # --- The operator -------------------------------------------------------------------------------------
@@ -196,83 +368,134 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _links_of_dimension(classes: DataFrame, dimension: int, cosine: float, block: int) -> DataFrame | None:
-    """cls, links, root for the classes of vectors of one length."""
-    classes = classes.filter(F.size("embedding") == dimension)
-    n = classes.count()
-    share = min(1.0, SAMPLE / n)
-    picked = classes.filter(F.pmod(F.xxhash64("cls"), F.lit(1_000_000)) <= int(share * 1_000_000)).select("embedding")
-    sample = picked.limit(2 * SAMPLE).toArrow()  # about SAMPLE; the limit only bounds the driver
-    if not sample.num_rows:
-        sample = classes.select("embedding").limit(1).toArrow()
-    cells = Cells(unit(_matrix(sample["embedding"].combine_chunks())), min(MAX_CELLS, -(-n // block)))
-    shared = classes.sparkSession.sparkContext.broadcast(cells)
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    width = rows.shape[1] * rows.itemsize
+    ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width)
+    buffers = [None, ends.buffers()[1], pa.py_buffer(np.ascontiguousarray(rows))]
+    return pa.Array.from_buffers(pa.binary(), len(rows), buffers)
+
 
-    def assign(batch: pa.RecordBatch) -> dict:
-        names = ["cls", "n", "embedding"]
+def _once(batch: pa.RecordBatch) -> tuple[np.ndarray, pa.Table]:
+    """First places of the batch's different vectors; their names, numbers of rows and least ids."""
+    table = pa.table({c: batch.column(c) for c in ("h1", "h2", "vec_id")} | {"place": pa.array(np.arange(batch.num_rows))})
+    groups = table.group_by(["h1", "h2"], use_threads=False)
+    table = groups.aggregate([("place", "min"), ("place", "count"), ("vec_id", "min")])
+    return table["place_min"].to_numpy(), table
+
+
+BLOBS = """chunk int, partners array<int>, vectors binary, cell array<int>, start array<int>, reach array<double>,
+    n array<bigint>, rep array<bigint>, h1 array<bigint>, h2 array<bigint>"""
+NAMES = [field.split()[0] for field in BLOBS.split(",")]
+
+
+def _chunks_of_dimension(
+    named: DataFrame, dimension: int, n: int, cosine: float, block: int, first: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """The different vectors of one length in chunks, numbered from ``first``; id, links, root; the next chunk's number."""
+    rows = named.filter(F.size("embedding") == dimension)
+    kind = np.float32 if rows.schema["embedding"].dataType.elementType.typeName() == "float" else np.float64
+    count = min(MAX_CELLS, -(-n // block))
+    size = max(SAMPLE, min(4 * count, SAMPLE_BYTES // (8 * dimension)))
+    share = min(1.0, size / n)
+    picked = rows.filter(F.pmod(F.xxhash64("h1"), F.lit(1_000_000)) <= int(share * 1_000_000))
+    picked = picked.select("h1", "embedding").dropDuplicates(["h1"]).select("embedding")
+    sample = picked.limit(2 * size).toArrow()  # about size; the limit only bounds the driver
+    if not sample.num_rows:
+        sample = rows.select("embedding").limit(1).toArrow()
+    limit = math.sqrt(2 - 2 * cosine)
+    cells = Cells(unit(_matrix(sample["embedding"].combine_chunks())), count, limit / 8)  # closer cells prune no more
+    context = named.sparkSession.sparkContext
+    shared = context.broadcast(cells)
+
+    def place(batch: pa.RecordBatch) -> dict:
+        names = ["cell", "distance", "h1"]
         if not batch.num_rows:
-            return {c: batch.column(c) for c in names} | {"cell": pa.array([], pa.int32()), "distance": pa.array([], pa.float64())}
+            return dict(zip(names, (pa.array([], t) for t in (pa.int32(), pa.float64(), pa.int64()))))
         cell, distance = shared.value.nearest(unit(_matrix(batch.column("embedding"))))
-        return {c: batch.column(c) for c in names} | {
-            "cell": pa.array(cell.astype(np.int32)), "distance": pa.array(distance)
+        return {"cell": pa.array(cell.astype(np.int32)), "distance": pa.array(distance), "h1": batch.column("h1")}
+
+    placed = map_batches(rows.select("h1", "embedding"), place, "cell int, distance double, h1 bigint")
+    sizes = (F.max("distance").alias("radius"), F.approx_count_distinct("h1").alias("n"))
+    per_cell = placed.groupBy("cell").agg(*sizes).collect()
+    chunk_rows = max(1, min(CHUNK_BYTES // (4 * dimension), max(block, -(-n // CHUNKS))))
+    counts, radius = {r["cell"]: max(1, r["n"]) for r in per_cell}, {r["cell"]: r["radius"] for r in per_cell}
+    layout = Layout(cells, counts, radius, limit, chunk_rows)
+    shared_layout = context.broadcast(layout)
+    fields = "chunk int, cell int, distance double, h1 bigint, h2 bigint, n bigint, rep bigint, vector binary"
+
+    def deal(batch: pa.RecordBatch) -> dict:
+        at, table = _once(batch)
+        raw, cell, distance = np.empty((0, dimension), kind), np.empty(0, np.int64), np.empty(0)
+        if len(at):
+            raw = _matrix(batch.column("embedding").take(pa.array(at))).astype(kind, copy=False)
+            cell, distance = shared.value.nearest(unit(raw))
+        chunk = shared_layout.value.chunk(cell, table["h2"].to_numpy())
+        names = {"h1": "h1", "h2": "h2", "n": "place_count", "rep": "vec_id_min"}
+        return {k: table[v].combine_chunks() for k, v in names.items()} | {
+            "chunk": pa.array(chunk.astype(np.int32)), "cell": pa.array(cell.astype(np.int32)),
+            "distance": pa.array(distance), "vector": _binary(raw),
         }
 
-    placed = map_batches(
-        classes.select("cls", "n", F.col("embedding").cast("array<double>").alias("embedding")),
-        assign,
-        "cls string, n bigint, embedding array<double>, cell int, distance double",
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("cell", "ascending"), ("distance", "ascending")]).combine_chunks()
+        cell, chunk = table["cell"].to_numpy(), table["chunk"][0].as_py()
+        new = np.flatnonzero(np.diff(cell, prepend=-1))
+        start = np.concatenate([np.arange(x, y, block) for x, y in zip(new, [*new[1:], len(cell)])])
+        reach = arc(table["distance"].to_numpy()[np.append(start[1:], len(cell)) - 1]) + SLACK
+        vector = table["vector"].combine_chunks()
+        ends = np.frombuffer(vector.buffers()[1], np.int32)[vector.offset : vector.offset + len(vector) + 1].tolist()
+        blob = vector.buffers()[2].slice(ends[0], ends[-1] - ends[0]).to_pybytes()
+        lists = {c: table[c].combine_chunks() for c in ("n", "rep", "h1", "h2")}
+        lists |= {"cell": pa.array(cell[start]), "start": pa.array(start.astype(np.int32)), "reach": pa.array(reach)}
+        lists |= {"partners": pa.array(first + shared_layout.value.partners[chunk])}
+        columns = {k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for k, v in lists.items()}
+        columns |= {"chunk": pa.array([first + chunk], pa.int32()), "vectors": pa.array([blob], pa.binary())}
+        return pa.table({k: columns[k] for k in NAMES})
+
+    dealt = map_batches(rows, deal, fields).repartition(len(layout.partners), "chunk")
+    classes = dealt.groupBy("chunk", "h1", "h2").agg(
+        F.sum("n").alias("n"), F.min("rep").alias("rep"), *(F.first(c).alias(c) for c in ("cell", "distance", "vector"))
     )
-    placed = stage(placed.withColumn("embedding", F.col("embedding").cast("array<double>")), "placed-vectors")
-    sizes = placed.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n")).collect()
-    pairs = cells.pairs({r["cell"]: r["radius"] for r in sizes}, math.sqrt(2 - 2 * cosine) + SLACK)
-    parts = {r["cell"]: -(-r["n"] // block) for r in sizes}
-    spark = classes.sparkSession
-    cell_pairs = spark.createDataFrame(
-        [(x, parts[x], y, parts[y]) for x, y in pairs], "cell_a int, parts_a int, cell_b int, parts_b int"
+    chunks = stage(classes.groupBy("chunk").applyInArrow(pack, BLOBS), "vector-chunks")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, held = Links(), OrderedDict()
+        for batch in batches:
+            for k in range(batch.num_rows):
+                pair = []
+                for side in ("left", "right"):
+                    row = batch.column(side)[k]
+                    number = row["chunk"].as_py()
+                    if number not in held:
+                        raw = np.frombuffer(row["vectors"].as_buffer(), kind).reshape(-1, dimension).copy()
+                        lists = [row[c].values.to_numpy(zero_copy_only=False) for c in ("n", "cell", "start", "reach")]
+                        held[number] = Chunk(raw, *lists, shared.value.centers)
+                    held.move_to_end(number)
+                    pair += [number, held[number]]
+                while len(held) > HELD:
+                    held.popitem(last=False)
+                total.add(*pair, cosine)
+        for columns in total.found():
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "links", "root"])
+
+    read = [F.struct("chunk", "vectors", "n", "cell", "start", "reach").alias(side) for side in ("left", "right")]
+    parts = max(HELD, -(-len(layout.partners) // HELD), math.isqrt(4 * context.defaultParallelism))
+    sides = chunks.coalesce(parts)  # a task for each two of them
+    pairs = sides.select(read[0], "partners").hint("shuffle_replicate_nl").join(
+        sides.select(read[1], F.col("chunk").alias("other")), F.array_contains("partners", F.col("other"))
     )
-    blocks = cell_pairs.withColumn("part_a", F.explode(F.expr("sequence(0, parts_a - 1)")))
-    blocks = blocks.withColumn("part_b", F.explode(F.expr("sequence(0, parts_b - 1)")))
-    blocks = blocks.filter("cell_a < cell_b OR part_a <= part_b").select("cell_a", "part_a", "cell_b", "part_b")
-    count = spark.createDataFrame(list(parts.items()), "cell int, parts int")
-    placed = placed.join(count, "cell").withColumn("part", F.pmod(F.xxhash64(F.lit(1), "cls"), F.col("parts")).cast("int"))
-    left = blocks.withColumns({"cell": F.col("cell_a"), "part": F.col("part_a"), "side": F.lit(0)})
-    right = blocks.filter("cell_a != cell_b OR part_a != part_b").withColumns(
-        {"cell": F.col("cell_b"), "part": F.col("part_b"), "side": F.lit(1)}
-    )
-    work = placed.drop("distance", "parts").join(left.unionByName(right), ["cell", "part"])
-
-    def compare(table: pa.Table) -> pa.Table:
-        side = table["side"].to_numpy()
-        vectors = _matrix(table["embedding"].combine_chunks())
-        n, names = table["n"].to_numpy(), np.array(table["cls"].to_pylist(), object)
-        both = [np.flatnonzero(side == k) for k in (0, 1)]
-        if table["cell_a"][0] == table["cell_b"][0] and table["part_a"][0] == table["part_b"][0]:
-            both[1] = None
-        elif not len(both[0]) or not len(both[1]):
-            return pa.table({c: pa.array([], t) for c, t in (("cls", pa.string()), ("links", pa.int64()), ("root", pa.string()))})
-        a, b = both
-        links, root = local_links(vectors[a], n[a], *((None, None) if b is None else (vectors[b], n[b])), cosine)
-        names = names[a] if b is None else names[np.concatenate([a, b])]
-        some = np.flatnonzero(links)
-        return pa.table(
-            {
-                "cls": pa.array(names[some].tolist(), pa.string()),
-                "links": pa.array(links[some], pa.int64()),
-                "root": pa.array(names[root[some]].tolist(), pa.string()),
-            }
-        )
-
-    grouped = work.groupBy("cell_a", "part_a", "cell_b", "part_b")
-    return grouped.applyInArrow(compare, "cls string, links bigint, root string")
+    found = pairs.select("left", "right").mapInArrow(compare, "id bigint, links bigint, root bigint")
+    return chunks, found, first + len(layout.partners)
 
 
 def embedding_duplicates(vectors: DataFrame, cosine: float = 0.95, block: int = BLOCK) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector.
 
-    Equal vectors form a class and are compared once. Classes go to cells, cells of more than ``block`` classes
-    are cut, and each pair of blocks that the radii don't rule out is one group of at most two blocks. A group
-    returns numbers of links and the components inside it, never pairs, so thousands of near copies cost one row
-    each. Cosines are compared in double precision.
+    Equal vectors form a class and are compared once. Classes go to cells, and cells to chunks, each stored as one
+    row. Pairs of chunks that the radii don't rule out are compared in tasks that read both from storage; inside,
+    only vectors within reach of the other's cell are. A task returns numbers of links and the components inside it,
+    never pairs, so thousands of near copies cost one row each. Cosines are compared in double precision.
 
     Vectors that are NULL, empty, zero, or hold NULL or non-finite components link with nothing, nor do vectors
     of different lengths. Repeated rows are vectors of their own; NULL ids are allowed, and a group of NULL ids
@@ -280,15 +503,14 @@ def embedding_duplicates(vectors: DataFrame, cosine: float = 0.95, block: int =
     """
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     usable = F.coalesce(F.expr(USABLE), F.lit(False))
-    name = F.concat(F.hex(F.xxhash64("embedding")), F.hex(F.xxhash64(F.lit(1), "embedding")))
     named = rows.select("vec_id", F.when(usable, F.col("embedding")).alias("embedding"))
-    named = named.withColumn("cls", F.when(F.col("embedding").isNotNull(), name))
-    classes = named.filter("cls IS NOT NULL").groupBy("cls").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("embedding").alias("embedding")
-    )
-    classes = stage(classes, "vector-classes")
-    dimensions = [r[0] for r in classes.select(F.size("embedding")).distinct().collect()]
-    result = named.select("vec_id", "cls")
+    hashes = {"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")}
+    named = named.withColumns({k: F.when(F.col("embedding").isNotNull(), v) for k, v in hashes.items()})
+    kept = named.filter("h1 IS NOT NULL")
+    if vectors.schema["embedding"].dataType.elementType.typeName() != "float":
+        kept = kept.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    dimensions = kept.groupBy(F.size("embedding").alias("d")).agg(F.approx_count_distinct("h1").alias("n")).collect()
+    result = named.select("vec_id", "h1", "h2")
     if not dimensions:
         return result.select(
             "vec_id",
@@ -296,21 +518,25 @@ def embedding_duplicates(vectors: DataFrame, cosine: float = 0.95, block: int =
             F.col("vec_id").alias("component_id"),
             F.lit(True).alias("kept"),
         )
-    found = None
-    for dimension in dimensions:
-        part = _links_of_dimension(classes, dimension, cosine, block)
+    found, member, first = None, None, 0
+    for r in sorted(dimensions):
+        chunks, part, first = _chunks_of_dimension(kept, r["d"], max(1, r["n"]), cosine, block, first)
+        each = chunks.select("chunk", F.posexplode(F.arrays_zip("h1", "h2", "n", "rep")).alias("place", "c"))
+        each = each.select((F.shiftleft(F.col("chunk").cast("bigint"), 32) + F.col("place")).alias("id"), "c.*")
         found = part if found is None else found.unionByName(part)
+        member = each if member is None else member.unionByName(each)
     found = stage(found, "vector-links")
-    links = found.groupBy("cls").agg(F.sum("links").alias("links"))
-    groups = connected_components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")), "vector-groups")
-    member = classes.select("cls", "rep", "n").join(groups, F.col("cls") == F.col("node"), "left")
-    member = member.withColumn("group", F.coalesce("component", "cls")).join(links, "cls", "left")
+    links = found.groupBy("id").agg(F.sum("links").alias("links"))
+    groups = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")), "vector-groups")
+    linked_ones = links.join(groups, F.col("id") == F.col("node"), "left").select("id", "links", "component")
+    member = member.join(linked_ones, "id", "left").filter("links IS NOT NULL OR n > 1")  # of any other vector, its own id
+    member = member.withColumn("group", F.coalesce("component", "id"))
     smallest = member.groupBy("group").agg(F.min("rep").alias("component_id"))
     member = member.join(smallest, "group").select(
-        "cls", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), "component_id"
+        "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), "component_id"
     )
-    result = result.join(member, "cls", "left")
-    component_id = F.when(F.col("cls").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    result = result.join(member, ["h1", "h2"], "left")
+    component_id = F.when(F.col("links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return result.select(
         "vec_id",
         F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),

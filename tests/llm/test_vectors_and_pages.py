@@ -11,9 +11,11 @@ from pathlib import Path
 import numpy as np
 import pytest
 from llm.helpers import CLASHING, as_rows, groups_of
+from pyspark.sql import functions as F
 
 from riskmill.llm import embedding_dedup, warc
 from riskmill.llm.common import read
+from riskmill.sources.workspace import stage
 
 # --- Vectors ------------------------------------------------------------------------------------------
 
@@ -105,6 +107,39 @@ def test_traversal_prunes_and_misses_nothing():
     assert len(kept) < 40 * 41 / 2
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_pairs_of_blocks_meet_without_a_shuffle(spark, monkeypatch, kind):
+    """Each vector is stored once, however many blocks it is compared with: of spread vectors, all of them."""
+    tables, plans = {}, {}
+
+    def staged(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        tables[name] = stage(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(embedding_dedup, "stage", staged)
+    r = np.random.default_rng(7)
+    spread = r.normal(size=(240, 40))
+    near = spread[r.integers(0, 40, 120)] + r.normal(size=(120, 40)) * 0.1
+    rows = list(enumerate(np.concatenate([spread, near, spread[:30]]).astype(np.float32).tolist()))
+    table = vectors(spark, rows).repartition(3).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    got = as_rows(embedding_dedup.embedding_duplicates(table, block=10), *COLUMNS)
+    assert got == sorted(plain_links(rows), key=repr) and max(x[1] for x in got) > 3
+    assert "Exchange" not in plans["vector-links"]
+    assert tables["vector-chunks"].count() > 10
+    assert tables["vector-chunks"].selectExpr("sum(size(h1))", "sum(length(vectors))").first()[:] == (360, 360 * 40 * (4 if kind == "float" else 8))
+
+
+def test_equal_vectors_share_a_cell():
+    cells = embedding_dedup.Cells(np.concatenate([np.eye(24), -np.eye(24)]), 48)
+    r = np.random.default_rng(8)
+    few = embedding_dedup.unit(np.concatenate([np.ones((1, 24)), np.sign(r.normal(size=(40, 24)))]))
+    alone = [int(cells.nearest(v[None])[0][0]) for v in few]
+    for n in (41, 57, 2048, 3000):
+        pick = r.integers(0, 41, n)
+        assert cells.nearest(few[pick])[0].tolist() == [alone[k] for k in pick]
+
+
 # --- Web archives -------------------------------------------------------------------------------------
 
 
